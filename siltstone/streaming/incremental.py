@@ -16,7 +16,7 @@ from ..operators.star import build_fact
 from ..sources.tables import replace_partitions
 from ..sources.workspace import stage
 
-FILE_MONTH = r"([0-9]{4}-[0-9]{2})\.parquet$"
+FILE_MONTH = r"_tripdata_([0-9]{4}-[0-9]{2})\.parquet"
 ROW_KEY = ("load_month", "trip_id")
 
 
