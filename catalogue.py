@@ -482,7 +482,7 @@ def full_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     table = f"{scratch_database(spark)}.suppliers"
     tables.full_overwrite(read(spark, folder, "supplier"), table, "Suppliers")
     edited = spark.table(table).withColumn("s_acctbal", F.col("s_acctbal") + 1).where("s_nationkey <> 3")
-    tables.full_overwrite(edited, table, reads_itself=True)
+    tables.full_overwrite(edited, table)
     return spark.table(table)
 
 
@@ -726,9 +726,11 @@ def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    """From raw events to revenue by period and borough, all in one plan."""
+    """From raw events to revenue by period and borough in one plan, around a written dimension."""
     valid = rules.accepted(tagged_trips(raw_events(spark, folder), EVENTS))
-    places = two_version_locations(spark, folder, CHANGE_DAY["events"], EVENTS.airport_pattern)
+    places = stage(
+        two_version_locations(spark, folder, CHANGE_DAY["events"], EVENTS.airport_pattern), "places"
+    )
     fact = star.build_fact(valid, star.location_lookup(places), EVENTS)
     codes = dimensions.code_dimension
     whole = star.Star(

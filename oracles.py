@@ -43,8 +43,13 @@ DERIVE = f"""
   CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour,
   airport_fee_amount > 0 AS is_airport_trip"""
 
-SPEED = """CASE WHEN trip_duration_min > 0
-    THEN round(trip_distance_km / (trip_duration_min / 60.0), 2) END AS avg_speed_kmh"""
+def half_up(value: str, digits: int) -> str:
+    """A double rounded half-up by its decimal digits, the way the operators define it."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
+
+
+SPEED = f"""CASE WHEN trip_duration_min > 0
+    THEN {half_up('trip_distance_km / (trip_duration_min / 60.0)', 2)} END AS avg_speed_kmh"""
 
 MONEY = (
     "fare_amount extra_amount mta_tax_amount tip_amount tolls_amount improvement_surcharge_amount "

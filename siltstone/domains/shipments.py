@@ -108,9 +108,11 @@ SHIPMENTS = Domain(
 def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
     """The joined source tables, in the spellings of a source file.
 
-    Orders meet their customer before the four times larger lines do. All joins are left to
-    Spark's size statistics and its splitting of hot keys.
+    Orders meet their customer before the four times larger lines do. Lines and orders both grow
+    with the data, so neither is to be broadcast on the strength of an estimate; the other joins
+    are left to Spark's size statistics, and hot keys to its splitting of skewed partitions.
     """
+
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -121,7 +123,7 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
     joined = lines.join(
         orders.select(
             F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority", "c_nationkey"
-        ),
+        ).hint("merge"),
         "l_orderkey",
     ).join(table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")

@@ -67,32 +67,27 @@ def months_given(months: str | Sequence[str]) -> list[str]:
 
 def bronze_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
     """Zones, then each month into its own folder; re-running a month replaces that folder."""
-    zones = landing.read_zones(spark, lake.zones)
-    counts = {"zones": _counted(zones, lambda df: tables.full_overwrite(df, lake.table("bronze", "raw_taxi_zones")))}
+    zones = lake.table("bronze", "raw_taxi_zones")
+    tables.full_overwrite(landing.read_zones(spark, lake.zones), zones, "Location lookup as landed")
+    counts = {"zones": spark.table(zones).count()}
     for month in months:
         if lake.source_table:
             raw = landing.table_month(spark, lake.source_table, lake.source_moment, month)
         else:
             raw = landing.read_month(spark, lake.landing, lake.service, month)
         folder = f"{lake.raw_root.rstrip('/')}/load_month={month}"
-        counts[month] = _counted(
-            raw.drop("load_month"), lambda df, to=folder: df.write.mode("overwrite").parquet(to)
-        )
+        seen = Observation(f"rows-{uuid.uuid4().hex}")
+        counted = raw.drop("load_month").observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(folder)
+        counts[month] = seen.get["rows"]
     return counts
 
 
-def _counted(df: DataFrame, write) -> int:
-    """Rows written, counted while they are written."""
-    seen = Observation(f"rows-{uuid.uuid4().hex}")
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
-
-
 def silver_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
     """Accepted and quarantined trips of the months, and the zones.
 
-    The tagged rows are staged once, split by outcome and month, so that neither outcome's write
-    repeats the exchange and sort that removed the copies.
+    The tagged rows are staged once, split by outcome and gathered by month, so that neither
+    outcome's write repeats the exchange and sort that removed the copies or needs one of its own.
     """
     raw = landing.raw_months(spark, lake.raw_root, months)
     tagged = tagged_trips(raw, lake.domain)
@@ -100,7 +95,7 @@ def silver_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) ->
     staged = stage(
         tagged.withColumn("_outcome", outcome).hint("rebalance", "_outcome", "load_month"),
         "silver",
-        ("_outcome", "load_month"),
+        ["_outcome"],
     )
     accepted = staged.where("_outcome = 'accepted'").drop("_outcome", "_violations")
     rejected = (
@@ -166,17 +161,14 @@ def _extend_calendar(
         F.last_day(F.lit(f"{max(months)}-01").cast("date")).alias("last_day"),
     )
     covered = dimensions.calendar_bounds(trips).unionByName(month_ends)
-    known = spark.catalog.tableExists(table)
-    if known:
+    if spark.catalog.tableExists(table):
         covered = covered.unionByName(
             spark.table(table).agg(
                 F.min("full_date").alias("first_day"), F.max("full_date").alias("last_day")
             )
         )
     bounds = covered.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
-    tables.full_overwrite(
-        dimensions.calendar(bounds), table, "One row per day", reads_itself=known
-    )
+    tables.full_overwrite(dimensions.calendar(bounds), table, "One row per day")
 
 
 def read_star(spark: SparkSession, lake: Lakehouse) -> star.Star:

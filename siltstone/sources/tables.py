@@ -74,11 +74,14 @@ def replace_partitions(
     return seen.get["rows"]
 
 
-def full_overwrite(
-    df: DataFrame, table: str, comment: str | None = None, reads_itself: bool = False
-) -> None:
-    """Replace an unpartitioned table; one that ``df`` itself reads is staged first."""
-    content = stage(df, "overwrite") if reads_itself else df
+def full_overwrite(df: DataFrame, table: str, comment: str | None = None) -> None:
+    """Replace an unpartitioned table.
+
+    The new content of an existing table is staged first: it may be computed from that very table,
+    and a computation that fails leaves the old content in place.
+    """
+    known = df.sparkSession.catalog.tableExists(table)
+    content = stage(df, "overwrite") if known else df
     content.write.mode("overwrite").saveAsTable(table)
     if comment:
         note = comment.replace("'", "\\'")
@@ -95,7 +98,7 @@ def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
 def upsert_scd1(df: DataFrame, table: str, keys: Sequence[str]) -> None:
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        full_overwrite(scd1_merge(spark.table(table), df, keys), table, reads_itself=True)
+        full_overwrite(scd1_merge(spark.table(table), df, keys), table)
     else:
         full_overwrite(df, table)
 
@@ -110,18 +113,17 @@ def upsert_scd2(
 ) -> None:
     spark = df.sparkSession
     known = spark.table(table) if spark.catalog.tableExists(table) else None
-    merged = scd2_merge(known, df, keys, tracked, effective_date, surrogate)
-    full_overwrite(merged, table, reads_itself=known is not None)
+    full_overwrite(scd2_merge(known, df, keys, tracked, effective_date, surrogate), table)
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], by: str = "load_month") -> DataFrame:
     """Rows ranged by partition and ``columns`` and sorted alike, so file statistics can skip.
 
-    Ranges are cut over all the columns together, so one frequent value of the first is divided by
-    the next. Their number is left to adaptive execution.
+    Ranges are cut over all the columns and then over a hash of the row, so any frequent value, or
+    combination of values, can be divided. Their number is left to adaptive execution.
     """
     order = [by, *[name for name in columns if name != by]]
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
 
 
 def clustered_rewrite(
