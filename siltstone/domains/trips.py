@@ -1,4 +1,4 @@
-"""Taxi trips: monthly Parquet files and a CSV of zones."""
+"""Trips: monthly Parquet files and a CSV of zones."""
 
 from __future__ import annotations
 

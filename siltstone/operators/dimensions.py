@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..contracts import Codes
 from ..functions.columns import UNKNOWN_KEY, blank_to_null, date_key
@@ -92,9 +95,19 @@ def clock(spark: SparkSession) -> DataFrame:
     )
 
 
+def fixed_rows(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """A few given rows as part of the plan, so that Spark knows how small they are."""
+    schema = StructType.fromDDL(columns)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def code_dimension(spark: SparkSession, codes: Codes) -> DataFrame:
     """A listed dimension together with its unknown member."""
-    return spark.createDataFrame([*codes.rows, codes.unknown], codes.columns)
+    return fixed_rows(spark, [*codes.rows, codes.unknown], codes.columns)
 
 
 def conform_zones(raw: DataFrame) -> DataFrame:
@@ -128,7 +141,8 @@ def conform_zones(raw: DataFrame) -> DataFrame:
 
 def locations(zones: DataFrame, airport_pattern: str) -> DataFrame:
     """Locations with the unknown member and the airport flag, ready to be versioned."""
-    unknown = zones.sparkSession.createDataFrame(
+    unknown = fixed_rows(
+        zones.sparkSession,
         [(UNKNOWN_KEY, UNKNOWN_LABEL, UNKNOWN_LABEL, NO_SERVICE_ZONE)],
         "location_id int, borough string, zone string, service_zone string",
     )
