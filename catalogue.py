@@ -562,8 +562,8 @@ def clustered_rewrite(spark: SparkSession, folder: str) -> DataFrame:
 def checked_names(side: Layers) -> dict[str, DataFrame]:
     return {
         "table": side.star.fact,
-        "orphans": star.orphans(side.star),
-        "gaps": star.rowcount_gap(side.star.fact, side.valid),
+        "orphans": stage(star.orphans(side.star), "orphans"),
+        "gaps": stage(star.rowcount_gap(side.star.fact, side.valid), "gaps"),
     }
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,10 @@ class Star:
     rate_codes: DataFrame
     payment_types: DataFrame
 
+    def in_months(self, months: Iterable[str]) -> Star:
+        """The same star with only these months of the fact, whose other folders are not read."""
+        return replace(self, fact=self.fact.where(F.col("load_month").isin(*months)))
+
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of ``df`` as rows: one aggregate over it, which never brings the rows themselves."""

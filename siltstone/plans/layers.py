@@ -9,11 +9,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import Domain
+from ..contracts import Domain, Expectation
 from ..operators import dimensions, expectations, star
 from ..operators.expectations import RESULT_COLUMNS
 from ..sources import landing, tables
-from ..sources.workspace import stage
+from ..sources.workspace import staged
 from .silver import tagged_trips
 
 LAYERS = ("bronze", "silver", "gold")
@@ -25,7 +25,8 @@ class Lakehouse:
     """Where a domain's data comes from and what its tables are called.
 
     ``raw_root`` holds the raw months as one folder each, every folder with the schema its source
-    had. With ``source_table`` the months are cut from that table by ``source_moment`` instead of
+    had, or what the stream of ``streaming.incremental`` wrote when ``streamed`` is set. With
+    ``source_table`` the months are cut from that table by ``source_moment`` instead of
     being read from files in ``landing``.
     """
 
@@ -40,6 +41,7 @@ class Lakehouse:
     )
     source_table: str | None = None
     source_moment: str = "tpep_pickup_datetime"
+    streamed: bool = False
     clustering: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def table(self, layer: str, name: str) -> str:
@@ -87,41 +89,53 @@ def silver_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) ->
     """Accepted and quarantined trips of the months, and the zones.
 
     The tagged rows are staged once, split by outcome and gathered by month, so that neither
-    outcome's write repeats the exchange and sort that removed the copies or needs one of its own.
+    outcome's write repeats the exchange and sort that removed the copies. A table that is to be
+    clustered is ranged on its way out instead of being gathered by month first.
     """
-    raw = landing.raw_months(spark, lake.raw_root, months)
-    tagged = tagged_trips(raw, lake.domain)
+    raw = landing.raw_months(spark, lake.raw_root, months, lake.streamed)
     outcome = F.when(F.size("_violations") == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
-    staged = stage(
-        tagged.withColumn("_outcome", outcome).hint("rebalance", "_outcome", "load_month"),
-        "silver",
-        ["_outcome"],
-    )
-    accepted = staged.where("_outcome = 'accepted'").drop("_outcome", "_violations")
-    rejected = (
-        staged.where("_outcome = 'rejected'")
-        .drop("_outcome")
-        .withColumn("_quarantined_at", F.current_timestamp())
-    )
-    counts = {
-        "valid": tables.replace_partitions(
-            accepted, lake.valid, months, rebalance=False, comment="Accepted trips"
-        ),
-        "quarantined": tables.replace_partitions(
-            rejected,
-            lake.quarantine,
-            months,
-            rebalance=False,
-            comment="Rejected trips and the rules they break",
-        ),
-    }
+    tagged = tagged_trips(raw, lake.domain).withColumn("_outcome", outcome)
+    clustered = "silver.fct_source_trips" in lake.clustering
+    if not clustered:
+        tagged = tagged.hint("rebalance", "_outcome", "load_month")
+    with staged(tagged, "silver", ["_outcome"]) as rows:
+        accepted = rows.where("_outcome = 'accepted'").drop("_outcome", "_violations")
+        rejected = rows.where("_outcome = 'rejected'").drop("_outcome")
+        counts = {
+            "valid": _write(
+                accepted, lake, "silver.fct_source_trips", months, comment="Accepted trips"
+            ),
+            "quarantined": tables.replace_partitions(
+                rejected.withColumn("_quarantined_at", F.current_timestamp()),
+                lake.quarantine,
+                months,
+                rebalance=clustered,
+                comment="Rejected trips and the rules they break",
+            ),
+        }
     zones = dimensions.conform_zones(spark.table(lake.table("bronze", "raw_taxi_zones")))
     tables.full_overwrite(zones, lake.table("silver", "dim_source_zones"), "Conformed zones")
     return counts
 
 
+def _write(
+    df: DataFrame, lake: Lakehouse, target: str, months: Sequence[str], comment: str
+) -> int:
+    """Replace the months of a trip table, in clustered order where the lakehouse asks for one."""
+    layer, name = target.split(".", 1)
+    columns = lake.clustering.get(target)
+    ordered = tables.cluster_rows(df, columns) if columns else df
+    return tables.replace_partitions(
+        ordered, lake.table(layer, name), months, rebalance=False, comment=comment
+    )
+
+
 def gold_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
-    """Dimensions, then the fact of the months. The fact needs no exchange at all."""
+    """Dimensions, then the fact of the months.
+
+    Silver arrives by month and the dimension is broadcast, so an unclustered fact is written
+    without any exchange.
+    """
     domain = lake.domain
     trips = landing.only_months(spark.table(lake.valid), months)
     _extend_calendar(spark, lake, trips, months)
@@ -145,9 +159,7 @@ def gold_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> d
     )
     lookup = star.location_lookup(spark.table(dim_location))
     fact = star.build_fact(trips, lookup, domain)
-    written = tables.replace_partitions(
-        fact, lake.fact, months, rebalance=False, comment="One row per accepted trip"
-    )
+    written = _write(fact, lake, "gold.fct_trips", months, comment="One row per accepted trip")
     return {"fct_trips": written}
 
 
@@ -194,19 +206,26 @@ def check_layer(
     if not wanted:
         return []
     silver = landing.only_months(spark.table(lake.valid), months)
-    names: dict[str, str | DataFrame] = {"catalog_prefix": f"{lake.catalog}." if lake.catalog else ""}
-    if target.startswith("gold."):
-        whole = read_star(spark, lake)
-        fact = landing.only_months(whole.fact, months)
-        checked = star.Star(**{**whole.__dict__, "fact": fact})
-        names.update(
-            table=fact,
-            silver=silver,
-            orphans=star.orphans(checked),
-            gaps=star.rowcount_gap(fact, silver),
-        )
-    else:
-        names["table"] = silver
+    prefix = f"{lake.catalog}." if lake.catalog else ""
+    if not target.startswith("gold."):
+        names = {"catalog_prefix": prefix, "table": silver}
+        return _record(spark, lake, wanted, target, run_id, names)
+    checked = read_star(spark, lake).in_months(months)
+    gaps = star.rowcount_gap(checked.fact, silver)
+    # Several expectations ask for these; the fact is scanned for them once.
+    with staged(star.orphans(checked), "orphans") as orphans, staged(gaps, "gaps") as gaps:
+        names = {"catalog_prefix": prefix, "table": checked.fact, "orphans": orphans, "gaps": gaps}
+        return _record(spark, lake, wanted, target, run_id, names)
+
+
+def _record(
+    spark: SparkSession,
+    lake: Lakehouse,
+    wanted: Sequence[Expectation],
+    target: str,
+    run_id: str,
+    names: Mapping[str, str | DataFrame],
+) -> list[dict]:
     found = expectations.evaluate(spark, wanted, target, run_id, names)
     # As many rows as there are expectations.
     rows = found.collect()
@@ -223,7 +242,7 @@ def run_layers(
     layer: str = "all",
     skip_quality: bool = False,
 ) -> dict[str, dict[str, int]]:
-    """One layer or all of them for the given months, then the clustering of what was written."""
+    """One layer or all of them for the given months; returns the rows each of them wrote."""
     if layer != "all" and layer not in LAYERS:
         raise ValueError(f"layer must be one of {(*LAYERS, 'all')}, not {layer!r}")
     months = months_given(months)
@@ -244,8 +263,4 @@ def run_layers(
             counts[name] = gold_layer(spark, lake, months)
             if not skip_quality:
                 check_layer(spark, lake, "gold.fct_trips", months, run_id)
-    for target, columns in lake.clustering.items():
-        name, table = target.split(".", 1)
-        if name in chosen:
-            tables.clustered_rewrite(spark, lake.table(name, table), columns, months)
     return counts

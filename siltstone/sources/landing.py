@@ -54,12 +54,17 @@ def only_months(df: DataFrame, months: Iterable[str]) -> DataFrame:
     return df.where(F.col("load_month").isin(*months))
 
 
-def raw_months(spark: SparkSession, root: str, months: Sequence[str]) -> list[DataFrame]:
+def raw_months(
+    spark: SparkSession, root: str, months: Sequence[str], streamed: bool = False
+) -> list[DataFrame]:
     """Each month of the raw area with the schema its own file had.
 
     The months are left apart because sources change types over the years; they become one
-    DataFrame only after each has been brought to the contract.
+    DataFrame only after each has been brought to the contract. A ``streamed`` area is entered by
+    its root, where Spark finds the list of files its stream committed.
     """
+    if streamed:
+        return [only_months(spark.read.parquet(root), months)]
     return [
         spark.read.parquet(f"{root.rstrip('/')}/load_month={month}").withColumn(
             "load_month", F.lit(month)

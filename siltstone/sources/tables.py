@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.guards import insist
 from ..operators.history import scd1_merge, scd2_merge
-from .workspace import stage
+from .workspace import staged
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -80,12 +80,15 @@ def full_overwrite(df: DataFrame, table: str, comment: str | None = None) -> Non
     The new content of an existing table is staged first: it may be computed from that very table,
     and a computation that fails leaves the old content in place.
     """
-    known = df.sparkSession.catalog.tableExists(table)
-    content = stage(df, "overwrite") if known else df
-    content.write.mode("overwrite").saveAsTable(table)
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        with staged(df, "overwrite") as content:
+            content.write.mode("overwrite").saveAsTable(table)
+    else:
+        df.write.saveAsTable(table)
     if comment:
         note = comment.replace("'", "\\'")
-        df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{note}'")
+        spark.sql(f"COMMENT ON TABLE {table} IS '{note}'")
 
 
 def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+STAGING = "siltstone_staging"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -30,10 +33,32 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """``df`` written once and read back, so several writes do not compute it several times."""
+    """``df`` written once and read back, for as long as the shared folder keeps it."""
     folder = fresh_folder(df.sparkSession, label)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder that is dropped again after the block.
+
+    Several writes then do not compute ``df`` several times, and a write that replaces an input of
+    ``df`` no longer reads it.
+    """
+    spark = df.sparkSession
+    spark.sql(
+        f"CREATE SCHEMA IF NOT EXISTS {STAGING} LOCATION '{shared_folder(spark)}/{STAGING}'"
+    )
+    table = f"{STAGING}.{label}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    try:
+        writer.saveAsTable(table)
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

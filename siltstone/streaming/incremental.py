@@ -14,7 +14,7 @@ from ..contracts import Domain
 from ..operators.history import snapshot_diff
 from ..operators.star import build_fact
 from ..sources.tables import replace_partitions
-from ..sources.workspace import stage
+from ..sources.workspace import staged
 
 FILE_MONTH = r"_tripdata_([0-9]{4}-[0-9]{2})\.parquet"
 ROW_KEY = ("load_month", "trip_id")
@@ -71,13 +71,13 @@ def refresh_fact(
 ) -> Sequence[str]:
     """Apply the difference of two silver snapshots to the months of the fact it touches."""
     spark = before.sparkSession
-    changes = stage(snapshot_diff(before, after, ROW_KEY), "changes")
-    # As many rows as there are months.
-    months = [r["load_month"] for r in changes.select("load_month").distinct().collect()]
-    if months:
-        in_scope = F.col("load_month").isin(*months)
-        updated = refreshed_fact(
-            spark.table(fact_table).where(in_scope), changes, after.where(in_scope), lookup, domain
-        )
-        replace_partitions(updated, fact_table, months)
+    with staged(snapshot_diff(before, after, ROW_KEY), "changes") as changes:
+        # As many rows as there are months.
+        months = [r["load_month"] for r in changes.select("load_month").distinct().collect()]
+        if months:
+            touched = F.col("load_month").isin(*months)
+            updated = refreshed_fact(
+                spark.table(fact_table).where(touched), changes, after.where(touched), lookup, domain
+            )
+            replace_partitions(updated, fact_table, months)
     return sorted(months)

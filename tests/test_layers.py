@@ -162,6 +162,21 @@ def test_new_files_are_taken_once(spark, raw_trips, tmp_path):
     assert take() == {"2024-01": 7, "2024-02": 7}
 
 
+def test_streamed_files_go_through_silver(spark, lake, raw_trips, tmp_path):
+    run_layers(spark, lake, "2024-01", skip_quality=True)
+    by_batch = facts(spark, lake)
+    streamed = replace(lake, raw_root=f"{tmp_path}/streamed", streamed=True)
+    schema = raw_trips.drop(*LINEAGE).schema
+    ingest_new_files(
+        spark, f"{lake.landing}/*2024-01*", schema, streamed.raw_root, f"{tmp_path}/checkpoint"
+    ).awaitTermination()
+    for layer in ("silver", "gold"):
+        run_layers(spark, streamed, "2024-01", layer=layer)
+    assert facts(spark, streamed) == by_batch
+    staging = spark.sql("SHOW TABLES IN siltstone_staging").collect()
+    assert staging == []
+
+
 def test_fact_follows_changed_rows(spark, lake):
     run_layers(spark, lake, "2024-01 2024-02")
     before = spark.table(lake.valid)
