@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +12,18 @@ from ..contracts import Rule
 
 
 def violations(rules: Sequence[Rule]) -> Column:
-    """Names of the rules a row breaks, in rule order; a rule that is NULL is broken."""
-    broken = [
-        F.when(~F.coalesce(F.expr(rule.expression), F.lit(False)), F.lit(rule.name))
-        for rule in rules
-    ]
-    return F.array_compact(F.array(*broken)) if broken else F.lit([]).cast("array<string>")
+    """Names of the rules a row breaks, in rule order; a rule that is NULL is broken.
+
+    Most rows break none, and for those no list is built and filtered.
+    """
+    none = F.array().cast("array<string>")
+    holds = {rule.name: F.coalesce(F.expr(rule.expression), F.lit(False)) for rule in rules}
+    broken = [F.when(~held, F.lit(name)) for name, held in holds.items()]
+    if not broken:
+        return none
+    return F.when(reduce(Column.__and__, holds.values()), none).otherwise(
+        F.array_compact(F.array(*broken))
+    )
 
 
 def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -149,30 +149,30 @@ def orphans(star: Star) -> DataFrame:
 
     One scan of the fact serves all keys: each row is unfolded into its (foreign key, member)
     pairs, which are counted before the exchange, so the join meets one row per distinct member.
+    Foreign keys go by their number until the end, which keeps the counting on primitive values.
     """
     checked = foreign_keys(star)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(column).alias("foreign_key"), F.col(column).cast("bigint").alias("member"))
-            for column, _, _ in checked
-        ]
-    )
+
+    def pair(at: int, member: Column) -> list[Column]:
+        return [F.lit(at).alias("at"), member.cast("bigint").alias("member")]
+
+    pairs = [F.struct(*pair(at, F.col(name))) for at, (name, _, _) in enumerate(checked, start=1)]
     used = (
-        star.fact.select(F.explode(pairs).alias("pair"))
-        .groupBy("pair.foreign_key", "pair.member")
+        star.fact.select(F.inline(F.array(*pairs)))
+        .groupBy("at", "member")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     members = None
-    for column, dimension, key in checked:
-        listed = dimension.select(
-            F.lit(column).alias("foreign_key"), F.col(key).cast("bigint").alias("member")
-        )
+    for at, (_, dimension, key) in enumerate(checked, start=1):
+        listed = dimension.select(*pair(at, F.col(key)))
         members = listed if members is None else members.unionByName(listed)
     found = members.distinct().withColumn("found", F.lit(True))
+    names = F.array(*[F.lit(name) for name, _, _ in checked])
     return (
-        used.join(found, ["foreign_key", "member"], "left")
-        .groupBy("foreign_key")
+        used.join(found, ["at", "member"], "left")
+        .groupBy("at")
         .agg(F.sum(F.when(F.col("found").isNull(), F.col("rows")).otherwise(0)).alias("observed"))
+        .select(F.element_at(names, F.col("at")).alias("foreign_key"), "observed")
     )
 
 
