@@ -1,7 +1,6 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from siltstone.operators.history import scd1_merge, scd2_merge, snapshot_diff
 
