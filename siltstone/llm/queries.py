@@ -4,17 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .compression_bands import judge_quality
+from .language_id import identify
+from .mixing import mixed
 from .ngram_join import jaccard_components
+from .secret_scan import scan_secrets
+from .token_files import token_files
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
 
+def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_quality(table(spark, folder, "documents"))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents"))
+
+
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixed(table(spark, folder, "documents")).drop("mark", "source")
+
+
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    f.__name__: f
+    for f in (op1_ngram_jaccard_join, op2_compression_bands, op4_language_id, op7_secret_scan, op8_source_mixing, op9_token_files)
 }
 ORACLES: dict[str, str] = {}
