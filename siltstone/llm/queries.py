@@ -12,6 +12,7 @@ from .compression_bands import judge_quality
 from .language_id import identify
 from .mixing import mixed
 from .ngram_join import jaccard_components
+from .personal_data import find_personal_data
 from .secret_scan import scan_secrets
 from .token_files import token_files
 
@@ -40,8 +41,12 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal_data(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_jaccard_join, op2_compression_bands, op4_language_id, op7_secret_scan, op8_source_mixing, op9_token_files)
+    for f in (op1_ngram_jaccard_join, op2_compression_bands, op4_language_id, op7_secret_scan, op8_source_mixing, op9_token_files, op10_personal_data)
 }
 ORACLES: dict[str, str] = {}
