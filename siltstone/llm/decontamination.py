@@ -176,12 +176,13 @@ def tagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for k in range(slices):
         rows = sorted(items.where(number == k).collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         ids = [r["item_id"] for r in rows]
-        index = docs.sparkSession.sparkContext.broadcast(build_index([plain(r["text"]) for r in rows]))
+        index = docs.sparkSession.sparkContext.broadcast(vars(build_index([plain(r["text"]) for r in rows])))
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, index=index) -> Iterator[pa.RecordBatch]:
+            known = Index(**index.value)
             for batch in batches:
                 texts = [plain((t or b"").decode()) for t in utf8(batch.column("text"))]
-                found = [[ids[i] for i in numbers] for numbers in find_items(texts, index.value)]
+                found = [[ids[i] for i in numbers] for numbers in find_items(texts, known)]
                 earlier = batch.column("found_items").to_pylist()
                 both = pa.array([e + f for e, f in zip(earlier, found, strict=True)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), both], [*names, "found_items"])

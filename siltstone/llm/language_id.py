@@ -61,6 +61,30 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, content: int = CONTENT) ->
     return {lang: " ".join(letters(t) for _, t in sorted(texts)).encode()[:content] for lang, texts in sorted(found.items())}
 
 
+class Classifier:
+    """The pressing dictionaries of one task."""
+
+    def __init__(self, dictionaries: dict[str, bytes]) -> None:
+        self.names = sorted(dictionaries)
+        params = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+        self.presses = []
+        for name in self.names:
+            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            content.precompute_compress(compression_params=params)
+            self.presses.append(zstandard.ZstdCompressor(dict_data=content, compression_params=params))
+
+    def language(self, raw: bytes | None) -> tuple[str, float]:
+        """The language and the relative distance of the second smallest sum."""
+        raw = letters((raw or b"").decode()).encode()
+        if not self.presses or not raw:
+            return NONE, 0.0
+        pieces = [raw[at : at + PIECE] for at in range(0, len(raw), PIECE)]
+        sums = np.array([sum(len(press.compress(piece)) for piece in pieces) for press in self.presses])
+        at = int(sums.argmin())
+        others = np.delete(sums, at)
+        return self.names[at], float((others.min() - sums[at]) / others.min()) if len(others) else 1.0
+
+
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` for every row of ``docs`` (``doc_id, text``).
 
@@ -68,39 +92,37 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
     score 0 and rejected, and so is every text when nothing was learnt. Of equal sums the first
     language by name is named. Only the text decides.
     """
-    names = sorted(dictionaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        params = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
-        presses = []
-        for name in names:
-            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(compression_params=params)
-            presses.append(zstandard.ZstdCompressor(dict_data=content, compression_params=params))
+        classifier = Classifier(dictionaries)
         for batch in batches:
-            pred, score, rejected = [], [], []
-            for raw in utf8(batch.column("text")):
-                raw = letters((raw or b"").decode()).encode()
-                if not presses or not raw:
-                    best, gap = NONE, 0.0
-                else:
-                    pieces = [raw[at : at + PIECE] for at in range(0, len(raw), PIECE)]
-                    sums = np.array([sum(len(press.compress(piece)) for piece in pieces) for press in presses])
-                    at = int(sums.argmin())
-                    others = np.delete(sums, at)
-                    best, gap = names[at], float((others.min() - sums[at]) / others.min()) if len(others) else 1.0
-                pred.append(best)
-                score.append(min(1.0, 4 * gap))
-                rejected.append(best == NONE or gap < margin)
+            found = [classifier.language(raw) for raw in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
+                [
+                    batch.column("doc_id"), pa.array([name for name, _ in found], pa.string()),
+                    pa.array([min(1.0, 4 * gap) for _, gap in found], pa.float64()),
+                    pa.array([name == NONE or gap < margin for name, gap in found], pa.bool_()),
+                ],
                 ["doc_id", "lang_pred", "score", "rejected"],
-            )
+            )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def recognised(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not rejected."""
+    dictionaries = learn(learning_rows(docs.select("doc_id", "text", "lang")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classifier = Classifier(dictionaries)
+        for batch in batches:
+            found = [classifier.language(raw) for raw in utf8(batch.column("text"))]
+            yield batch.filter(pa.array([name != NONE and gap >= margin for name, gap in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Learns from the labelled rows of ``docs`` and names the language of all of them.
 

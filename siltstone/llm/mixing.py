@@ -128,6 +128,21 @@ def mixed(docs: DataFrame, seed: int = SEED, block: int = BLOCK, shard: int = SH
     return lined.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "mark", "source")
 
 
+def mixture(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``docs`` as the mix takes them: every row as often as whole texts come nearest to its words.
+
+    Only the two documents at the ends of a run are taken in part; they come once more if at least
+    half of their words are taken. Texts without a word are not taken. All columns are kept.
+    """
+    plan = mixed(docs, seed).where("size > 0").groupBy("doc_id", "mark")
+    plan = plan.agg((F.sum("taken") / F.sum("size")).alias("times")).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+    plan = plan.withColumn("_times", F.floor(F.col("times") + 0.5).cast("int")).where("_times > 0").drop("times")
+    marked = docs.withColumns({"_row_id": F.col("doc_id").cast("long"), "_row_mark": row_mark(seed)})
+    both = marked.join(plan, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_mark") == F.col("_mark")))
+    again = both.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return again.drop("_id", "_mark", "_times", "_row_id", "_row_mark", "_again")
+
+
 def row_mark(seed: int = SEED) -> Column:
     """A seeded hash of a row's id and text: the order of the mix, whatever the partitions."""
     return F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text").cast("string"))

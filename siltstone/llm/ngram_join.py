@@ -89,7 +89,7 @@ def _sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
 
 
 def _rows(docs: DataFrame, size: int, bits: int, order) -> DataFrame:
-    """``doc_id, n, digest, head``: set size, name of the set, and its first columns in order."""
+    """``doc_id, mark, n, digest, head``: hash of the text, set size, name of the set, its first columns in order."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = order.value
@@ -101,11 +101,12 @@ def _rows(docs: DataFrame, size: int, bits: int, order) -> DataFrame:
                 kept = np.lexsort((found, counts[_bucket(found, bits)]))[: len(found) - _least(len(found)) + 1]
                 head.append(found[kept].tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(head, pa.binary())],
-                ["doc_id", "n", "digest", "head"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(head, pa.binary())],
+                ["doc_id", "mark", "n", "digest", "head"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, n long, digest binary, head binary")
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    return marked.mapInArrow(compute, "doc_id long, mark long, n long, digest binary, head binary")
 
 
 def _deal(classes: DataFrame, blocks: int, bits: int, order) -> DataFrame:
@@ -289,14 +290,15 @@ def _heavy_links(sets_of, members: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id, text``).
+    """``doc_id, n_shingles, component_id, root, mark`` for every row of ``docs`` (``doc_id, text``).
 
     Two rows link when their sets of lower-cased word n-grams have a Jaccard similarity of 0.75 or
     more; ``component_id`` is the smallest ``doc_id`` reached by links. A text with fewer words than
     an n-gram is one n-gram; an empty or NULL text has no set, links with nothing and keeps its own
     id. Repeated rows link with each other and all come back. A row with a NULL ``doc_id`` comes back
     and links with rows of the very same set only; without such a row its component is NULL. An empty
-    table gives an empty result. Other columns are not read.
+    table gives an empty result. Other columns are not read. ``root`` numbers the components of this
+    run, NULL for an empty set, and ``mark`` is a hash of the text.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
@@ -332,7 +334,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, sketch_bits: int = S
     named = classes.select("row", "digest", "doc_id").join(reached, classes["row"] == reached["node"], "left")
     named = named.select("digest", "doc_id", F.coalesce("root", "row").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = named.join(least, "root").select("digest", "component_id")
-    return rows.join(labels, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    labels = named.join(least, "root").select("digest", "component_id", "root")
+    return rows.drop("head").join(labels, "digest", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root", "mark"
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of every component, all columns kept.
+
+    It is the row with the smallest ``doc_id``, NULL last, and of rows with that id the one with the
+    smallest hash of the text; of rows alike in both any one stays. Empty texts link with nothing, so
+    all of them stay but repeated rows.
+    """
+    linked = jaccard_components(docs)
+    known = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    first = linked.where("root IS NOT NULL").groupBy("root").agg(F.min(known).alias("kept")).select("kept.doc_id", "kept.mark")
+    first = first.unionByName(linked.where("root IS NULL").select("doc_id", "mark")).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+    marked = docs.withColumns({"_kept_id": F.col("doc_id").cast("long"), "_kept_mark": F.xxhash64(F.col("text").cast("string"))})
+    same = F.col("_kept_id").eqNullSafe(F.col("_id")) & (F.col("_kept_mark") == F.col("_mark"))
+    return marked.join(first, same, "left_semi").dropDuplicates(["_kept_id", "_kept_mark"]).drop("_kept_id", "_kept_mark")

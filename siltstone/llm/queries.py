@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .compression_bands import judge_quality
+from .decontamination import contamination
 from .language_id import identify
+from .license_scan import known_digests, oracle, scan_licenses
 from .mixing import mixed
 from .ngram_join import jaccard_components
+from .page_text import extract_text
 from .personal_data import find_personal_data
 from .secret_scan import scan_secrets
 from .token_files import token_files
@@ -25,10 +28,22 @@ def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return judge_quality(table(spark, folder, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"), known_digests(spark))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op6_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
@@ -46,7 +61,18 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
-    for f in (op1_ngram_jaccard_join, op2_compression_bands, op4_language_id, op7_secret_scan, op8_source_mixing, op9_token_files, op10_personal_data)
+    query.__name__: query
+    for query in (
+        op1_ngram_jaccard_join,
+        op2_compression_bands,
+        op3_license_scan,
+        op4_language_id,
+        op5_benchmark_decontamination,
+        op6_page_text,
+        op7_secret_scan,
+        op8_source_mixing,
+        op9_token_files,
+        op10_personal_data,
+    )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_license_scan": oracle()}
