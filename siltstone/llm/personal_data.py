@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.star import BROADCAST_BYTES, measured_bytes
 from ..sources.workspace import stage
 
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -125,9 +126,16 @@ def _beside(placed: DataFrame) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """``word, total``: how often each of ``words`` stands in all texts, counted before the exchange."""
+    """``word, total``: how often each of ``words`` stands in all texts.
+
+    The words are sent to the texts if their measured size allows it, so that no other word leaves
+    its task; if not, all words are counted in their tasks and the counts are joined.
+    """
     said = docs.select(F.explode(F.split(F.lower(F.col("text").cast("string")), r"\s+")).alias("word"))
-    return said.join(words, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("total"))
+    count = F.count(F.lit(1)).alias("total")
+    if measured_bytes(words) <= BROADCAST_BYTES:
+        return said.join(F.broadcast(words), "word", "left_semi").groupBy("word").agg(count)
+    return said.groupBy("word").agg(count).join(words, "word", "left_semi")
 
 
 def _reliable(beside: DataFrame, docs: DataFrame) -> DataFrame:
@@ -135,7 +143,7 @@ def _reliable(beside: DataFrame, docs: DataFrame) -> DataFrame:
     edges = beside.groupBy("side", "word", "token").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
     edges = stage(edges, "edges")
     induced = edges.where("seed").groupBy("side", "word").agg(F.count(F.lit(1)).alias("seeds"))
-    induced = induced.where(F.col("seeds") >= SUPPORT)
+    induced = stage(induced.where(F.col("seeds") >= SUPPORT), "induced")
     totals = _occurrences(docs, induced.select("word").distinct())
     patterns = stage(induced.join(totals, "word"), "patterns").select("side", "word", "total")
     graph = stage(edges.join(patterns, ["side", "word"]), "graph")
