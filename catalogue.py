@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -195,16 +195,20 @@ def dim_location(spark: SparkSession, folder: str) -> DataFrame:
     return versioned.drop("location_key", "row_hash")
 
 
+def months_of(df: DataFrame, moment: str) -> list[str]:
+    """The months that occur; the driver gathers as many rows as there are months."""
+    found = df.where(F.col(moment).isNotNull()).select(F.date_format(moment, "yyyy-MM").alias("month")).distinct()
+    return sorted(r["month"] for r in found.collect()) or ["1970-01"]
+
+
 def table_source(spark: SparkSession, folder: str) -> DataFrame:
     database = scratch_database(spark)
     spark.sql(
         f"CREATE TABLE {database}.samples USING parquet LOCATION '{folder}/events.parquet'"
     )
-    months = [
-        landing.table_month(spark, f"{database}.samples", "ts", month, "batch")
-        for month in ("2023-12", "2024-01", "2024-02")
-    ]
-    whole = months[0].unionByName(months[1]).unionByName(months[2])
+    source = f"{database}.samples"
+    months = [landing.table_month(spark, source, "ts", m, "batch") for m in months_of(spark.table(source), "ts")]
+    whole = reduce(DataFrame.unionByName, months)
     return whole.select("event_id", "ts", "user_id", "event_type", "value", "load_month")
 
 
@@ -299,7 +303,8 @@ def quarantine_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 def reconcile_layers(spark: SparkSession, folder: str) -> DataFrame:
     side = shipped(spark, folder)
-    return rules.reconcile(side.raw, side.valid, side.quarantine)
+    raw = add_trip_id(conform(side.raw, SHIPMENTS), SHIPMENTS.natural_key)
+    return rules.reconcile(raw, side.valid, side.quarantine)
 
 
 # --- dimensions -----------------------------------------------------------------------------
@@ -541,6 +546,28 @@ def scd2_changed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def schema_widening(spark: SparkSession, folder: str) -> DataFrame:
+    """Years written one half after the other; the later half brings a column more."""
+    table = f"{scratch_database(spark)}.orders"
+    orders = read(spark, folder, "orders").withColumn("load_month", F.year("o_orderdate").cast("string"))
+    for later, columns in ((False, []), (True, ["o_totalprice"])):
+        part = orders.where((F.col("load_month") >= "1998") == F.lit(later)).select("o_orderkey", "o_custkey", *columns, "load_month")
+        years = [r["load_month"] for r in part.select("load_month").distinct().collect()]  # as many rows as there are years
+        tables.replace_partitions(part, table, years)
+    return spark.table(table)
+
+
+def scd2_untracked(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads with a column that is kept but opens no version."""
+    table = f"{scratch_database(spark)}.customers"
+    first = read(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    moved = F.when(F.col("c_custkey") % 3 == 0, F.lit("MOVED")).otherwise(F.col("c_mktsegment"))
+    later = first.withColumns({"c_mktsegment": moved, "c_acctbal": F.col("c_acctbal") + 1})
+    for day, load in (("2024-01-01", first), ("2024-02-01", later)):
+        tables.upsert_scd2(load, table, ["c_custkey"], ["c_mktsegment"], day, "customer_key")
+    return spark.table(table).drop("customer_key", "row_hash")
+
+
 def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
     customers = read(spark, folder, "customer")
     return history.snapshot_diff(customers, second_customers(customers), ["c_custkey"])
@@ -633,7 +660,7 @@ def lakehouse(spark: SparkSession, folder: str) -> Lakehouse:
                 "gold.fct_trips": ("pickup_date_key", "pickup_location_key"),
             },
         )
-        run_layers(spark, lake, "2024-01 2024-02")
+        run_layers(spark, lake, months_of(spark.table(source), "Started"))
         _RUNS[key] = lake
     return _RUNS[key]
 
@@ -769,6 +796,8 @@ QUERIES: dict[str, Query] = {
     "split_valid": split_valid,
     "split_quarantine": split_quarantine,
     "reconcile_layers": reconcile_layers,
+    "schema_widening": schema_widening,
+    "scd2_untracked": scd2_untracked,
     "quarantine_reasons": quarantine_reasons,
     "quarantine_sample": quarantine_sample,
     # dimensions

@@ -333,7 +333,16 @@ ORPHAN_KEYS = (
     "pickup_date_key dropoff_date_key pickup_time_key dropoff_time_key vendor_key rate_code_key"
 ).split()
 
-DQ = f"""{SHIPMENT_FACT},
+DQ = f"""{SHIPMENT_FACT},{CLOCK},{days('valid')},{SHIPMENT_PAYMENTS},{SHIPMENT_RATES},{SHIPMENT_VENDORS},
+orphan AS (
+  SELECT count(*) FILTER (coalesce(pickup_id, -1) NOT IN (SELECT id FROM location)) AS pickup_location,
+         count(*) FILTER (coalesce(dropoff_id, -1) NOT IN (SELECT id FROM location)) AS dropoff_location,
+         count(*) FILTER (pickup_date_key NOT IN (SELECT date_key FROM day)) + count(*) FILTER (dropoff_date_key NOT IN (SELECT date_key FROM day))
+         + count(*) FILTER (pickup_time_key NOT IN (SELECT time_key FROM minutes)) + count(*) FILTER (dropoff_time_key NOT IN (SELECT time_key FROM minutes))
+         + count(*) FILTER (vendor_key NOT IN (SELECT vendor_key FROM vendor)) + count(*) FILTER (rate_code_key NOT IN (SELECT rate_code_key FROM rate))
+         + count(*) FILTER (payment_type_key NOT IN (SELECT payment_type_key FROM payment)) AS others
+  FROM fact
+),
 result AS (
   SELECT 'silver.fct_source_trips' AS target, 'no_duplicate_trip_ids' AS expectation, 'fail' AS severity,
          (SELECT count(*) FROM (SELECT trip_id FROM valid GROUP BY trip_id HAVING count(*) > 1)) AS observed,
@@ -341,8 +350,10 @@ result AS (
   UNION ALL SELECT 'silver.fct_source_trips', 'surrogate_keys_not_null', 'fail',
          (SELECT count(*) FROM valid WHERE trip_id IS NULL), '== 0'
   UNION ALL SELECT 'silver.fct_source_trips', 'nothing_observed', 'warn', NULL, '== 0'
-  UNION ALL SELECT 'gold.fct_trips', 'no_orphan_location_keys', 'fail', 0, '== 0'
-  UNION ALL SELECT 'gold.fct_trips', 'no_orphan_keys', 'fail', 0, '== 0'
+  UNION ALL SELECT 'gold.fct_trips', 'no_orphan_location_keys', 'fail',
+         (SELECT pickup_location + dropoff_location FROM orphan), '== 0'
+  UNION ALL SELECT 'gold.fct_trips', 'no_orphan_keys', 'fail',
+         (SELECT pickup_location + dropoff_location + others FROM orphan), '== 0'
   UNION ALL SELECT 'gold.fct_trips', 'tip_ratio_within_bounds', 'warn',
          (SELECT count(*) FROM fact WHERE tip_pct > 1.0), '== 0'
   UNION ALL SELECT 'gold.fct_trips', 'fact_matches_silver_rowcount', 'fail',
@@ -350,7 +361,11 @@ result AS (
   UNION ALL SELECT 'gold.fct_trips', 'few_generous_tips', 'warn',
          (SELECT count(*) FROM fact WHERE tip_pct > 0.1), '<= 0'
 ),
-judged AS (SELECT *, coalesce(observed = 0, false) AS passed FROM result)"""
+judged AS (SELECT *, coalesce(CASE split_part(expected, ' ', 1)
+    WHEN '==' THEN observed = split_part(expected, ' ', 2)::BIGINT WHEN '!=' THEN observed <> split_part(expected, ' ', 2)::BIGINT
+    WHEN '<=' THEN observed <= split_part(expected, ' ', 2)::BIGINT WHEN '>=' THEN observed >= split_part(expected, ' ', 2)::BIGINT
+    WHEN '<' THEN observed < split_part(expected, ' ', 2)::BIGINT ELSE observed > split_part(expected, ' ', 2)::BIGINT END, false) AS passed
+  FROM result)"""
 
 TWO_RUNS = "(SELECT 'first' AS run_id UNION ALL SELECT 'second')"
 DQ_COLUMNS = "target, expectation, severity, observed, expected, passed"
@@ -363,7 +378,7 @@ ORACLES: dict[str, str] = {
         '1995-01' AS load_month FROM lineitem""",
     "bronze_csv_lookup": using(MESSY, "SELECT * FROM messy"),
     "table_source": """SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y-%m') AS load_month
-        FROM events WHERE strftime(ts, '%Y-%m') IN ('2023-12', '2024-01', '2024-02')""",
+        FROM events""",
     "months_scan": using(
         SHIPMENTS,
         """SELECT trip_id, order_key, line_number, total_amount, load_month FROM valid
@@ -403,8 +418,8 @@ ORACLES: dict[str, str] = {
     "reconcile_layers": using(
         SHIPMENTS,
         """SELECT load_month, ingeridas, coalesce(aceitas, 0) AS aceitas, coalesce(rejeitadas, 0) AS rejeitadas,
-          ingeridas - coalesce(aceitas, 0) - coalesce(rejeitadas, 0) AS duplicadas
-        FROM (SELECT load_month, count(*) AS ingeridas FROM typed GROUP BY load_month)
+          ingeridas - distintas AS duplicadas, distintas - coalesce(aceitas, 0) - coalesce(rejeitadas, 0) AS diferenca
+        FROM (SELECT load_month, count(*) AS ingeridas, count(DISTINCT trip_id) AS distintas FROM identified GROUP BY load_month)
         LEFT JOIN (SELECT load_month, count(*) AS aceitas FROM valid GROUP BY load_month) USING (load_month)
         LEFT JOIN (SELECT load_month, count(*) AS rejeitadas FROM rejected GROUP BY load_month) USING (load_month)""",
     ),
@@ -530,6 +545,15 @@ ORACLES: dict[str, str] = {
         """SELECT c_custkey, CASE WHEN NOT was THEN 'added' WHEN NOT is_now THEN 'removed' ELSE 'changed' END AS change
         FROM pair WHERE NOT was OR NOT is_now OR differs""",
     ),
+    "schema_widening": """SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS VARCHAR) AS load_month,
+        CASE WHEN year(o_orderdate) >= 1998 THEN o_totalprice END AS o_totalprice FROM orders""",
+    "scd2_untracked": """WITH later AS (
+          SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'MOVED' ELSE c_mktsegment END AS segment, c_acctbal + 1 AS balance,
+                 c_custkey % 3 = 0 AND c_mktsegment <> 'MOVED' AS differs FROM customer),
+        both_loads AS (SELECT c.c_custkey, c.c_mktsegment, c.c_acctbal, l.segment, l.balance, l.differs FROM customer c JOIN later l USING (c_custkey))
+        SELECT c_custkey, c_mktsegment, c_acctbal, DATE '1900-01-01' AS effective_from,
+               CASE WHEN differs THEN DATE '2024-01-31' ELSE DATE '9999-12-31' END AS effective_to, NOT differs AS is_current FROM both_loads
+        UNION ALL SELECT c_custkey, segment, balance, DATE '2024-02-01', DATE '9999-12-31', true FROM both_loads WHERE differs""",
     "clustered_rewrite": using(
         SHIPMENTS,
         """SELECT trip_id, order_key, line_number, trip_distance_mi, total_amount, pu_location_id, pickup_datetime,
@@ -636,7 +660,7 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'fct_source_trips', count(*) FROM valid
           UNION ALL SELECT 'fct_source_trips_quarantine', count(*) FROM rejected
           UNION ALL SELECT 'dim_source_zones', count(*) FROM nation
-          UNION ALL SELECT 'dim_date', date_diff('day', DATE '2024-01-01', DATE '2024-02-29') + 1
+          UNION ALL SELECT 'dim_date', (SELECT date_diff('day', least(date_trunc('month', min(pickup_datetime))::DATE, (SELECT date_trunc('month', min(ts))::DATE FROM events)), greatest(last_day(greatest(max(dropoff_datetime), max(pickup_datetime))::DATE), (SELECT last_day(max(ts)::DATE) FROM events))) + 1 FROM valid)
           UNION ALL SELECT 'dim_time', 1440
           UNION ALL SELECT 'dim_vendor', 9
           UNION ALL SELECT 'dim_rate_code', 7

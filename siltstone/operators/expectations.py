@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import Expectation
@@ -37,8 +37,12 @@ def evaluate(
     """One result row per expectation, all in one job.
 
     ``names`` fills the placeholders of the queries: text is put in as it is, a DataFrame under a
-    view made for the purpose. A query that yields NULL is a failed expectation.
+    view made for the purpose. Each query is a scalar subquery of one statement: no row, or NULL, is a
+    failed expectation, more than one row and a number with a fraction fail the job. So there are as
+    many results as expectations, and Spark may answer several of them by one scan.
     """
+    if not expectations:
+        raise ValueError(f"no expectations for {target}")
     views = {
         key: f"dq_{key}_{uuid.uuid4().hex}"
         for key, value in names.items()
@@ -48,26 +52,34 @@ def evaluate(
         names[key].createOrReplaceTempView(view)
     filled = {key: views.get(key, value) for key, value in names.items()}
     try:
-        results = None
-        for wanted in expectations:
-            number = spark.sql(wanted.query.format(**filled)).toDF("observed")
-            row = number.select(
-                F.current_timestamp().alias("run_at"),
-                F.lit(run_id).alias("run_id"),
-                F.lit(target).alias("target"),
+        asked = [f"({wanted.query.format(**filled)}) AS n{i}" for i, wanted in enumerate(expectations)]
+        numbers = spark.sql(f"SELECT {', '.join(asked)}")
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
+    each = []
+    for i, wanted in enumerate(expectations):
+        observed = _whole(F.col(f"n{i}"), wanted.name)
+        each.append(
+            F.struct(
                 F.lit(wanted.name).alias("expectation"),
                 F.lit(wanted.severity).alias("severity"),
-                F.col("observed").cast("bigint").alias("observed"),
+                observed.alias("observed"),
                 F.lit(wanted.expect).alias("expected"),
-                meets_column(F.col("observed").cast("bigint"), wanted.expect).alias("passed"),
+                meets_column(observed, wanted.expect).alias("passed"),
             )
-            results = row if results is None else results.unionByName(row)
-    finally:
-        for view in views.values():
-            spark.catalog.dropTempView(view)
-    if results is None:
-        raise ValueError(f"no expectations for {target}")
-    return results
+        )
+    found = numbers.select(F.inline(F.array(*each)))
+    return found.select(
+        F.current_timestamp().alias("run_at"), F.lit(run_id).alias("run_id"), F.lit(target).alias("target"), *found.columns
+    )
+
+
+def _whole(number: Column, name: str) -> Column:
+    """``number`` as a whole one; a fraction fails the job instead of being cut off."""
+    exact = number.cast("decimal(38,9)")
+    broken = F.raise_error(F.lit(f"expectation {name} observed a number with a fraction")).cast("bigint")
+    return F.when(exact.isNull() | (exact == F.floor(exact)), number.cast("bigint")).otherwise(broken)
 
 
 def gate(results: Iterable[Row], target: str) -> None:

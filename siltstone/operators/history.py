@@ -15,17 +15,32 @@ HIGH_DATE = "9999-12-31"
 
 
 def scd1_merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows replace their namesakes; target rows nobody mentions stay."""
+    """Incoming rows replace their namesakes; target rows nobody mentions stay.
+
+    A column that only ``incoming`` has is added, NULL in the rows that stay; one that only
+    ``target`` has raises.
+    """
+    target = _widened(target, incoming, "upsert")
     fresh = unique_rows(incoming.select(*target.columns), keys, "upsert")
     return target.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
 
 
+def _widened(target: DataFrame, incoming: DataFrame, what: str, own: Sequence[str] = ()) -> DataFrame:
+    """``target`` with the columns it lacks; ``own`` are those that ``incoming`` need not have."""
+    missing = [name for name in target.columns if name not in incoming.columns and name not in own]
+    if missing:
+        raise ValueError(f"{what} lacks {', '.join(missing)}")
+    added = {f.name: F.lit(None).cast(f.dataType) for f in incoming.schema.fields if f.name not in target.columns}
+    return target.withColumns(added) if added else target
+
+
 def _first_versions(
-    incoming: DataFrame, keys: Sequence[str], tracked: Sequence[str], start: Column, surrogate: str
+    incoming: DataFrame, keys: Sequence[str], tracked: Sequence[str], rest: Sequence[str], start: Column, surrogate: str
 ) -> DataFrame:
     return incoming.select(
         *keys,
         *tracked,
+        *rest,
         start.alias("effective_from"),
         F.lit(HIGH_DATE).cast("date").alias("effective_to"),
         F.lit(True).alias("is_current"),
@@ -55,22 +70,27 @@ def scd2_merge(
     new one; a change on the very day the current version began replaces that version; a change
     dated before it fails the job. Unchanged members and members the load does not mention stay as
     they are. The first version of a member is open from ``open_from``, so facts older than the
-    first load still find it (``None`` opens it on ``effective_date``).
+    first load still find it (``None`` opens it on ``effective_date``). Columns that are neither keys
+    nor tracked are kept with the version they came with and open no version; a new one is NULL in
+    older versions, and a load that lacks one raises.
     """
     keys, tracked = list(keys), list(tracked)
     day = F.lit(effective_date).cast("date")
     begin = day if open_from is None else F.lit(open_from).cast("date")
-    fresh = unique_rows(incoming.select(*keys, *tracked), keys, "history load")
+    own = ("effective_from", "effective_to", "is_current", "row_hash", surrogate)
+    rest = [name for name in incoming.columns if name not in (*keys, *tracked, *own)]
+    fresh = unique_rows(incoming.select(*keys, *tracked, *rest), keys, "history load")
     if target is None:
-        return _first_versions(fresh, keys, tracked, begin, surrogate)
+        return _first_versions(fresh, keys, tracked, rest, begin, surrogate)
 
-    columns = [*keys, *tracked, "effective_from", "effective_to", "is_current", "row_hash", surrogate]
+    target = _widened(target, fresh, "history load", own)
+    columns = [*keys, *tracked, *rest, "effective_from", "effective_to", "is_current", "row_hash", surrogate]
     closed = target.where(~F.col("is_current")).select(*columns)
     current = unique_rows(
         target.where("is_current").select(*columns), keys, "current versions"
     ).select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("now"))
     offered = fresh.select(
-        *keys, F.struct(*tracked, row_hash(tracked).alias("row_hash")).alias("new")
+        *keys, F.struct(*tracked, *rest, row_hash(tracked).alias("row_hash")).alias("new")
     )
     paired = current.join(offered, keys, "full")
 
@@ -87,7 +107,7 @@ def scd2_merge(
 
     def version(source: str, start: Column, end: Column, is_current: Column) -> Column:
         return F.struct(
-            *[F.col(f"{source}.{name}").alias(name) for name in tracked],
+            *[F.col(f"{source}.{name}").alias(name) for name in [*tracked, *rest]],
             start.alias("effective_from"),
             end.alias("effective_to"),
             is_current.alias("is_current"),
@@ -119,7 +139,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     Only keys and a content hash travel: both snapshots are grouped together once, with partial
     aggregation, instead of being sorted and joined. Repeated keys are compared as a bag. The two
     halves of the hash are summed apart, which cannot overflow below two billion copies of a key.
+    Snapshots with different columns raise.
     """
+    if set(old.columns) != set(new.columns):
+        raise ValueError(f"snapshots differ in {', '.join(sorted(set(old.columns) ^ set(new.columns)))}")
     compared = [name for name in new.columns if name not in keys]
 
     def side(df: DataFrame, mark: int) -> DataFrame:

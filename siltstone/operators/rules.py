@@ -67,17 +67,23 @@ def quarantine_sample(
 def reconcile(raw: DataFrame, valid: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Per month: rows ingested = rows accepted + rows quarantined + duplicates removed.
 
-    Each input is reduced to its month before the union, so that one small exchange of partial
-    counts settles all three.
+    Duplicates are counted on the raw side alone, as rows beyond the first of each ``trip_id``, so
+    ``diferenca`` shows rows that were lost (above 0) or made up (below 0) on the way. Only ids and
+    months travel, and copies of an id shrink to one row per task before the exchange.
     """
-    sides = {"ingeridas": raw, "aceitas": valid, "rejeitadas": quarantine}
-    marked = None
-    for name, side in sides.items():
-        part = side.select("load_month", F.lit(name).alias("_side"))
-        marked = part if marked is None else marked.unionByName(part)
-    counts = marked.groupBy("load_month").agg(
-        *[F.count_if(F.col("_side") == name).alias(name) for name in sides]
-    )
-    return counts.withColumn(
-        "duplicadas", F.col("ingeridas") - F.col("aceitas") - F.col("rejeitadas")
+    each = raw.groupBy("load_month", "trip_id").agg(F.count(F.lit(1)).alias("_copies"))
+    ingested = each.groupBy("load_month").agg(
+        F.sum("_copies").alias("ingeridas"), F.sum(F.col("_copies") - 1).alias("duplicadas")
     )
+    sides = {"ingeridas": F.lit(None), "duplicadas": F.lit(None), "aceitas": F.lit(None), "rejeitadas": F.lit(None)}
+
+    def side(df: DataFrame, *known: str) -> DataFrame:
+        return df.select("load_month", *[(F.col(n) if n in known else gap.cast("long").alias(n)) for n, gap in sides.items()])
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return side(df.groupBy("load_month").agg(F.count(F.lit(1)).alias(name)), name)
+
+    all_sides = side(ingested, "ingeridas", "duplicadas").unionByName(counted(valid, "aceitas")).unionByName(counted(quarantine, "rejeitadas"))
+    totals = all_sides.groupBy("load_month").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sides])
+    left = F.col("ingeridas") - F.col("aceitas") - F.col("rejeitadas") - F.col("duplicadas")
+    return totals.withColumn("diferenca", left)

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import Domain, Expectation
-from ..operators import dimensions, expectations, star
+from ..operators import dimensions, expectations, rules, star
+from ..operators.identity import add_trip_id
 from ..operators.expectations import RESULT_COLUMNS
 from ..sources import landing, tables
 from ..sources.workspace import staged
-from .silver import tagged_trips
+from .silver import conform, tagged_trips
 
 LAYERS = ("bronze", "silver", "gold")
 TRACKED = ("borough", "zone", "service_zone", "is_airport")
@@ -218,6 +219,18 @@ def check_layer(
         return _record(spark, lake, wanted, target, run_id, names)
 
 
+def settle(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> None:
+    """Stop the run when a month has more or fewer rows in silver than its raw rows account for."""
+    raw = conform(landing.raw_months(spark, lake.raw_root, months, lake.streamed), lake.domain)
+    ids = add_trip_id(raw, lake.domain.natural_key).select("load_month", "trip_id")
+    silver, quarantine = (landing.only_months(spark.table(t), months) for t in (lake.valid, lake.quarantine))
+    # as many rows as there are months
+    broken = rules.reconcile(ids, silver, quarantine).where("diferenca <> 0").orderBy("load_month").collect()
+    if broken:
+        gaps = ", ".join(f"{r['load_month']}: {r['diferenca']}" for r in broken)
+        raise expectations.ExpectationFailed(f"rows unaccounted for between bronze and silver ({gaps})")
+
+
 def _record(
     spark: SparkSession,
     lake: Lakehouse,
@@ -258,6 +271,7 @@ def run_layers(
         elif name == "silver":
             counts[name] = silver_layer(spark, lake, months)
             if not skip_quality:
+                settle(spark, lake, months)
                 check_layer(spark, lake, "silver.fct_source_trips", months, run_id)
         else:
             counts[name] = gold_layer(spark, lake, months)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.guards import insist
 from ..operators.history import scd1_merge, scd2_merge
-from .workspace import staged
+from .workspace import discard
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -34,6 +34,28 @@ def _create(df: DataFrame, table: str, partition_by: Sequence[str], comment: str
     df.sparkSession.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {parts} {note}")
 
 
+def _columns(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+
+def fitted(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the columns of ``table``, which is widened by columns it does not have yet.
+
+    Older rows hold NULL in a new column. A column that is missing from ``df`` or has another type
+    raises: neither is filled or cast without a word.
+    """
+    spark = df.sparkSession
+    known, given = _columns(spark.table(table)), _columns(df)
+    missing = [name for name in known if name not in given]
+    other = [f"{n} is {given[n]}, not {known[n]}" for n in known if n in given and given[n] != known[n]]
+    if missing or other:
+        raise ValueError(f"rows do not fit {table}: " + "; ".join([*(f"{n} is missing" for n in missing), *other]))
+    added = ", ".join(f"`{name}` {kind}" for name, kind in given.items() if name not in known)
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    return df.select(*spark.table(table).columns)
+
+
 def replace_partitions(
     df: DataFrame,
     table: str,
@@ -49,13 +71,14 @@ def replace_partitions(
     the scope is checked and the partitions counted while the rows pass. ``rebalance`` shuffles
     rows to their partition first, with hot partitions split by size; leave it off when the input
     already arrives one partition per task. The table may be an input of ``df``. Readers may meet
-    the moment in which old folders are exchanged for new ones.
+    the moment in which old folders are exchanged for new ones. New columns widen the table, and a
+    missing column or another type raises (see ``fitted``).
     """
     spark = df.sparkSession
     scope = list(dict.fromkeys(scope))
     _create(df, table, [by], comment)
     rows = insist(
-        df.select(*spark.table(table).columns),
+        fitted(df, table),
         F.col(by).isin(*scope),
         f"row outside the replaced partitions of {table}",
     )
@@ -75,20 +98,57 @@ def replace_partitions(
 
 
 def full_overwrite(df: DataFrame, table: str, comment: str | None = None) -> None:
-    """Replace an unpartitioned table.
+    """Replace an unpartitioned table, also by one with other columns.
 
-    The new content of an existing table is staged first: it may be computed from that very table,
-    and a computation that fails leaves the old content in place.
+    The new content is written to a folder of its own while the table stays as it is, so it may be
+    computed from that very table, and a failure at any point of the computation or of the writing
+    leaves the old content readable. Then one step in the catalog points the table to the new folder;
+    with other columns a table of that folder takes over the name. The old folder goes last.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        with staged(df, "overwrite") as content:
-            content.write.mode("overwrite").saveAsTable(table)
+        _switch(df, table)
     else:
         df.write.saveAsTable(table)
     if comment:
-        note = comment.replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {table} IS '{note}'")
+        _comment(spark, table, comment)
+
+
+def _switch(df: DataFrame, table: str) -> None:
+    spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    place = f"{home.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    try:
+        df.write.parquet(place)
+    except Exception:
+        discard(spark, place)
+        raise
+    if _columns(df) == _columns(spark.table(table)):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+    else:
+        prefix = f"{database}." if database else ""
+        following, former = (f"{prefix}{name}_{mark}_{uuid.uuid4().hex}" for mark in ("next", "old"))
+        columns = ", ".join(f"`{n}` {kind}" for n, kind in _columns(df).items())
+        spark.sql(f"CREATE TABLE {following} ({columns}) USING parquet LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+        try:
+            spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
+            raise
+        if details.get("Comment"):
+            _comment(spark, table, details["Comment"])
+        details["Location"] = spark.sql(f"DESCRIBE TABLE EXTENDED {former}").where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"DROP TABLE {former}")
+    spark.catalog.refreshTable(table)
+    discard(spark, details["Location"])
+
+
+def _comment(spark: SparkSession, table: str, comment: str) -> None:
+    note = comment.replace("'", "\\'")
+    spark.sql(f"COMMENT ON TABLE {table} IS '{note}'")
 
 
 def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:

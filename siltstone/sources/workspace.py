@@ -42,6 +42,12 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a run made, wherever it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
     """``df`` as a table in the shared folder that is dropped again after the block.

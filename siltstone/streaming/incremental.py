@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..contracts import Domain
+from ..functions.guards import insist
 from ..operators.history import snapshot_diff
 from ..operators.star import build_fact
 from ..sources.tables import replace_partitions
@@ -30,8 +31,9 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Take every landed file the checkpoint has not seen yet, then stop.
 
-    The month comes from the file's name. The file sink commits each batch once, so a run that is
-    cut short and repeated neither loses nor repeats rows. Read the result by its root folder,
+    The month comes from the file's name, and a file without one fails the batch. A file that lands
+    again under the same name is not taken again. The file sink commits each batch once, so a run that
+    is cut short and repeated neither loses nor repeats rows. Read the result by its root folder,
     where Spark finds the list of committed files.
     """
     landed = (
@@ -45,6 +47,7 @@ def ingest_new_files(
             "load_month": F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH, 1),
         }
     )
+    raw = insist(raw, F.col("load_month") != "", "landed file without a month in its name")
     return (
         raw.writeStream.format("parquet")
         .partitionBy("load_month")

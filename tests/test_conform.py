@@ -53,12 +53,12 @@ def test_cast_turns_bad_values_into_null_and_missing_money_into_zero(spark):
 
 
 def test_derived_columns(raw_trips):
-    row = derive(conform(raw_trips, TRIPS)).where("vendor_id = 1 AND trip_distance_mi = 3.2").first()
-    assert row["trip_duration_min"] == 25.0
-    assert row["trip_distance_km"] == pytest.approx(5.150)
-    assert row["avg_speed_kmh"] == pytest.approx(12.36)
-    assert row["tip_pct"] == pytest.approx(0.2222)
-    assert row["pickup_hour"] == 8 and row["is_airport_trip"] is False
+    row = derive(conform(raw_trips, TRIPS)).where("vendor_id = 6").first()
+    assert row["trip_duration_min"] == 80.0
+    assert row["trip_distance_km"] == pytest.approx(24.945)
+    assert row["avg_speed_kmh"] == pytest.approx(18.71)
+    assert row["tip_pct"] == pytest.approx(0.25)
+    assert row["pickup_hour"] == 6 and row["is_airport_trip"] is True
 
 
 def test_speed_is_null_without_duration_and_tip_is_zero_without_fare(spark):
@@ -72,7 +72,7 @@ def test_speed_is_null_without_duration_and_tip_is_zero_without_fare(spark):
 
 def test_same_trip_same_id(raw_trips):
     ids = add_trip_id(conform(raw_trips, TRIPS), NATURAL_KEY)
-    assert ids.count() == 7 and ids.select("trip_id").distinct().count() == 6
+    assert ids.count() == 12 and ids.select("trip_id").distinct().count() == 11
     assert ids.where("length(trip_id) <> 64").count() == 0
 
 
@@ -86,7 +86,7 @@ def test_id_needs_utc(spark, raw_trips):
 
 
 def test_copies_are_removed(raw_trips):
-    assert prepare(raw_trips, TRIPS).count() == 6
+    assert prepare(raw_trips, TRIPS).count() == 11
 
 
 def test_last_ingested_copy_wins_and_ties_do_not_depend_on_partitioning(spark):
@@ -120,13 +120,14 @@ def test_a_copy_in_another_month_is_judged_there(raw_trips):
 
 def test_quarantine_keeps_the_reasons(raw_trips):
     valid, invalid = build_trips(raw_trips, TRIPS)
-    assert valid.count() == 3 and invalid.count() == 3
+    assert valid.count() == 6 and invalid.count() == 5
     assert "_violations" not in valid.columns and "_quarantined_at" in invalid.columns
     reasons = {r["motivo"]: r["linhas"] for r in quarantine_reasons(invalid).collect()}
     assert reasons == {
         "chronological_order": 1,
-        "duration_within_bounds": 1,
+        "duration_within_bounds": 2,
         "distance_positive": 1,
+        "passenger_count_plausible": 1,
         "pickup_within_declared_month": 1,
     }
     assert quarantine_sample(invalid, "distance_positive").count() == 1
@@ -151,8 +152,16 @@ def test_rule_names_are_unique():
 
 def test_every_row_is_accounted_for(raw_trips):
     tagged = tag(prepare(raw_trips, TRIPS), RULES)
-    row = reconcile(raw_trips, accepted(tagged), quarantined(tagged)).first()
-    assert (row["ingeridas"], row["aceitas"], row["rejeitadas"], row["duplicadas"]) == (7, 3, 3, 1)
+    raw = add_trip_id(conform(raw_trips, TRIPS), NATURAL_KEY)
+
+    def settled(valid, invalid):
+        row = reconcile(raw, valid, invalid).first()
+        return tuple(row[c] for c in ("ingeridas", "aceitas", "rejeitadas", "duplicadas", "diferenca"))
+
+    assert settled(accepted(tagged), quarantined(tagged)) == (12, 6, 5, 1, 0)
+    lost = accepted(tagged).where("vendor_id IS NULL OR vendor_id <> 6")
+    assert settled(lost, quarantined(tagged)) == (12, 5, 5, 1, 1)
+    assert settled(accepted(tagged).unionByName(accepted(tagged)), quarantined(tagged)) == (12, 12, 5, 1, -6)
 
 
 def test_zones(spark, raw_zones):
@@ -161,8 +170,8 @@ def test_zones(spark, raw_zones):
         raw_zones.schema,
     )
     zones = {r["location_id"]: r for r in conform_zones(raw_zones.unionByName(extra)).collect()}
-    assert len(zones) == 10
-    assert zones[264]["borough"] == "Desconhecido" and zones[264]["zone"] == "Zona nao informada"
-    assert zones[264]["service_zone"] == "n/a" and zones[265]["borough"] == "Desconhecido"
-    assert zones[132]["service_zone"] == "airports" and zones[1]["borough"] == "Ewr"
+    assert len(zones) == 9
+    assert zones[90]["borough"] == "Desconhecido" and zones[90]["zone"] == "Zona nao informada"
+    assert zones[90]["service_zone"] == "n/a" and zones[91]["borough"] == "Desconhecido"
+    assert zones[40]["service_zone"] == "airports" and zones[1]["borough"] == "Ewr"
     assert zones[2]["borough"] == "Bronx"

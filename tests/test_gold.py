@@ -21,13 +21,13 @@ from siltstone.plans.silver import build_trips
 
 
 def test_calendar(spark):
-    days = dim.calendar_between(spark, "2024-01-01", "2024-03-31")
-    assert days.count() == 91 and days.where("full_date = date'2024-02-29'").count() == 1
-    weekend = days.where("is_weekend AND full_date <= date'2024-01-07'").select("date_key")
-    assert sorted(r[0] for r in weekend.collect()) == [20240106, 20240107]
-    row = days.where("date_key = 20240131").first().asDict()
-    assert row["month_name"] == "January" and row["day_name"] == "Wednesday"
-    assert row["is_month_end"] and not row["is_month_start"] and row["day_of_week"] == 4
+    days = dim.calendar_between(spark, "2024-02-10", "2024-04-30")
+    assert days.count() == 20 + 31 + 30 and days.where("full_date = date'2024-02-29'").count() == 1
+    weekend = days.where("is_weekend AND full_date <= date'2024-02-13'").select("date_key")
+    assert sorted(r[0] for r in weekend.collect()) == [20240210, 20240211]
+    row = days.where("date_key = 20240430").first().asDict()
+    assert row["month_name"] == "April" and row["day_name"] == "Tuesday"
+    assert row["is_month_end"] and not row["is_month_start"] and row["day_of_week"] == 3
     assert len(days.columns) == 16
 
 
@@ -42,8 +42,8 @@ def test_clock(spark):
     clock = dim.clock(spark)
     assert clock.count() == 1440
     by_key = {r["time_key"]: r for r in clock.collect()}
-    assert by_key[830]["day_period"] == "Manha" and by_key[830]["is_rush_hour"]
-    assert by_key[830]["time_label"] == "08:30"
+    assert by_key[705]["day_period"] == "Manha" and by_key[705]["is_rush_hour"]
+    assert by_key[705]["time_label"] == "07:05"
     assert by_key[0]["day_period"] == "Madrugada" and by_key[1200]["day_period"] == "Tarde"
     assert by_key[1800]["day_period"] == "Noite" and not by_key[2000]["is_rush_hour"]
 
@@ -61,8 +61,8 @@ def dim_location(raw_zones):
 
 
 def test_locations(dim_location):
-    assert dim_location.count() == 8
-    assert dim_location.where("location_id = 132").first()["is_airport"] is True
+    assert dim_location.count() == 7
+    assert dim_location.where("location_id = 40").first()["is_airport"] is True
     assert dim_location.where("location_id = -1").first()["zone"] == "Nao informado"
 
 
@@ -73,26 +73,27 @@ def fact_of(raw_trips, dim_location):
 
 def test_fact(raw_trips, dim_location):
     valid, fact = fact_of(raw_trips, dim_location)
-    assert fact.count() == valid.count() == fact.select("trip_id").distinct().count() == 3
+    assert fact.count() == valid.count() == fact.select("trip_id").distinct().count() == 6
     assert len(fact.columns) == 28
     keys = [c for c in fact.columns if c.endswith("_key")]
     assert len(keys) == 9
     for key in keys:
         assert fact.where(F.col(key).isNull()).count() == 0
-    odd = fact.where("vendor_key = -1").first()
-    assert odd["rate_code_key"] == -1 and odd["payment_type_key"] == -1
-    early = fact.where("pickup_time_key = 830").first()
-    assert early["pickup_date_key"] == 20240105 and early["dropoff_time_key"] == 855
+    odd = fact.where("rate_code_key = -1").first()
+    assert odd["vendor_key"] == -1 and odd["payment_type_key"] == -1
+    assert fact.where("vendor_key = -1").count() == 2
+    late = fact.where("pickup_time_key = 2348").first()
+    assert (late["pickup_date_key"], late["dropoff_date_key"], late["dropoff_time_key"]) == (20240119, 20240120, 12)
 
 
 def test_fact_finds_the_version_of_its_day(raw_trips, dim_location, spark):
     changed = dim_location.select("location_id", *TRACKED).withColumn(
-        "zone", F.when(F.col("location_id") == 142, "Renamed").otherwise(F.col("zone"))
+        "zone", F.when(F.col("location_id") == 11, "Renamed").otherwise(F.col("zone"))
     )
-    two = scd2_merge(dim_location, changed, ["location_id"], TRACKED, "2024-01-08")
-    later = raw_trips.where("VendorID = 1").withColumns(
+    two = scd2_merge(dim_location, changed, ["location_id"], TRACKED, "2024-01-25")
+    later = raw_trips.where("VendorID = 2 AND trip_distance > 6").withColumns(
         {
-            c: F.col(c) + F.expr("interval 4 days")
+            c: F.col(c) + F.expr("interval 8 days")
             for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")
         }
     )
@@ -100,16 +101,16 @@ def test_fact_finds_the_version_of_its_day(raw_trips, dim_location, spark):
     assert fact.count() == valid.count()
     seen = fact.join(two, F.col("pickup_location_key") == F.col("location_key"))
     zones = {
-        (r["pickup_date_key"], r["zone"]) for r in seen.where("location_id = 142").collect()
+        (r["pickup_date_key"], r["zone"]) for r in seen.where("location_id = 11").collect()
     }
-    assert zones == {(20240105, "Lincoln Square East"), (20240109, "Renamed")}
+    assert zones == {(20240119, "Ferry Dock"), (20240127, "Renamed")}
 
 
 def test_unmatched_location_gets_the_unknown_member(raw_trips, dim_location):
-    only_jfk = dim_location.where("location_id IN (132, -1)")
-    _, fact = fact_of(raw_trips, only_jfk)
-    seen = fact.join(only_jfk, F.col("dropoff_location_key") == F.col("location_key"))
-    assert seen.count() == 3 and seen.where("location_id <> -1").count() == 0
+    only_one = dim_location.where("location_id IN (40, -1)")
+    _, fact = fact_of(raw_trips, only_one)
+    seen = fact.join(only_one, F.col("dropoff_location_key") == F.col("location_key"))
+    assert seen.count() == 6 and seen.where("location_id <> -1").count() == 0
 
 
 def test_lookup_above_the_limit_is_not_broadcast(dim_location):
@@ -146,12 +147,12 @@ def test_orphans(spark, raw_trips, dim_location):
         "pickup_date_key", F.lit(None).cast("int")
     )
     found = {r[0]: r[1] for r in orphans(star_of(spark, broken, dim_location)).collect()}
-    assert found["vendor_key"] == 3 and found["pickup_date_key"] == 3 and found["rate_code_key"] == 0
+    assert found["vendor_key"] == 6 and found["pickup_date_key"] == 6 and found["rate_code_key"] == 0
 
 
 def test_repeated_ids_and_rowcount_gap(raw_trips, dim_location):
     valid, fact = fact_of(raw_trips, dim_location)
     assert repeated_ids(fact).first()[0] == 0
-    assert repeated_ids(fact.unionByName(fact)).first()[0] == 3
+    assert repeated_ids(fact.unionByName(fact)).first()[0] == 6
     row = rowcount_gap(fact.limit(1), valid).first()
-    assert (row["fact_rows"], row["silver_rows"], row["observed"]) == (1, 3, 2)
+    assert (row["fact_rows"], row["silver_rows"], row["observed"]) == (1, 6, 5)

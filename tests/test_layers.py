@@ -12,7 +12,7 @@ from siltstone.operators.history import snapshot_diff
 from siltstone.operators.star import location_lookup
 from siltstone.plans import marts
 from siltstone.plans.layers import Lakehouse, months_given, read_star, run_layers
-from siltstone.sources import landing
+from siltstone.sources import landing, tables
 from siltstone.streaming.incremental import ROW_KEY, ingest_new_files, refresh_fact
 
 LINEAGE = ("load_month", "_ingested_at", "_source_file", "_batch_id")
@@ -58,19 +58,19 @@ def test_unknown_layer(spark, lake):
 
 def test_all_layers_together_and_month_by_month(spark, lake):
     counts = run_layers(spark, lake, "2024-01 2024-02")
-    assert counts["bronze"] == {"zones": 7, "2024-01": 7, "2024-02": 7}
-    assert counts["silver"] == {"valid": 6, "quarantined": 6}
-    assert counts["gold"] == {"fct_trips": 6}
+    assert counts["bronze"] == {"zones": 6, "2024-01": 12, "2024-02": 12}
+    assert counts["silver"] == {"valid": 12, "quarantined": 10}
+    assert counts["gold"] == {"fct_trips": 12}
     first = facts(spark, lake)
-    assert len(first) == 6
+    assert len(first) == 12
     fees = spark.table(lake.fact).groupBy("load_month").agg(F.sum("cbd_congestion_fee_amount")).collect()
-    assert {r[0]: str(r[1]) for r in fees} == {"2024-01": "0.00", "2024-02": "2.25"}
+    assert {r[0]: str(r[1]) for r in fees} == {"2024-01": "0.00", "2024-02": "4.50"}
 
     run_layers(spark, lake, "2024-01")
     run_layers(spark, lake, ["2024-02"])
     assert facts(spark, lake) == first
     assert spark.table(lake.table("gold", "dim_date")).count() == 31 + 29
-    assert spark.table(lake.table("gold", "dim_location")).count() == 8
+    assert spark.table(lake.table("gold", "dim_location")).count() == 7
 
     history = spark.table(lake.table("gold", "dq_results"))
     assert history.where("passed").count() == history.count() == 3 * 6
@@ -79,18 +79,19 @@ def test_all_layers_together_and_month_by_month(spark, lake):
     star = read_star(spark, lake)
     row = marts.revenue_by_month_and_payment(star).where("year_month = '2024-01'").collect()
     assert [(r["payment_type_name"], str(r["receita"])) for r in row] == [
-        ("Dinheiro", "78.40"), ("Cartao de credito", "27.00"), ("Nao informado", "25.50"),
+        ("Contestada", "312.50"), ("Cartao de credito", "73.20"), ("Dinheiro", "26.00"), ("Nao informado", "16.75"), ("Sem cobranca", "9.10"),
     ]
     rates = marts.quarantine_rate(spark.table(lake.valid), spark.table(lake.quarantine)).collect()
-    assert [(r["aceitas"], r["rejeitadas"], r["pct_rejeicao"]) for r in rates] == [(3, 3, 50.0)] * 2
+    assert [(r["aceitas"], r["rejeitadas"], r["pct_rejeicao"]) for r in rates] == [(6, 5, 45.455)] * 2
     batches = landing.batches(landing.lineage_of(spark, lake.raw_root)).collect()
-    assert [(r["load_month"], r["linhas"]) for r in batches] == [("2024-01", 7), ("2024-02", 7)]
+    assert [(r["load_month"], r["linhas"]) for r in batches] == [("2024-01", 12), ("2024-02", 12)]
     top = marts.top_flows(star, more_than=1)
-    assert top.first()["embarque"] == "Queens / JFK Airport" and top.first()["corridas"] == 2
+    flows = {r["embarque"]: r["corridas"] for r in top.collect()}
+    assert flows["Hillside / North Airport"] == 2 and len(flows) == 5
     kind = {r["tipo_embarque"] for r in marts.airport_versus_city(star).collect()}
     assert kind == {"Aeroporto", "Urbana"}
     hours = {r["hour"]: r["corridas"] for r in marts.trips_by_hour(star).collect()}
-    assert len(hours) == 24 and hours[8] == 2 and hours[3] == 0
+    assert len(hours) == 24 and hours[12] == 2 and hours[3] == 0
 
 
 def test_failed_expectation_is_recorded_before_it_stops_the_run(spark, lake):
@@ -108,7 +109,7 @@ def test_failed_expectation_is_recorded_before_it_stops_the_run(spark, lake):
         run_layers(spark, lake, "2024-01")
     found = spark.table(lake.table("gold", "dq_results")).collect()
     assert {(r["expectation"], r["passed"], r["observed"]) for r in found} == {
-        ("none_at_all", False, 3), ("just_a_warning", False, 3),
+        ("none_at_all", False, 6), ("just_a_warning", False, 6),
     }
     assert not spark.catalog.tableExists(lake.fact)
     run_layers(spark, lake, "2024-01", layer="silver", skip_quality=True)
@@ -116,23 +117,23 @@ def test_failed_expectation_is_recorded_before_it_stops_the_run(spark, lake):
 
 def test_renamed_zone_keeps_old_facts(spark, lake, raw_zones):
     run_layers(spark, lake, "2024-01")
-    renamed = raw_zones.withColumn("Zone", F.when(F.col("LocationID") == 132, "JFK Airport II").otherwise(F.col("Zone")))
+    renamed = raw_zones.withColumn("Zone", F.when(F.col("LocationID") == 40, "North Airport II").otherwise(F.col("Zone")))
     renamed.write.mode("overwrite").option("header", True).csv(lake.zones)
     run_layers(spark, lake, "2024-02")
     star = read_star(spark, lake)
     seen = star.fact.join(star.locations, F.col("pickup_location_key") == F.col("location_key"))
-    assert seen.count() == star.fact.count() == 6
-    zones = {(r["load_month"], r["zone"]) for r in seen.where("location_id = 132").collect()}
-    assert zones == {("2024-01", "JFK Airport"), ("2024-02", "JFK Airport II")}
+    assert seen.count() == star.fact.count() == 12
+    zones = {(r["load_month"], r["zone"]) for r in seen.where("location_id = 40").collect()}
+    assert zones == {("2024-01", "North Airport"), ("2024-02", "North Airport II")}
 
 
 def test_source_table_is_cut_by_month(spark, raw_trips, database):
     source = f"{database}.samples"
     raw_trips.drop(*LINEAGE).write.saveAsTable(source)
     january = landing.table_month(spark, source, "tpep_pickup_datetime", "2024-01")
-    december = landing.table_month(spark, source, "tpep_pickup_datetime", "2023-12")
-    assert january.count() == 6 and december.count() == 1
-    assert january.where("_source_file LIKE '%.parquet'").count() == 6
+    february = landing.table_month(spark, source, "tpep_pickup_datetime", "2024-02")
+    assert january.count() == 11 and february.count() == 1
+    assert january.where("_source_file LIKE '%.parquet'").count() == 11
     assert {r[0] for r in january.select("load_month").collect()} == {"2024-01"}
 
 
@@ -156,10 +157,10 @@ def test_new_files_are_taken_once(spark, raw_trips, tmp_path):
         }
 
     land(spark, raw_trips, root, "2024-01")
-    assert take() == {"2024-01": 7}
-    assert take() == {"2024-01": 7}
+    assert take() == {"2024-01": 12}
+    assert take() == {"2024-01": 12}
     land(spark, raw_trips, root, "2024-02", shift=1)
-    assert take() == {"2024-01": 7, "2024-02": 7}
+    assert take() == {"2024-01": 12, "2024-02": 12}
 
 
 def test_streamed_files_go_through_silver(spark, lake, raw_trips, tmp_path):
@@ -187,7 +188,30 @@ def test_fact_follows_changed_rows(spark, lake):
     january = [f for f in facts(spark, lake) if "2024-01" in f]
     assert refresh_fact(lake.fact, before, after, lookup, TRIPS) == ["2024-02"]
     rows = spark.table(lake.fact).where("load_month = '2024-02'").collect()
-    assert [str(r["tip_amount"]) for r in rows] == ["1.00"]
+    assert [str(r["tip_amount"]) for r in rows] == ["1.00"] * 2
     assert [f for f in facts(spark, lake) if "2024-01" in f] == january
     assert refresh_fact(lake.fact, after, after, lookup, TRIPS) == []
-    assert snapshot_diff(before, after, ROW_KEY).count() == 3
+    assert snapshot_diff(before, after, ROW_KEY).count() == 6
+
+
+def test_a_landed_file_without_a_month_is_refused(spark, raw_trips, tmp_path):
+    source = raw_trips.drop(*LINEAGE)
+    source.write.parquet(f"{tmp_path}/landing/trips_of_january.parquet")
+    query = ingest_new_files(
+        spark, f"{tmp_path}/landing/*", source.schema, f"{tmp_path}/raw", f"{tmp_path}/checkpoint"
+    )
+    with pytest.raises(Exception, match="without a month"):
+        query.awaitTermination()
+
+
+def test_a_lost_row_stops_the_run(spark, lake):
+    from siltstone.plans.layers import settle
+
+    run_layers(spark, lake, "2024-01", layer="bronze")
+    run_layers(spark, lake, "2024-01", layer="silver")
+    settle(spark, lake, ["2024-01"])
+    kept = spark.table(lake.valid).where("vendor_id IS NULL OR vendor_id <> 6").cache()
+    kept.count()
+    tables.replace_partitions(kept, lake.valid, ["2024-01"])
+    with pytest.raises(ExpectationFailed, match="2024-01: 1"):
+        settle(spark, lake, ["2024-01"])

@@ -56,3 +56,14 @@ def test_history_reports(spark):
     )
     assert [r["expectation"] for r in failures(found).collect()] == ["b"]
     assert latest(found, 1).count() == 1
+
+
+def test_no_row_fails_and_several_rows_or_fractions_stop_the_job(spark):
+    row = check(spark, Expectation("none", "SELECT n FROM {table} WHERE n > 50", "== 0")).first()
+    assert row["observed"] is None and row["passed"] is False
+    with pytest.raises(ExpectationFailed):
+        gate([row], "silver.t")
+    with pytest.raises(Exception, match="(?i)more than one row|scalar_subquery_too_many_rows"):
+        check(spark, Expectation("many", "SELECT n FROM {table}", "== 0")).collect()
+    with pytest.raises(Exception, match="with a fraction"):
+        check(spark, Expectation("part", "SELECT 0.9 FROM {table} LIMIT 1", "== 0")).collect()

@@ -131,3 +131,51 @@ def test_staging_uses_the_folder_the_cluster_names(spark):
     staged = stage(spark.range(3), "x")
     assert all(shared_folder(spark) in path for path in staged.inputFiles())
     assert staged.count() == 3
+
+
+def test_a_new_column_widens_the_table_and_others_raise(spark, table):
+    wider = spark.createDataFrame([(9, "2024-02", 2.5)], "id int, load_month string, fee double")
+    assert tables.replace_partitions(wider, table, ["2024-02"]) == 1
+    assert {tuple(r) for r in spark.table(table).select("id", "fee", "load_month").collect()} == {
+        (1, None, "2024-01"), (2, None, "2024-01"), (9, 2.5, "2024-02"),
+    }
+    with pytest.raises(ValueError, match="fee is missing"):
+        tables.replace_partitions(rows(spark, (1, "2024-01")), table, ["2024-01"])
+    with pytest.raises(ValueError, match="fee is string, not double"):
+        tables.replace_partitions(wider.withColumn("fee", F.lit("x")), table, ["2024-02"])
+    assert spark.table(table).count() == 3
+
+
+def test_overwrite_that_fails_while_writing_leaves_the_old_content(spark, database):
+    name = f"{database}.w"
+    tables.full_overwrite(spark.range(3).toDF("id"), name, "kept")
+    place = spark.table(name).inputFiles()[0]
+    late = F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("late")).cast("bigint"))
+    with pytest.raises(Exception, match="late"):
+        tables.full_overwrite(spark.range(0, 100, 1, 4).select(late.alias("id")), name)
+    assert spark.table(name).count() == 3 and spark.table(name).inputFiles()[0] == place
+
+
+def test_overwrite_with_other_columns_keeps_the_comment(spark, database):
+    name = f"{database}.x"
+    tables.full_overwrite(spark.range(3).toDF("id"), name, "it's kept")
+    tables.full_overwrite(spark.table(name).withColumn("more", F.lit("m")), name)
+    assert spark.table(name).columns == ["id", "more"] and spark.table(name).count() == 3
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert told["Comment"] == "it's kept"
+    assert [t.name for t in spark.catalog.listTables(database)] == ["x"]
+
+
+def test_upserts_keep_columns_they_do_not_know(spark, database):
+    one, two = f"{database}.u1", f"{database}.u2"
+    first = spark.createDataFrame([(1, "A"), (2, "B")], "k int, v string")
+    wider = spark.createDataFrame([(2, "B", 7)], "k int, v string, extra int")
+    for load in (first, wider):
+        tables.upsert_scd1(load, one, ["k"])
+    assert {tuple(r) for r in spark.table(one).select("k", "v", "extra").collect()} == {(1, "A", None), (2, "B", 7)}
+    with pytest.raises(ValueError, match="lacks extra"):
+        tables.upsert_scd1(first, one, ["k"])
+    tables.upsert_scd2(first.withColumn("note", F.lit("n")), two, ["k"], ["v"], "2024-01-01", "sk")
+    changed = spark.createDataFrame([(2, "B2", "m")], "k int, v string, note string")
+    tables.upsert_scd2(changed, two, ["k"], ["v"], "2024-02-01", "sk")
+    assert {tuple(r) for r in spark.table(two).select("k", "v", "note").collect()} == {(1, "A", "n"), (2, "B", "n"), (2, "B2", "m")}
