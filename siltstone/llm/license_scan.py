@@ -15,7 +15,7 @@ from ..sources.workspace import stage
 from .license_texts import KNOWN
 
 #: A line that only says who holds the rights. Lines are in lower case by then.
-COPYRIGHT_LINE = r"(?m)^[ \t/*#;%-]*(copyright|\(c\)|©|all rights reserved).*$"
+COPYRIGHT_LINE = r"(?m)^[ \t/*#;%-]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|by )|\(c\)[ \t]*(copyright|[0-9]{4})|©|all rights reserved).*$"
 #: Spellings that count as one, as the SPDX matching guidelines list them. Fixed values.
 SPELLINGS = (
     ("licence", "license"), ("licenced", "licensed"), ("licencing", "licensing"), ("sub-license", "sublicense"), ("sub license", "sublicense"),

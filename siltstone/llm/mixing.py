@@ -33,7 +33,7 @@ def apportion(cells: DataFrame, group: str, key: str, weight: str, seats: str) -
     whole = Window.partitionBy(group)
     some = F.col(weight) > 0
     count = F.sum(some.cast("int")).over(whole)
-    share = F.col(weight).cast("double") / F.sum(F.col(weight).cast("double")).over(whole)
+    share = F.try_divide(F.col(weight).cast("double"), F.sum(F.col(weight).cast("double")).over(whole))  # NULL without any weight
     near = 1e-9
     ranged = cells.withColumns({"_share": share, "_half": count / 2.0}).withColumns(
         {

@@ -44,6 +44,7 @@ _WORDS = set(
 _HEADER = {"header", "banner"}
 _SPLIT = re.compile(r"[^a-z]+")
 DECAY = 0.7  #: of the text in a container that counts for the container around it
+NAMED = 1.3  #: weight of the score of an element whose tag says that it holds the article
 VOTES = 1000  #: that a page gives a container holding all of its text
 
 
@@ -61,6 +62,7 @@ class Page:
 
     paths: list[str] = field(default_factory=lambda: [""])
     parents: list[int] = field(default_factory=lambda: [-1])
+    named: list[bool] = field(default_factory=lambda: [False])
     pieces: list[tuple[int, str, bool]] = field(default_factory=list)  #: container, text, whether in a link
 
     def votes(self) -> dict[str, int]:
@@ -74,7 +76,7 @@ class Page:
             return {}
         best: dict[str, int] = {}
         for at in range(len(own) - 1, 0, -1):  # containers come after those they are in
-            share = round(VOTES * own[at] / total)
+            share = round(VOTES * own[at] / total * (NAMED if self.named[at] else 1))
             if share > best.get(self.paths[at], 0):
                 best[self.paths[at]] = share
             if self.parents[at] >= 0:
@@ -164,6 +166,7 @@ def read_page(html: str) -> Page:
             name = f"{page.paths[container]}>{tag}.{classes}"
             page.paths.append(blake2b(name.encode(), digest_size=8).hexdigest())
             page.parents.append(container)
+            page.named.append(tag in ("article", "main"))
             container = len(page.paths) - 1
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(html, at)
