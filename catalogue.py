@@ -612,6 +612,36 @@ def dq_expectations(spark: SparkSession, folder: str) -> DataFrame:
     return results(spark, folder).drop("run_at", "run_id")
 
 
+def dq_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run recorded before a blocking expectation stopped it."""
+    found = results(spark, folder)
+    table = f"{scratch_database(spark)}.dq_results"
+    rows = found.collect()  # as many as there are expectations
+    tables.append(spark.createDataFrame(rows, found.schema), table)
+    blocking = Expectation("nothing_shipped", "SELECT count(*) FROM {table}", "== 0")
+    stopped = expectations.evaluate(spark, [blocking], "gold.fct_trips", "run", {"table": shipped(spark, folder).star.fact})
+    tables.append(stopped, table)
+    try:
+        expectations.gate(spark.table(table).collect(), "gold.fct_trips")
+        passed = True
+    except expectations.ExpectationFailed:
+        passed = False
+    return spark.table(table).drop("run_at", "run_id").withColumn("run_passed", F.lit(passed))
+
+
+def bronze_file(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as month files, read by service and month from the names of the files."""
+    root = fresh_folder(spark, "landing")
+    events = read(spark, folder, "events")
+    months = months_of(events, "ts")
+    for month in months:
+        part = events.where(F.date_format("ts", "yyyy-MM") == month)
+        part.write.parquet(landing.month_file(root, "green", month))
+    whole = reduce(DataFrame.unionByName, [landing.read_month(spark, root, "green", month, "batch") for month in months])
+    named = F.regexp_extract("_source_file", r"/([a-z]+_tripdata_[0-9-]+\.parquet)/", 1)
+    return whole.select("event_id", "value", "load_month", "_batch_id", named.alias("file_name"))
+
+
 def dq_table(spark: SparkSession, folder: str) -> DataFrame:
     """A results table after two runs."""
     table = f"{scratch_database(spark)}.dq_results"
@@ -797,6 +827,8 @@ QUERIES: dict[str, Query] = {
     "split_quarantine": split_quarantine,
     "reconcile_layers": reconcile_layers,
     "schema_widening": schema_widening,
+    "dq_gate": dq_gate,
+    "bronze_file": bronze_file,
     "scd2_untracked": scd2_untracked,
     "quarantine_reasons": quarantine_reasons,
     "quarantine_sample": quarantine_sample,

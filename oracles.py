@@ -545,6 +545,10 @@ ORACLES: dict[str, str] = {
         """SELECT c_custkey, CASE WHEN NOT was THEN 'added' WHEN NOT is_now THEN 'removed' ELSE 'changed' END AS change
         FROM pair WHERE NOT was OR NOT is_now OR differs""",
     ),
+    "dq_gate": f"""WITH {DQ} SELECT {DQ_COLUMNS}, false AS run_passed FROM judged
+        UNION ALL SELECT 'gold.fct_trips', 'nothing_shipped', 'fail', (SELECT count(*) FROM fact), '== 0', (SELECT count(*) = 0 FROM fact), false""",
+    "bronze_file": """SELECT event_id, value, strftime(ts, '%Y-%m') AS load_month, 'batch' AS _batch_id,
+        'green_tripdata_' || strftime(ts, '%Y-%m') || '.parquet' AS file_name FROM events""",
     "schema_widening": """SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS VARCHAR) AS load_month,
         CASE WHEN year(o_orderdate) >= 1998 THEN o_totalprice END AS o_totalprice FROM orders""",
     "scd2_untracked": """WITH later AS (

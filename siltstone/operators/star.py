@@ -147,33 +147,21 @@ def foreign_keys(star: Star) -> list[tuple[str, DataFrame, str]]:
 def orphans(star: Star) -> DataFrame:
     """For every foreign key, the fact rows whose key has no member in its dimension.
 
-    One scan of the fact serves all keys: each row is unfolded into its (foreign key, member)
-    pairs, which are counted before the exchange, so the join meets one row per distinct member.
-    Foreign keys go by their number until the end, which keeps the counting on primitive values.
+    One scan of the fact serves all keys: each is looked up in the members of its dimension, which
+    are sent to the fact if their measured size allows it, and one aggregate counts the misses. A
+    NULL key has no member.
     """
     checked = foreign_keys(star)
-
-    def pair(at: int, member: Column) -> list[Column]:
-        return [F.lit(at).alias("at"), member.cast("bigint").alias("member")]
-
-    pairs = [F.struct(*pair(at, F.col(name))) for at, (name, _, _) in enumerate(checked, start=1)]
-    used = (
-        star.fact.select(F.inline(F.array(*pairs)))
-        .groupBy("at", "member")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    members = None
-    for at, (_, dimension, key) in enumerate(checked, start=1):
-        listed = dimension.select(*pair(at, F.col(key)))
-        members = listed if members is None else members.unionByName(listed)
-    found = members.distinct().withColumn("found", F.lit(True))
-    names = F.array(*[F.lit(name) for name, _, _ in checked])
-    return (
-        used.join(found, ["at", "member"], "left")
-        .groupBy("at")
-        .agg(F.sum(F.when(F.col("found").isNull(), F.col("rows")).otherwise(0)).alias("observed"))
-        .select(F.element_at(names, F.col("at")).alias("foreign_key"), "observed")
-    )
+    sides: dict[tuple[int, str], DataFrame] = {}
+    looked_up = star.fact.select(*[F.col(name).cast("bigint").alias(name) for name, _, _ in checked])
+    for name, dimension, key in checked:
+        if (id(dimension), key) not in sides:
+            sides[id(dimension), key] = lookup_side(dimension.select(F.col(key).cast("bigint").alias("_member")).distinct())
+        members = sides[id(dimension), key].select(F.col("_member").alias(f"_{name}"))
+        looked_up = looked_up.join(members, F.col(name) == F.col(f"_{name}"), "left")
+    counts = looked_up.agg(*[F.count_if(F.col(f"_{name}").isNull()).alias(name) for name, _, _ in checked])
+    each = [F.struct(F.lit(name).alias("foreign_key"), F.col(name).alias("observed")) for name, _, _ in checked]
+    return counts.select(F.inline(F.array(*each)))
 
 
 def repeated_ids(df: DataFrame, key: str = "trip_id") -> DataFrame:
