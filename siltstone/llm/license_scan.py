@@ -15,7 +15,7 @@ from ..sources.workspace import stage
 from .license_texts import KNOWN
 
 #: A line that only says who holds the rights. Lines are in lower case by then.
-COPYRIGHT_LINE = r"(?m)^[ \t/*#;%-]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|by )|\(c\)[ \t]*(copyright|[0-9]{4})|©|all rights reserved).*$"
+COPYRIGHT_LINE = r"^[ \t/*#;%-]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|by )|\(c\)[ \t]*(copyright|[0-9]{4})|©|all rights reserved).*$"
 #: Spellings that count as one, as the SPDX matching guidelines list them. Fixed values.
 SPELLINGS = (
     ("licence", "license"), ("licenced", "licensed"), ("licencing", "licensing"), ("sub-license", "sublicense"), ("sub license", "sublicense"),
@@ -29,26 +29,33 @@ SPELLINGS = (
 SIGNS = r"[^\p{L}\p{N}]+"
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; empty if nothing of the text is left."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, SIGNS, " ")), F.lit(" "))
+def _lines(text: Column) -> Column:
+    """The words of each line in lower case with single spaces; a copyright line is empty."""
+
+    def words(line: Column) -> Column:
+        low = F.lower(line)
+        return F.when(low.rlike(COPYRIGHT_LINE), "").otherwise(F.trim(F.regexp_replace(low, SIGNS, " ")))
+
+    return F.filter(F.transform(F.split(text, "\n"), words), lambda line: line != "")
+
+
+def _spelt(words: Column) -> Column:
+    out = F.concat(F.lit(" "), words, F.lit(" "))
     for spelling, standard in SPELLINGS:  # in words, as signs are gone
-        was = spelling.replace("-", " ")
-        out = F.replace(out, F.lit(f" {was} "), F.lit(f" {standard} "))
+        out = F.replace(out, F.lit(f" {spelling.replace('-', ' ')} "), F.lit(f" {standard} "))
     return F.trim(out)
 
 
-def digest(text: Column) -> Column:
-    """The digest of the canonical form, NULL if that is empty."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+def canonical(text: Column) -> Column:
+    """The canonical form of a whole text; empty if nothing of it is left."""
+    return _spelt(F.array_join(_lines(text), " "))
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """``digest, license``: one row per known text; of texts alike the first name."""
-    rows = spark.createDataFrame(list(known), "license string, text string").select(digest(F.col("text")).alias("digest"), "license")
-    return rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license"))
+    """``digest, license, size``: one row per known text; of texts alike the first name."""
+    rows = spark.createDataFrame(list(known), "license string, text string").select("license", canonical(F.col("text")).alias("form"))
+    rows = rows.where("form <> ''").groupBy("form").agg(F.min("license").alias("license"))
+    return rows.select(F.sha2("form", 256).alias("digest"), "license", F.length("form").alias("size"))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -58,13 +65,20 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     order and once each, ``n_notices`` the number of such lines. A NULL or empty text has no licence
     and no notice (NULL, 0 and an empty text). Repeated rows and rows with a NULL ``doc_id`` are
     scanned one by one; other columns are not read. Which side of the join is sent is left to Spark.
+
+    Every text is brought to its words. Only what has more than twice as many characters as the
+    longest known text is not spelt and digested: one spelling of a word never halves it.
     """
-    text = F.col("text").cast("string")
-    lines = F.transform(F.filter(F.split(text, "\n"), lambda line: F.trim(line) != ""), lambda line: F.struct(F.lit(False).alias("whole"), digest(line).alias("digest")))
-    units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), digest(text).alias("digest"))), F.coalesce(lines, F.array().cast("array<struct<whole:boolean,digest:string>>")))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), units.alias("units"))
-    rows = stage(read.withColumn("row", F.monotonically_increasing_id()), "units")
-    each = rows.select("row", F.explode("units").alias("u")).select("row", "u.whole", "u.digest").where("digest IS NOT NULL")
+    longest = 2 * (known.agg(F.max("size")).first()[0] or 0)
+
+    def digest(words: Column) -> Column:
+        return F.when(F.length(words) <= longest, F.sha2(_spelt(words), 256))
+
+    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(_lines(F.col("text").cast("string")), F.array().cast("array<string>")).alias("lines"))
+    units = lines.select("doc_id", digest(F.array_join("lines", " ")).alias("whole"), F.array_compact(F.transform("lines", digest)).alias("parts"))
+    rows = stage(units.withColumn("row", F.monotonically_increasing_id()), "units")
+    each = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("whole").alias("digest"))), F.transform("parts", lambda d: F.struct(F.lit(False).alias("whole"), d.alias("digest"))))
+    each = rows.select("row", F.explode(each).alias("u")).select("row", "u.whole", "u.digest").where("digest IS NOT NULL")
     found = each.join(known, "digest").groupBy("row").agg(
         F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
         F.count_if(~F.col("whole")).alias("n_notices"),
@@ -83,7 +97,7 @@ def oracle(known: tuple[tuple[str, str], ...] = KNOWN) -> str:
     """The same as SQL."""
 
     def form(text: str) -> str:
-        out = f"regexp_replace(lower({text}), {_quoted(COPYRIGHT_LINE)}, '', 'g')"
+        out = f"regexp_replace(lower({text}), {_quoted("(?m)" + COPYRIGHT_LINE)}, '', 'g')"
         out = f"' ' || trim(regexp_replace({out}, {_quoted(SIGNS)}, ' ', 'g')) || ' '"
         for spelling, standard in SPELLINGS:
             out = f"replace({out}, ' {spelling.replace('-', ' ')} ', ' {standard} ')"
