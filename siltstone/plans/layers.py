@@ -53,6 +53,10 @@ class Lakehouse:
     def valid(self) -> str:
         return self.table("silver", "fct_source_trips")
 
+    @property
+    def schemas_table(self) -> str:
+        return self.table("bronze", "raw_schemas")
+
     @property
     def quarantine(self) -> str:
         return self.table("silver", "fct_source_trips_quarantine")
@@ -73,6 +77,7 @@ def bronze_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) ->
     zones = lake.table("bronze", "raw_taxi_zones")
     tables.full_overwrite(landing.read_zones(spark, lake.zones), zones, "Location lookup as landed")
     counts = {"zones": spark.table(zones).count()}
+    schemas = []
     for month in months:
         if lake.source_table:
             raw = landing.table_month(spark, lake.source_table, lake.source_moment, month)
@@ -80,12 +85,25 @@ def bronze_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) ->
             raw = landing.read_month(spark, lake.landing, lake.service, month)
         folder = f"{lake.raw_root.rstrip('/')}/load_month={month}"
         seen = Observation(f"rows-{uuid.uuid4().hex}")
-        counted = raw.drop("load_month").observe(seen, F.count(F.lit(1)).alias("rows"))
+        month_rows = raw.drop("load_month")
+        counted = month_rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.mode("overwrite").parquet(folder)
         counts[month] = seen.get["rows"]
+        schemas.append((month, landing.schema_text(month_rows)))
+    recorded = spark.createDataFrame(schemas, "load_month string, schema string")
+    tables.upsert_scd1(recorded, lake.schemas_table, ["load_month"])
     return counts
 
 
+def raw_rows(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> list[DataFrame]:
+    """The raw months, read with the schemas that bronze recorded."""
+    schemas = {}
+    if not lake.streamed and spark.catalog.tableExists(lake.schemas_table):
+        # as many rows as there are months
+        schemas = {r["load_month"]: r["schema"] for r in landing.only_months(spark.table(lake.schemas_table), months).collect()}
+    return landing.raw_months(spark, lake.raw_root, months, lake.streamed, schemas)
+
+
 def silver_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
     """Accepted and quarantined trips of the months, and the zones.
 
@@ -93,7 +111,7 @@ def silver_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) ->
     outcome's write repeats the exchange and sort that removed the copies. A table that is to be
     clustered is ranged on its way out instead of being gathered by month first.
     """
-    raw = landing.raw_months(spark, lake.raw_root, months, lake.streamed)
+    raw = raw_rows(spark, lake, months)
     outcome = F.when(F.size("_violations") == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
     tagged = tagged_trips(raw, lake.domain).withColumn("_outcome", outcome)
     clustered = "silver.fct_source_trips" in lake.clustering
@@ -221,7 +239,7 @@ def check_layer(
 
 def settle(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> None:
     """Stop the run when a month has more or fewer rows in silver than its raw rows account for."""
-    raw = conform(landing.raw_months(spark, lake.raw_root, months, lake.streamed), lake.domain)
+    raw = conform(raw_rows(spark, lake, months), lake.domain)
     ids = add_trip_id(raw, lake.domain.natural_key).select("load_month", "trip_id")
     silver, quarantine = (landing.only_months(spark.table(t), months) for t in (lake.valid, lake.quarantine))
     # as many rows as there are months

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 ZONES_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 
@@ -54,22 +56,34 @@ def only_months(df: DataFrame, months: Iterable[str]) -> DataFrame:
     return df.where(F.col("load_month").isin(*months))
 
 
+def schema_text(df: DataFrame) -> str:
+    """Names and types as text, as they read back from files, where every column may be NULL."""
+    return StructType([StructField(f.name, f.dataType) for f in df.schema.fields]).json()
+
+
 def raw_months(
-    spark: SparkSession, root: str, months: Sequence[str], streamed: bool = False
+    spark: SparkSession, root: str, months: Sequence[str], streamed: bool = False, schemas: Mapping[str, str] | None = None
 ) -> list[DataFrame]:
-    """Each month of the raw area with the schema its own file had.
+    """The months of the raw area, one DataFrame for all months whose files have the same schema.
 
-    The months are left apart because sources change types over the years; they become one
-    DataFrame only after each has been brought to the contract. A ``streamed`` area is entered by
-    its root, where Spark finds the list of files its stream committed.
+    Sources change types over the years, so months of different schemas meet only after each has been
+    brought to the contract. ``schemas`` holds the schema of months as JSON, as it was recorded when
+    they were written; the footer of another month is asked for. A ``streamed`` area is entered by its
+    root, where Spark finds the list of files its stream committed.
     """
     if streamed:
         return [only_months(spark.read.parquet(root), months)]
+    base = root.rstrip("/")
+    alike: dict[str, list[str]] = {}
+    for month in months:
+        folder = f"{base}/load_month={month}"
+        known = (schemas or {}).get(month) or schema_text(spark.read.parquet(folder))
+        alike.setdefault(known, []).append(folder)
     return [
-        spark.read.parquet(f"{root.rstrip('/')}/load_month={month}").withColumn(
-            "load_month", F.lit(month)
-        )
-        for month in months
+        spark.read.schema(StructType.fromJson(json.loads(schema)).add("load_month", "string"))
+        .option("basePath", base)
+        .parquet(*folders)
+        for schema, folders in alike.items()
     ]
 
 

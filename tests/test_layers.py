@@ -215,3 +215,15 @@ def test_a_lost_row_stops_the_run(spark, lake):
     tables.replace_partitions(kept, lake.valid, ["2024-01"])
     with pytest.raises(ExpectationFailed, match="2024-01: 1"):
         settle(spark, lake, ["2024-01"])
+
+
+def test_months_of_one_schema_are_one_scan(spark, lake):
+    run_layers(spark, lake, "2024-01 2024-02", layer="bronze")
+    recorded = {r["load_month"]: r["schema"] for r in spark.table(lake.schemas_table).collect()}
+    assert set(recorded) == {"2024-01", "2024-02"} and len(set(recorded.values())) == 2
+    both = landing.raw_months(spark, lake.raw_root, ["2024-01", "2024-02"], schemas=recorded)
+    assert [df.count() for df in both] == [12, 12]
+    spark.read.parquet(f"{lake.raw_root}/load_month=2024-01").write.parquet(f"{lake.raw_root}/load_month=2024-03")
+    three = landing.raw_months(spark, lake.raw_root, ["2024-01", "2024-02", "2024-03"], schemas=recorded)
+    assert sorted(df.count() for df in three) == [12, 24]
+    assert {r[0] for df in three for r in df.select("load_month").distinct().collect()} == {"2024-01", "2024-02", "2024-03"}
