@@ -27,7 +27,7 @@ EDITS = 16  #: bytes of a tile for each edit it may have
 BAND = 16  #: diagonals from one band to the next
 COVERED = 0.5  #: share of an item that has to be found
 SLICE = 8 << 20  #: characters of items that are looked for in one pass over the texts
-PORTION = 1 << 22
+PORTION = 1 << 19
 _SIGNS = re.compile(r"[\W_]+")
 
 

@@ -43,8 +43,8 @@ class Rolling:
         """The hash of ``data[start:end]`` for each pair; equal bytes have equal hashes."""
         n = len(data)
         if len(self._up) < n:
-            self._up = powers(_BASE, 2 * n)
-            self._down = powers(_BASE_INVERSE, 2 * n)
+            self._up = powers(_BASE, n + n // 8)
+            self._down = powers(_BASE_INVERSE, n + n // 8)
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_BYTES[data] * self._up[:n], out=total[1:])
         return mix((total[end] - total[start]) * self._down[start] + (end - start).astype(np.uint64))

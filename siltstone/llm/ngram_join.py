@@ -35,7 +35,7 @@ HEAVY = 64  #: rows of a column up to which its pairs are counted one by one
 CHUNK = 512  #: rows on either side of a dense block
 ENTRIES = 1 << 20  #: entries of a block of columns
 FILTER_BITS = 1 << 24  #: bits of the filter that spares most texts the second reading
-PORTION = 1 << 22
+PORTION = 1 << 19  #: bytes hashed at once; some twenty arrays of eight bytes each stand beside them
 
 
 def _sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
@@ -69,15 +69,27 @@ def _alike(overlap, n, m):
     return ALIKE[1] * overlap >= ALIKE[0] * (n + m - overlap)
 
 
+def _gathered(sets: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Several sets at a time."""
+    held, size = [], 0
+    for found in sets:
+        held.append(found)
+        size += len(found)
+        if size >= PORTION:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
 def _sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
     """How often the n-grams of each counter occur in all documents together."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            found = list(_sets(utf8(batch.column("text")), size))
-            if found:
-                total += np.bincount(_bucket(np.concatenate(found), bits), minlength=1 << bits)
+            for found in _gathered(_sets(utf8(batch.column("text")), size)):
+                total += np.bincount(_bucket(found, bits), minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 

@@ -9,7 +9,7 @@ block is decoded by table, side by side, one array operation per step.
 from __future__ import annotations
 
 import re
-import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +26,7 @@ END = 1  #: the id that ends a document
 MOST_BITS = 20  #: of a code
 STEP = 512  #: ids between two bit offsets
 BLOCK = 1 << 18  #: ids after which a block ends; a document is never divided
-PORTION = 1 << 23
+PORTION = 1 << 22
 KNOWN = 1_000_000  #: words whose ids a worker remembers
 _ENDING = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,])"
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
@@ -46,7 +46,7 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         # kept on the module, so that it outlives a task as long as its worker does
-        self.known: dict[str, list[int]] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, {})
+        self.known: dict[str, bytes] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, {})
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -56,12 +56,13 @@ class WordEncoder:
             return [t.id for t in self.tokenizer.model.tokenize("".join(map(_AS_CHARACTER.__getitem__, word.encode())))]
         return self.whole(word)
 
-    def words(self, words: list[str]) -> list[list[int]]:
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, four bytes each."""
         out = []
         for word in words:
             ids = self.known.get(word)
             if ids is None:
-                ids = self.word(word)
+                ids = array("I", self.word(word)).tobytes()
                 if len(self.known) >= KNOWN:
                     self.known.clear()
                 self.known[word] = ids
@@ -75,8 +76,8 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(lowered)
         found = split.flatten().dictionary_encode()
         ids = self.words(found.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.fromiter((i for word in ids for i in word), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), np.uint32)
         first = np.cumsum(size) - size
         at = found.indices.to_numpy()
         counts = size[at] if len(at) else np.zeros(0, np.int64)
