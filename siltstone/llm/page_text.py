@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.star import lookup_side
+from ..sources.workspace import stage
 from .common import utf8
 
 _TOKEN = re.compile(
@@ -218,6 +220,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     hosted = pages.withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST"))))
     votes = hosted.where("host IS NOT NULL").select("host", "html").mapInArrow(_vote, "host string, path string, votes long")
     votes = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    chosen = votes.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"))
-    found = hosted.join(chosen, "host", "left").select("page_id", "url", "html", "path")
+    chosen = stage(votes.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path")), "chosen")
+    # sent to the pages while its measured size allows it: a host with a third of all pages then stays
+    # where it is; above that Spark joins by host and splits hot hosts
+    found = hosted.join(lookup_side(chosen), "host", "left").select("page_id", "url", "html", "path")
     return found.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
