@@ -92,6 +92,7 @@ def _sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
                 total += np.bincount(_bucket(found, bits), minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
     out = np.zeros(1 << bits, np.int64)
@@ -116,6 +117,7 @@ def _rows(docs: DataFrame, size: int, bits: int, order) -> DataFrame:
                 [batch.column("doc_id"), batch.column("mark"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(head, pa.binary())],
                 ["doc_id", "mark", "n", "digest", "head"],
             )
+        pa.default_memory_pool().release_unused()
 
     marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     return marked.mapInArrow(compute, "doc_id long, mark long, n long, digest binary, head binary")

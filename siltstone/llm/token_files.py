@@ -27,7 +27,7 @@ MOST_BITS = 20  #: of a code
 STEP = 512  #: ids between two bit offsets
 BLOCK = 1 << 18  #: ids after which a block ends; a document is never divided
 PORTION = 1 << 22
-KNOWN = 1_000_000  #: words whose ids a worker remembers
+KNOWN = 400_000  #: words whose ids a worker remembers; some 200 bytes each
 _ENDING = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,])"
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -179,6 +179,7 @@ def _tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
                     [batch.column("part").slice(a, b - a), pa.array(starts), batch.column("doc_id").slice(a, b - a), pa.array(n), pa.array(packed, pa.binary())],
                     ["part", "before", "doc_id", "n", "ids"],
                 )
+        pa.default_memory_pool().release_unused()
 
     ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
