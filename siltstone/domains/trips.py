@@ -40,6 +40,7 @@ FIELDS = (
     *LINEAGE_FIELDS,
 )
 
+# The columns that make the id of a trip.
 NATURAL_KEY = (
     "vendor_id",
     "pickup_datetime",
@@ -105,9 +106,10 @@ PAYMENT_TYPES = Codes(
     ),
     (-1, "Nao informado", False),
 )
+# Fixed value: names by which a zone is an airport.
 AIRPORT_PATTERN = "(?i)(JFK|LaGuardia|Newark|Airport)"
 
-# ``{table}`` is the checked table restricted to the months of the run; ``{orphans}`` and ``{gaps}``
+# Names and bounds of the expectations. ``{table}`` is the checked table restricted to the months of the run; ``{orphans}`` and ``{gaps}``
 # are the results of the operators of those names over the same months.
 EXPECTATIONS = {
     "silver.fct_source_trips": (

@@ -16,7 +16,10 @@ def blank_to_null(column: Column) -> Column:
 
 
 def natural_id(key: Sequence[str]) -> Column:
-    """SHA-256 over the text of the key columns, so a re-run gives a row the same id."""
+    """SHA-256 over the text of the key columns, so a re-run gives a row the same id.
+
+    Fixed values: the separator, the mark of a NULL and the width of the hash.
+    """
     parts = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in key]
     return F.sha2(F.concat_ws("||", *parts), 256)
 

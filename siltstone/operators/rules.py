@@ -46,7 +46,10 @@ def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
 
 
 def quarantine_reasons(quarantine: DataFrame) -> DataFrame:
-    """Rows per broken rule, most frequent first; a row counts once for each rule it breaks."""
+    """Rows per broken rule, most frequent first; a row counts once for each rule it breaks.
+
+    Fixed values: the output names ``motivo`` and ``linhas``.
+    """
     return (
         quarantine.select(F.explode("_violations").alias("motivo"))
         .groupBy("motivo")
