@@ -5,6 +5,11 @@ keeps at least ``w - q + 1 - q * e`` of its q-grams, all of them within ``e`` di
 q-grams are counted in overlapping bands of diagonals, bands that reach the bound are regions, and a
 banded alignment decides about each region. An item is in a text when tiles that hold at least half
 of it are.
+
+Long tiles allow for edits all over an item, but trimmed ends or replaced words break them. So items
+are cut a second time, into tiles of ``PIECE`` characters that may have one edit: the first or the last
+q-gram of such a tile is unchanged, and each of these found is a region. An item is also in a text
+when such tiles that lie together hold at least half of it, and ``LEAST`` bytes.
 """
 
 from __future__ import annotations
@@ -25,6 +30,9 @@ GRAM = 10  #: bytes of a q-gram
 TILE = 128
 EDITS = 16  #: bytes of a tile for each edit it may have
 BAND = 16  #: diagonals from one band to the next
+PIECE = 16  #: bytes of a short tile, at least
+PIECE_GRAM = 8  #: half a short tile: one edit cannot change both of its ends
+LEAST = 48  #: bytes of an item that short tiles have to find; shorter items are looked for in long tiles only
 COVERED = 0.5  #: share of an item that has to be found
 SLICE = 8 << 20  #: characters of items that are looked for in one pass over the texts
 PORTION = 1 << 19
@@ -49,6 +57,21 @@ class Index:
     place: np.ndarray
     seen: np.ndarray  #: bits of the q-grams, to pass over most of a text
     short: tuple[tuple[int, bytes], ...]  #: items shorter than a q-gram, looked for as they are
+    gram: int = GRAM
+    band: int = BAND
+    offset: np.ndarray | None = None  #: of each tile in its item, if tiles have to lie together
+
+
+def _hashed(tiles: list[bytes], first: np.ndarray, tile: np.ndarray, place: np.ndarray, gram: int) -> tuple[np.ndarray, ...]:
+    """The sorted q-grams at ``place`` of each ``tile``, both in their order, and the bits of the q-grams."""
+    data = np.frombuffer(b"".join(tiles), np.uint8)
+    start = first[tile] + place
+    grams = Rolling().spans(data, start, start + gram) if len(start) else np.zeros(0, np.uint64)
+    by = np.argsort(grams, kind="stable")
+    bits = 1 << max(16, int(8 * max(1, len(grams))).bit_length())
+    seen = np.zeros(bits, bool)
+    seen[(grams & np.uint64(bits - 1)).astype(np.int64)] = True
+    return grams[by], tile[by], place[by], seen
 
 
 def build_index(items: list[bytes]) -> Index:
@@ -66,18 +89,32 @@ def build_index(items: list[bytes]) -> Index:
     size = np.array([len(t) for t in tiles], np.int64)
     # no more edits than leave a q-gram in common
     edits = np.minimum(size // EDITS, np.maximum(0, (size - GRAM) // GRAM))
-    data = np.frombuffer(b"".join(tiles), np.uint8)
     first = np.cumsum(size) - size
     n = np.maximum(size - GRAM + 1, 0)
     tile = np.repeat(np.arange(len(tiles)), n)
     place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    start = first[tile] + place
-    grams = Rolling().spans(data, start, start + GRAM) if len(start) else np.zeros(0, np.uint64)
-    by = np.argsort(grams, kind="stable")
-    bits = 1 << max(16, int(8 * max(1, len(grams))).bit_length())
-    seen = np.zeros(bits, bool)
-    seen[(grams & np.uint64(bits - 1)).astype(np.int64)] = True
-    return Index(np.array(item, np.int64), tuple(tiles), edits, np.maximum(1, size - GRAM + 1 - GRAM * edits), grams[by], tile[by], place[by], seen, tuple(short))
+    hashed = _hashed(tiles, first, tile, place, GRAM)
+    return Index(np.array(item, np.int64), tuple(tiles), edits, np.maximum(1, size - GRAM + 1 - GRAM * edits), *hashed, tuple(short))
+
+
+def build_pieces(items: list[bytes]) -> Index:
+    """The ends of the short tiles of all items of ``LEAST`` bytes or more."""
+    item, tiles, offset = [], [], []
+    for number, text in enumerate(items):
+        if len(text) < LEAST:
+            continue
+        count = len(text) // PIECE
+        cuts = [len(text) * k // count for k in range(count + 1)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            item.append(number)
+            tiles.append(text[a:b])
+            offset.append(a)
+    size = np.array([len(t) for t in tiles], np.int64)
+    tile = np.repeat(np.arange(len(tiles)), 2)
+    place = np.stack([np.zeros(len(tiles), np.int64), size - PIECE_GRAM], axis=1).ravel()
+    hashed = _hashed(tiles, np.cumsum(size) - size, tile, place, PIECE_GRAM)
+    one = np.ones(len(tiles), np.int64)
+    return Index(np.array(item, np.int64), tuple(tiles), one, one, *hashed, (), PIECE_GRAM, 1, np.array(offset, np.int64))
 
 
 def _aligned(index: Index, data: np.ndarray, tile: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -87,7 +124,7 @@ def _aligned(index: Index, data: np.ndarray, tile: np.ndarray, first: np.ndarray
     """
     size = np.array([len(index.tiles[t]) for t in tile])
     edits = index.edits[tile]
-    width = BAND + 3 * int(edits.max()) + 1
+    width = index.band + 3 * int(edits.max()) + 1
     pattern = np.zeros((len(tile), int(size.max())), np.uint8)
     for row, t in enumerate(tile):
         pattern[row, : size[row]] = np.frombuffer(index.tiles[t], np.uint8)
@@ -107,17 +144,58 @@ def _aligned(index: Index, data: np.ndarray, tile: np.ndarray, first: np.ndarray
     return best <= edits
 
 
+def _likely(index: Index, sizes: np.ndarray, whole: np.ndarray, text: np.ndarray, tile: np.ndarray) -> np.ndarray:
+    """Which regions are of an item that would be found if all regions of the text held their tiles."""
+    if not len(tile):
+        return np.zeros(0, bool)
+    pairs = np.unique(text * len(sizes) + tile)
+    of = pairs // len(sizes) * len(whole) + index.item[pairs % len(sizes)]
+    names, group = np.unique(of, return_inverse=True)
+    good = names[np.bincount(group, sizes[pairs % len(sizes)]) >= COVERED * whole[names % len(whole)]]
+    return np.isin(text * len(whole) + index.item[tile], good)
+
+
+def _together(index: Index, whole: np.ndarray, text: np.ndarray, tile: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Each text with its tiles, once each; where tiles have to lie together, those of the fullest stretch."""
+    if index.offset is None or not len(tile):
+        return np.unique(np.stack([text, tile]), axis=1)
+    item, shift = index.item[tile], band * index.band - index.offset[tile]
+    by = np.lexsort([shift, item, text])
+    text, tile, item, shift = text[by], tile[by], item[by], shift[by]
+    first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1])))
+    kept: list[tuple[int, int]] = []
+    for a, b in zip(first, np.append(first[1:], len(tile)), strict=True):
+        most = whole[item[a]]
+        if sum(len(index.tiles[t]) for t in set(tile[a:b])) < max(LEAST, COVERED * most):
+            continue
+        best, size, have, begin = 0, 0, {}, a
+        fullest: list[int] = []
+        for end in range(a, b):  # all tiles whose shifts are at most the item's length apart
+            have[tile[end]] = have.get(tile[end], 0) + 1
+            size += len(index.tiles[tile[end]]) * (have[tile[end]] == 1)
+            while shift[end] - shift[begin] > most:
+                have[tile[begin]] -= 1
+                size -= len(index.tiles[tile[begin]]) * (have[tile[begin]] == 0)
+                begin += 1
+            if size > best:
+                best, fullest = size, [t for t, n in have.items() if n]
+        if best >= LEAST:
+            kept += [(int(text[a]), int(t)) for t in fullest]
+    return np.array(kept, np.int64).reshape(-1, 2).T
+
+
 def find_items(texts: list[bytes], index: Index) -> list[list[int]]:
     """The numbers of the items that are in each (plain) text."""
     rolling = Rolling()
     out: list[list[int]] = [[] for _ in texts]
-    whole = np.bincount(index.item, [len(t) for t in index.tiles]) if len(index.item) else np.zeros(0)
+    sizes = np.array([len(t) for t in index.tiles], np.int64)
+    whole = np.bincount(index.item, sizes) if len(index.item) else np.zeros(0)
     for a, b in portions([len(t) for t in texts], PORTION):
         data = np.frombuffer(b"\n".join(texts[a:b]) + b"\n", np.uint8)
         edges = np.cumsum([0, *(len(t) + 1 for t in texts[a:b])])
-        if len(index.grams) and len(data) >= GRAM:
-            start = np.arange(len(data) - GRAM + 1)
-            hashes = rolling.spans(data, start, start + GRAM)
+        if len(index.grams) and len(data) >= index.gram:
+            start = np.arange(len(data) - index.gram + 1)
+            hashes = rolling.spans(data, start, start + index.gram)
             at = np.flatnonzero(index.seen[(hashes & np.uint64(len(index.seen) - 1)).astype(np.int64)])
             left = np.searchsorted(index.grams, hashes[at], "left")
             n = np.searchsorted(index.grams, hashes[at], "right") - left
@@ -126,8 +204,9 @@ def find_items(texts: list[bytes], index: Index) -> list[list[int]]:
             where, tile = np.repeat(at, n), index.tile[entry]
             text = np.searchsorted(edges, where, "right") - 1
             diagonal = where - index.place[entry]
-            band = diagonal // BAND
-            also = diagonal - band * BAND < index.edits[tile]  # in the overlap with the band before
+            band = diagonal // index.band
+            # in the overlap with the band before; a band of one diagonal is aligned on both sides
+            also = (diagonal - band * index.band < index.edits[tile]) & (index.band > 1)
             key = np.stack([np.append(text, text[also]), np.append(tile, tile[also]), np.append(band, band[also] - 1)])
             by = np.lexsort(key)
             key = key[:, by]
@@ -136,11 +215,13 @@ def find_items(texts: list[bytes], index: Index) -> list[list[int]]:
             text, tile, band = key[:, new]
             enough = shared >= index.bound[tile] if len(tile) else np.zeros(0, bool)
             text, tile, band = text[enough], tile[enough], band[enough]
+            likely = _likely(index, sizes, whole, text, tile)
+            text, tile, band = text[likely], tile[likely], band[likely]
             found = np.zeros(len(tile), bool)
             for k in range(0, len(tile), 2048):
                 part = slice(k, k + 2048)
-                found[part] = _aligned(index, data, tile[part], band[part] * BAND, edges[text[part]], edges[text[part] + 1] - 1)
-            pairs = np.unique(np.stack([text[found], tile[found]]), axis=1)
+                found[part] = _aligned(index, data, tile[part], band[part] * index.band, edges[text[part]], edges[text[part] + 1] - 1)
+            pairs = _together(index, whole, text[found], tile[found], band[found])
             covered: dict[tuple[int, int], int] = {}
             for row, t in pairs.T:
                 name = (int(row), int(index.item[t]))
@@ -155,6 +236,11 @@ def find_items(texts: list[bytes], index: Index) -> list[list[int]]:
     return out
 
 
+def find_all(texts: list[bytes], indexes: tuple[Index, ...]) -> list[list[int]]:
+    """The numbers of the items that any of the indexes finds in each (plain) text."""
+    return [sorted(set().union(*found)) for found in zip(*(find_items(texts, index) for index in indexes), strict=True)]
+
+
 def tagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``found_items``: the ``item_id`` of every benchmark item that its text holds.
 
@@ -176,13 +262,14 @@ def tagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for k in range(slices):
         rows = sorted(items.where(number == k).collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         ids = [r["item_id"] for r in rows]
-        index = docs.sparkSession.sparkContext.broadcast(vars(build_index([plain(r["text"]) for r in rows])))
+        plains = [plain(r["text"]) for r in rows]
+        index = docs.sparkSession.sparkContext.broadcast([vars(build_index(plains)), vars(build_pieces(plains))])
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, index=index) -> Iterator[pa.RecordBatch]:
-            known = Index(**index.value)
+            known = tuple(Index(**fields) for fields in index.value)
             for batch in batches:
                 texts = [plain((t or b"").decode()) for t in utf8(batch.column("text"))]
-                found = [[ids[i] for i in numbers] for numbers in find_items(texts, known)]
+                found = [[ids[i] for i in numbers] for numbers in find_all(texts, known)]
                 earlier = batch.column("found_items").to_pylist()
                 both = pa.array([e + f for e, f in zip(earlier, found, strict=True)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), both], [*names, "found_items"])

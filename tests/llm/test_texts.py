@@ -100,6 +100,48 @@ def test_slices_give_the_same(spark, docs, monkeypatch):
     assert sorted(map(str, decontamination.contamination(rows, benchmark).collect())) == whole
 
 
+def test_excerpts_and_replaced_words_are_found():
+    items = [decontamination.plain(prose(800 + i, 14 + i)) for i in range(16)]
+    indexes = (decontamination.build_index(items), decontamination.build_pieces(items))
+    texts, pieces = [], []
+    for number, item in enumerate(items):
+        words = item.split()
+        replaced = [b"other" if i % 10 == 4 else w for i, w in enumerate(words)]
+        for part in (words[2:-2], words[3:-3], replaced):
+            texts.append(decontamination.plain(prose(number, 50)) + b" " + b" ".join(part) + b" " + decontamination.plain(prose(60 + number, 50)))
+        pieces.append(b" ".join(words[: len(words) // 4]))
+    found = decontamination.find_all(texts, indexes)
+    assert all(i // 3 in numbers for i, numbers in enumerate(found))
+    assert decontamination.find_all(pieces, indexes) == [[] for _ in items]
+
+
+def test_short_tiles_find_what_a_full_alignment_finds():
+    rng = random.Random(4)
+    items = [decontamination.plain(prose(700 + i, 12)) for i in range(5)]
+    index = decontamination.build_pieces(items)
+    texts = []
+    for _ in range(150):
+        tile = bytearray(rng.choice(items))
+        for _ in range(rng.randrange(14)):
+            at = rng.randrange(len(tile))
+            tile[at : at + rng.randrange(2)] = bytes(rng.choice(b"xyz") for _ in range(rng.randrange(2)))
+        texts.append(bytes(tile))
+    hits = 0
+    for text, numbers in zip(texts, decontamination.find_items(texts, index), strict=True):
+        for number, item in enumerate(items):
+            covered = sum(len(t) for t, i in zip(index.tiles, index.item, strict=True) if i == number and distance_within(text, t, 1))
+            assert (number in numbers) == (covered >= max(decontamination.LEAST, decontamination.COVERED * len(item)))
+            hits += number in numbers
+    assert 0 < hits < len(texts)
+
+
+def test_short_tiles_have_to_lie_together():
+    item = decontamination.plain(prose(900, 20))
+    index = decontamination.build_pieces([item])
+    apart = (b" " + decontamination.plain(prose(901, 60)) + b" ").join(index.tiles)
+    assert decontamination.find_items([apart, item], index) == [[], [0]]
+
+
 # --- pages ---
 
 
