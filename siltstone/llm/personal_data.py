@@ -1,6 +1,7 @@
 """Personal data: fixed shapes, and identifiers that the words around them give away.
 
-Matches of the base shapes are the seeds. The word before and the word after a seed are patterns; a
+Matches of the base shapes are the seeds. The word before and the word after a whole seed, however many
+tokens it has, are patterns; a number in groups that no shape matched is one token likewise. A
 pattern is as reliable as the share of all its occurrences in the corpus that stand beside a known
 identifier. Patterns and the tokens beside them form a graph that Spark scores in rounds: tokens from
 their patterns, patterns from their tokens. Tokens beside reliable patterns that no shape matched are
@@ -30,24 +31,27 @@ FOUND = "context"
 #: A token that may be an identifier: between white space, with an @ or a digit.
 TOKEN = r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++"
 FEWEST_DIGITS = 4  #: of a token without an @
+MOST_DIGITS = 34  #: of neighbouring tokens that are taken as one, as many as the longest account numbers have
 SUPPORT = 5  #: different seeds that a pattern needs
 RELIABLE = 0.8  #: share of a pattern's occurrences that stand beside known identifiers
 CERTAIN = 0.8  #: score a token needs
 ROUNDS = 3
 NEAR = 64  #: characters beside a token in which the next word is looked for
-_PART = "array<struct<gap:int,hit:string,left:string,right:string>>"
+_PART = "array<struct<gap:int,hit:string,left:string,right:string,follows:boolean>>"
 
 
 def _parts(text: Column, shape: str) -> Column:
-    """Every match with the length of what lies before it and the words beside it.
+    """Every match with the length of what lies before it, the words beside it and whether only spaces
+    of its line lie before it.
 
-    ``split`` gives what lies between the matches and ``regexp_extract_all`` the matches.
+    ``split`` gives what lies between the matches and ``regexp_extract_all`` the matches. What a match
+    shares its first or last word with is not beside it.
     """
     gaps, hits = F.split(text, shape, -1), F.regexp_extract_all(text, F.lit(shape), F.lit(0))
     after = F.slice(gaps, 2, F.size(gaps))
     parts = F.slice(F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), after.alias("next")), 1, F.size(hits))
-    left = r"(\S+)\s*$"
-    right = r"^\s*(\S+)"
+    left = r"(\S+)\s+\S*\z"
+    right = r"^\S*\s+(\S+)"
     return F.transform(
         parts,
         lambda p: F.struct(
@@ -55,6 +59,7 @@ def _parts(text: Column, shape: str) -> Column:
             p["hit"].alias("hit"),
             F.lower(F.regexp_extract(F.substring(p["gap"], -NEAR, NEAR), left, 1)).alias("left"),
             F.lower(F.regexp_extract(F.substring(p["next"], 1, NEAR), right, 1)).alias("right"),
+            p["gap"].rlike(r"^[^\S\r\n]+$").alias("follows"),
         ),
     ).cast(_PART)
 
@@ -87,7 +92,7 @@ def _searched(docs: DataFrame) -> DataFrame:
 
 
 def _placed(rows: DataFrame) -> DataFrame:
-    """``row, kind, start, end, value, left, right`` of every valid match; tokens come after the kinds.
+    """``row, kind, start, end, value, left, right, follows`` of every valid match; tokens come after the kinds.
 
     The places of one text are running sums, so no more than one text meets in a group.
     """
@@ -97,7 +102,7 @@ def _placed(rows: DataFrame) -> DataFrame:
     along = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     size = F.length("part.hit")
     each = each.repartition("row").withColumn("end", F.sum(F.col("part.gap") + size).over(along))
-    each = each.select("row", "kind", (F.col("end") - size).alias("start"), "end", F.col("part.hit").alias("value"), "part.left", "part.right")
+    each = each.select("row", "kind", (F.col("end") - size).alias("start"), "end", F.col("part.hit").alias("value"), "part.left", "part.right", "part.follows")
     valid = F.lit(True)
     for n, (kind, _, _) in enumerate(BASE):
         valid = F.when(F.col("kind") == n, _valid(kind, F.col("value"))).otherwise(valid)
@@ -112,14 +117,35 @@ def _listed(spans: Column) -> Column:
 
 
 def _beside(placed: DataFrame) -> DataFrame:
-    """``row, start, end, token, seed, side, word``: every token with each of its patterns."""
+    """``row, start, end, token, seed, side, word``: every seed and every other token with each of its patterns.
+
+    Seeds are spans of the base shapes, the first of those that overlap, with the words beside the
+    whole span. Other tokens are one if they follow each other in a line and have digits and no small
+    letters, as in a number written in groups; runs of more than ``MOST_DIGITS`` stay apart.
+    """
     is_token = F.col("kind") == len(BASE)
-    # a token is a seed if, of the spans that begin before its end, one ends after its start
+    # a token is part of a seed if, of the spans that begin before its end, one ends after its start
     order = Window.partitionBy("row").orderBy(F.when(is_token, F.col("end") - 1).otherwise(F.col("start")), is_token)
     reach = F.max(F.when(~is_token, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     one = placed.withColumn("seed", F.coalesce(reach > F.col("start"), F.lit(False))).where(is_token)
+    along = Window.partitionBy("row").orderBy("start")
     digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
-    one = one.where((digits >= FEWEST_DIGITS) | F.col("value").contains("@"))
+    one = one.withColumn("digits", digits).withColumn("group", ~F.col("seed") & (F.col("digits") > 0) & ~F.col("value").rlike(r"[\p{Ll}@]"))
+    goes_on = F.col("group") & F.col("follows") & F.coalesce(F.lag("group").over(along), F.lit(False))
+    one = one.withColumn("run", F.count_if(~goes_on).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    many = F.sum("digits").over(Window.partitionBy("row", "run")) > MOST_DIGITS
+    one = one.withColumn("apart", F.when(many, F.col("start"))).where(~F.col("seed"))
+    parts = F.array_sort(F.collect_list(F.struct("start", "value")))  # of one run
+    one = one.groupBy("row", "run", "apart").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.array_join(F.transform(parts, lambda p: p["value"]), " ").alias("value"),
+        F.min_by("left", "start").alias("left"), F.max_by("right", "start").alias("right"), F.sum("digits").alias("digits"),
+    )
+    one = one.where((F.col("digits") >= FEWEST_DIGITS) | F.col("value").contains("@")).withColumn("seed", F.lit(False))
+    before = Window.partitionBy("row").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = placed.where(~is_token).withColumn("reach", F.max("end").over(before))
+    seeds = seeds.where(F.col("reach").isNull() | (F.col("reach") <= F.col("start"))).withColumn("seed", F.lit(True))
+    columns = ["row", "start", "end", "value", "left", "right", "seed"]
+    one = one.select(columns).unionByName(seeds.select(columns))
     sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("word")) for s in ("left", "right")])
     one = one.select("row", "start", "end", F.lower("value").alias("token"), "seed", F.explode(sides).alias("p"))
     return one.select("row", "start", "end", "token", "seed", "p.side", "p.word").where("word <> ''")

@@ -296,3 +296,12 @@ def test_words_around_identifiers_give_others_away(spark):
     got = {r["doc_id"]: r["spans"] for r in personal_data.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[100 + i] == "context:24:32" for i in range(8))
     assert all(got[200 + i] == "" for i in range(40)) and all("context" not in got[i] for i in range(60))
+
+
+def test_words_around_numbers_in_groups(spark):
+    rows = [(i, f"hello there phone: +1 ({200 + i}) 555-{7000 + i} and so on") for i in range(60)]
+    rows += [(100 + i, f"hello again phone: 020 79{i} 0958 then") for i in range(8)]
+    rows += [(200, "hello again phone:\n020 799\n0958 then"), (300, "hello again phone: " + "123 " * 30 + "then"), (301, "hello again 020 7946 0958 then")]
+    got = {r["doc_id"]: r["spans"] for r in personal_data.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[100 + i] == "context:19:31" for i in range(8)) and all(got[i] == "phone:19:36" for i in range(60))
+    assert [got[i] for i in (200, 300, 301)] == ["context:19:26", "", ""]
