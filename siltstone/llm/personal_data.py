@@ -2,10 +2,12 @@
 
 Matches of the base shapes are the seeds. The word before and the word after a whole seed, however many
 tokens it has, are patterns; a number in groups that no shape matched is one token likewise. A
-pattern is as reliable as the share of all its occurrences in the corpus that stand beside a known
-identifier. Patterns and the tokens beside them form a graph that Spark scores in rounds: tokens from
-their patterns, patterns from their tokens. Tokens beside reliable patterns that no shape matched are
-added as spans of the kind ``context``. Everything is DataFrame functions.
+pattern is as reliable as the share of known identifiers among all that look like one on its side of
+the word, and the word has to stand there often enough not to be one that stands anywhere. Patterns
+and the tokens beside them form a graph that Spark scores in rounds: patterns are taken from the seeds
+and all tokens accepted so far, tokens from their patterns, until a round accepts no other. Tokens
+beside reliable patterns that no shape matched are added as spans of the kind ``context``. Everything
+is DataFrame functions.
 
 Each base shape is written so that Java's matcher needs neither recursion nor a second look at a
 text, however long a run of digits or letters is; what it matches is what the plain shape matches.
@@ -32,10 +34,10 @@ FOUND = "context"
 TOKEN = r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++"
 FEWEST_DIGITS = 4  #: of a token without an @
 MOST_DIGITS = 34  #: of neighbouring tokens that are taken as one, as many as the longest account numbers have
-SUPPORT = 5  #: different seeds that a pattern needs
-RELIABLE = 0.8  #: share of a pattern's occurrences that stand beside known identifiers
+SUPPORT = 5  #: different known identifiers that a pattern needs
+RELIABLE = 0.8  #: share of known identifiers among a pattern's neighbours that look like one
+SPECIFIC = 0.1  #: share of all occurrences of a pattern's word that stand beside known identifiers
 CERTAIN = 0.8  #: score a token needs
-ROUNDS = 3
 NEAR = 64  #: characters beside a token in which the next word is looked for
 _PART = "array<struct<gap:int,hit:string,left:string,right:string,follows:boolean>>"
 
@@ -165,27 +167,33 @@ def _occurrences(docs: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _reliable(beside: DataFrame, docs: DataFrame) -> DataFrame:
-    """``token, score`` of unseen tokens beside reliable patterns, after the rounds."""
+    """The rows of ``beside`` with tokens that reliable patterns give away.
+
+    A round that accepts another token is followed by one more, so the number of rounds is that of the
+    generations of patterns there are. An accepted token counts like a seed from then on.
+    """
     edges = beside.groupBy("side", "word", "token").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
     edges = stage(edges, "edges")
-    induced = edges.where("seed").groupBy("side", "word").agg(F.count(F.lit(1)).alias("seeds"))
-    induced = stage(induced.where(F.col("seeds") >= SUPPORT), "induced")
-    totals = _occurrences(docs, induced.select("word").distinct())
-    patterns = stage(induced.join(totals, "word"), "patterns").select("side", "word", "total")
-    graph = stage(edges.join(patterns, ["side", "word"]), "graph")
-    scores = graph.where("seed").select("token", F.lit(1.0).alias("score")).distinct()
-    for _ in range(ROUNDS):
-        known = graph.join(scores, "token", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-        trust = known.groupBy("side", "word").agg((F.sum(F.col("n") * F.col("score")) / F.first("total")).alias("trust"))
-        trust = trust.where(F.col("trust") >= RELIABLE).withColumn("trust", F.least("trust", F.lit(1.0)))
-        doubt = graph.join(trust, ["side", "word"]).groupBy("token").agg(
-            F.max("seed").alias("seed"), F.product(1 - F.col("trust")).alias("doubt")
+    # whatever is accepted, no word with fewer neighbours becomes a pattern
+    possible = edges.groupBy("side", "word").agg(F.count(F.lit(1)).alias("tokens")).where(F.col("tokens") >= SUPPORT)
+    possible = stage(possible.select("side", "word"), "possible")
+    totals = stage(_occurrences(docs, possible.select("word").distinct()), "totals")
+    graph = stage(edges.join(possible, ["side", "word"], "left_semi"), "graph")
+    accepted = stage(graph.where("seed").select("token", F.lit(True).alias("seed")).distinct(), "accepted")
+    known, before = accepted.count(), -1
+    while known != before:
+        held = F.sum(F.when(F.col("seed").isNotNull(), F.col("n")))
+        trust = graph.drop("seed").join(accepted, "token", "left").groupBy("side", "word").agg(
+            F.count("seed").alias("known"), held.alias("held"), F.sum("n").alias("all")
         )
-        scores = stage(doubt.select("token", F.when(F.col("seed"), 1.0).otherwise(1 - F.col("doubt")).alias("score")), "scores")
-        seeds = graph.where("seed").select("token", F.lit(1.0).alias("score")).distinct()
-        scores = scores.unionByName(seeds).groupBy("token").agg(F.max("score").alias("score"))
-    trusted = patterns.join(trust, ["side", "word"]).select("side", "word")
-    certain = scores.where(F.col("score") >= CERTAIN).select("token")
+        trust = trust.where((F.col("known") >= SUPPORT) & (F.col("held") >= RELIABLE * F.col("all"))).join(totals, "word")
+        trust = trust.where(F.col("held") >= SPECIFIC * F.col("total")).select("side", "word", (F.col("held") / F.col("all")).alias("trust"))
+        trusted = stage(trust, "trusted")
+        given = graph.join(trusted, ["side", "word"]).groupBy("token").agg((1 - F.product(1 - F.col("trust"))).alias("score"))
+        given = given.where(F.col("score") >= CERTAIN).select("token", F.lit(False).alias("seed"))
+        accepted = stage(accepted.unionByName(given).groupBy("token").agg(F.max("seed").alias("seed")), "accepted")
+        before, known = known, accepted.count()
+    certain = accepted.where(~F.col("seed")).select("token")
     return beside.where(~F.col("seed")).join(trusted, ["side", "word"], "left_semi").join(certain, "token", "left_semi")
 
 

@@ -300,8 +300,23 @@ def test_words_around_identifiers_give_others_away(spark):
 
 def test_words_around_numbers_in_groups(spark):
     rows = [(i, f"hello there phone: +1 ({200 + i}) 555-{7000 + i} and so on") for i in range(60)]
-    rows += [(100 + i, f"hello again phone: 020 79{i} 0958 then") for i in range(8)]
+    rows += [(100 + i, f"hello again phone: 020 79{i} 0958 {'abcdefgh'[i] * 3}") for i in range(8)]
     rows += [(200, "hello again phone:\n020 799\n0958 then"), (300, "hello again phone: " + "123 " * 30 + "then"), (301, "hello again 020 7946 0958 then")]
     got = {r["doc_id"]: r["spans"] for r in personal_data.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[100 + i] == "context:19:31" for i in range(8)) and all(got[i] == "phone:19:36" for i in range(60))
     assert [got[i] for i in (200, 300, 301)] == ["context:19:26", "", ""]
+
+
+def test_accepted_tokens_give_further_words(spark):
+    """Words of the second and third generation, and none that stands anywhere."""
+    rows = [(i, f"hello there account: u{i}x@mail.org and so on") for i in range(60)]
+    rows += [(100 + i, f"hello again account: {10**7 + i * 7919} then") for i in range(8)]
+    rows += [(200 + i, f"the ledger {10**7 + i * 7919} was closed") for i in range(8)]
+    rows += [(300 + i, f"the ledger {2 * 10**7 + i * 7919} as") for i in range(2)]
+    rows += [(400 + i, f"write about account: questions number {i}") for i in range(60)]
+    rows += [(500 + i, f"anyone and u{i}y@mail.org on and on and on and on and on and on and on and on and on and on") for i in range(9)]
+    rows += [(600, "anyone and 20251231 on")]
+    got = {r["doc_id"]: r["spans"] for r in personal_data.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[100 + i] == "context:21:29" and got[200 + i] == "context:11:19" for i in range(8))
+    assert all(got[300 + i] == "context:11:19" for i in range(2))
+    assert all(got[400 + i] == "" for i in range(60)) and got[600] == ""
