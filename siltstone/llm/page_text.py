@@ -3,7 +3,8 @@
 Every page scores its containers by the text in them and votes with those scores on generalised
 paths: the tags from the root down, each with its classes without their numbers. Votes are added up
 per host, before and after the exchange, and each page is read again with the path its host chose. A
-page that lacks that path, or has no host, follows its own best container.
+page that lacks that path, has no host, or is laid out otherwise follows its own best container. From
+the container a page climbs to those around it as long as these hold text of their own as well.
 """
 
 from __future__ import annotations
@@ -48,6 +49,7 @@ _SPLIT = re.compile(r"[^a-z]+")
 DECAY = 0.7  #: of the text in a container that counts for the container around it
 NAMED = 1.3  #: weight of the score of an element whose tag says that it holds the article
 VOTES = 1000  #: that a page gives a container holding all of its text
+FAIR = 0.25  #: share of a page's text below which its host's path may not be what it is laid out by
 
 
 @dataclass
@@ -65,6 +67,8 @@ class Page:
     paths: list[str] = field(default_factory=lambda: [""])
     parents: list[int] = field(default_factory=lambda: [-1])
     named: list[bool] = field(default_factory=lambda: [False])
+    edges: list[bool] = field(default_factory=lambda: [True])  #: whether no climb goes on from the container
+    outside: list[bool] = field(default_factory=lambda: [True])  #: whether no climb reaches the container
     pieces: list[tuple[int, str, bool]] = field(default_factory=list)  #: container, text, whether in a link
 
     def votes(self) -> dict[str, int]:
@@ -85,13 +89,64 @@ class Page:
                 own[self.parents[at]] += DECAY * own[at]
         return best
 
+    def _sizes(self) -> tuple[list[int], list[int]]:
+        """Characters outside of links less those in links, right in each container and in all of it."""
+        own = [0] * len(self.paths)
+        for at, text, link in self.pieces:
+            size = len(text.strip())
+            own[at] += -size if link else size
+        whole = list(own)
+        for at in range(len(own) - 1, 0, -1):
+            whole[self.parents[at]] += whole[at]
+        return own, whole
+
+    def share(self, path: str) -> float:
+        """How much of the text of the page the containers of ``path`` hold."""
+        own, whole = self._sizes()
+        total = sum(max(0, x) for x in own)
+        return sum(max(0, whole[at]) for at, name in enumerate(self.paths) if name == path) / total if total else 1.0
+
+    def _top(self, start: int, own: list[int], whole: list[int]) -> int:
+        """The outermost container that belongs to ``start``.
+
+        That is one around it that holds more text, up to an article or a table cell and never the body.
+        Beyond one that holds nothing more, only text right in a container counts, not that of others in it.
+        """
+        inner: list[list[int]] = [[] for _ in self.paths]
+        for at in range(1, len(self.paths)):
+            inner[self.parents[at]].append(at)
+        top = at = start
+        near = True
+        while not self.edges[at] and (around := self.parents[at]) > 0 and not self.outside[around]:
+            more = own[around] > 0
+            if more or (near and any(whole[x] > 0 for x in inner[around] if x != at)):
+                top, near = around, True
+            else:
+                near = False
+            at = around
+        return top
+
     def text(self, path: str | None) -> str:
-        """The text of the containers of ``path``; None or a path that is not there means all of it."""
+        """The text of the containers of ``path`` and of what belongs to them; None or a path that is not there means all of it."""
+        own, whole = self._sizes()
+        chosen = [at for at, name in enumerate(self.paths) if name == path]
+        if not chosen:
+            return " ".join("".join(text for _, text, _ in self.pieces).split())
+        best = max(chosen, key=lambda at: (whole[at], -at))
+        top = self._top(best, own, whole)
+        needed = set(chosen)  # what the climb may not leave out: all around a container of the path
+        for at in chosen:
+            while at != top and self.parents[at] > 0 and self.parents[at] not in needed:
+                at = self.parents[at]
+                needed.add(at)
+        full = [False] * len(self.paths)  # in a container of the path
         inside = [False] * len(self.paths)
         for at in range(len(self.paths)):
-            inside[at] = self.paths[at] == path or (self.parents[at] >= 0 and inside[self.parents[at]])
-        chosen = self.pieces if not any(inside) else [p for p in self.pieces if inside[p[0]]]
-        return " ".join("".join(text for _, text, _ in chosen).split())
+            around = self.parents[at]
+            full[at] = self.paths[at] == path or (around >= 0 and full[around])
+            # beside the path, containers that are mostly links are left out
+            inside[at] = full[at] or at == top or (around >= 0 and inside[around] and (whole[at] > 0 or at in needed))
+        return " ".join("".join(p[1] for p in self.pieces if inside[p[0]]).split())
 
 
 def _apart(tag: str, attributes: str, article: bool) -> tuple[bool, str]:
@@ -169,6 +224,8 @@ def read_page(html: str) -> Page:
             page.paths.append(blake2b(name.encode(), digest_size=8).hexdigest())
             page.parents.append(container)
             page.named.append(tag in ("article", "main"))
+            page.edges.append(tag in ("article", "main", "td"))
+            page.outside.append(tag in ("html", "body"))
             container = len(page.paths) - 1
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(html, at)
@@ -187,22 +244,39 @@ def best_path(page: Page) -> str | None:
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        total: dict[tuple[str, str], int] = {}
+        total: dict[tuple[str, str], list[int]] = {}
         for host, raw in zip(batch.column("host").to_pylist(), utf8(batch.column("html")), strict=True):
-            for path, votes in read_page((raw or b"").decode()).votes().items():
-                total[host, path] = total.get((host, path), 0) + votes
+            page = read_page((raw or b"").decode())
+            votes, best = page.votes(), best_path(page)
+            for path in set(page.paths[1:]):
+                entry = total.setdefault((host, path), [0, 0, 0])
+                entry[0] += votes.get(path, 0)
+                entry[1] += path == best
+                entry[2] += 1
+        counts = [pa.array([entry[k] for entry in total.values()], pa.int64()) for k in range(3)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([h for h, _ in total], pa.string()), pa.array([p for _, p in total], pa.string()), pa.array(total.values(), pa.int64())],
-            ["host", "path", "votes"],
+            [pa.array([h for h, _ in total], pa.string()), pa.array([p for _, p in total], pa.string()), *counts], ["host", "path", "votes", "wins", "pages"]
         )
 
 
+def path_of(page: Page, path: str | None, boxes: list[str] | None) -> str | None:
+    """The path to read a page by: that of its host, unless the page is laid out otherwise.
+
+    That is so if the path is not there, or holds little of the page's text while the page's own best
+    container is none of the ``boxes``, which lose to another container on most pages that have them.
+    """
+    own = best_path(page)
+    if path not in page.paths[1:]:
+        return own
+    return own if own is not None and own not in (boxes or ()) and page.share(path) < FAIR else path
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for raw, path in zip(utf8(batch.column("html")), batch.column("path").to_pylist(), strict=True):
+        for raw, path, boxes in zip(utf8(batch.column("html")), batch.column("path").to_pylist(), batch.column("boxes").to_pylist(), strict=True):
             page = read_page((raw or b"").decode())
-            texts.append(page.text(path if path in page.paths[1:] else best_path(page)))
+            texts.append(page.text(path_of(page, path, boxes)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
             ["page_id", "url", "text", "n_chars"],
@@ -218,10 +292,16 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     hosted = pages.withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST"))))
-    votes = hosted.where("host IS NOT NULL").select("host", "html").mapInArrow(_vote, "host string, path string, votes long")
-    votes = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    chosen = stage(votes.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path")), "chosen")
+    votes = hosted.where("host IS NOT NULL").select("host", "html").mapInArrow(_vote, "host string, path string, votes long, wins long, pages long")
+    votes = votes.groupBy("host", "path").agg(*[F.sum(c).alias(c) for c in ("votes", "wins", "pages")])
+    voted = F.when(F.col("votes") > 0, F.col("path"))
+    box = F.when((F.col("wins") > 0) & (2 * F.col("wins") < F.col("pages")), F.col("path"))
+    chosen = votes.groupBy("host").agg(
+        F.min_by(voted, F.struct(-F.col("votes"), "path")).alias("path"),
+        F.collect_list(box).alias("boxes"),  # of the classes of a host, as others are on one page only
+    )
+    chosen = stage(chosen, "chosen")
     # sent to the pages while its measured size allows it: a host with a third of all pages then stays
     # where it is; above that Spark joins by host and splits hot hosts
-    found = hosted.join(lookup_side(chosen), "host", "left").select("page_id", "url", "html", "path")
+    found = hosted.join(lookup_side(chosen), "host", "left").select("page_id", "url", "html", "path", "boxes")
     return found.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -177,6 +177,35 @@ def test_hosts_agree(spark, none):
     assert page_text.extract_text(df.limit(0)).count() == 0
 
 
+BODY = prose(70, 60)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (page(f"<div class=content><p>the lede</p><div class=body><p>{BODY}</p></div></div>"), "the lede " + BODY),
+        (page(f"<article><h1>title</h1><div class=body><p>{BODY}</p></div></article>tail"), "title " + BODY),
+        (page(f"<main><p>lede</p><div><div class=body>{BODY}</div></div></main><div>box</div>"), "lede " + BODY),
+        (page(f"<div class=a><div class=one>{prose(71, 9)}</div><div class=two>{BODY}</div></div><div>box</div>"), f"{prose(71, 9)} {BODY}"),
+        (page(f"<div class=a><div><a href=x>some links</a></div><p>lede</p><div class=two>{BODY}</div></div>"), "lede " + BODY),
+        (page(f"<table><tr><td>left column<td><p>lede</p><div>{BODY}</div></table>"), "lede " + BODY),
+        (page(f"<div class=a><div class=box>teaser</div><div><div class=two>{BODY}</div></div></div>"), BODY),
+    ],
+)
+def test_text_around_the_best_container(html, text):
+    read = page_text.read_page(html)
+    assert read.text(page_text.best_path(read)) == text
+
+
+def test_pages_of_another_layout_follow_themselves(spark):
+    usual = [(i, f"http://host.example/{i}", page(f"<div class=post><p>{prose(i, 40)}</p></div><div class=more>links</div>")) for i in range(9)]
+    other = [(10 + i, f"http://host.example/{i}", page(f"<div class=post>ad</div><div class=story><p>{prose(10 + i, 40)}</p></div>")) for i in range(2)]
+    box = (20, "http://host.example/20", page(f"<div class=post><p>short</p></div><div class=more>{prose(20, 40)}</div>"))
+    df = spark.createDataFrame([*usual, *other, box], "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in page_text.extract_text(df).collect()}
+    assert got == {i: prose(i, 40) for i in (*range(9), 10, 11)} | {20: "short"}
+
+
 # --- secrets ---
 
 
