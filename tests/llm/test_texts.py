@@ -1,6 +1,7 @@
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from siltstone.llm import decontamination, page_text, personal_data, secret_scan, token_files
+from siltstone.llm import decontamination, license_texts, page_text, personal_data, secret_scan, token_files
 from siltstone.llm.automaton import compile_rules, parse
 from siltstone.llm.license_scan import known_digests, scan_licenses
 from siltstone.llm.license_texts import MIT
@@ -32,6 +33,22 @@ def test_licences(spark, docs, none):
     assert scan_licenses(none, known_digests(spark)).count() == 0
 
 
+def test_published_licences_and_their_notices(spark):
+    folder = Path(license_texts.__file__).parent / "licenses"
+    rows = [(i, "Copyright (C) 2024 Somebody\n\n" + (folder / file).read_text()) for i, (file, _) in enumerate(license_texts.FILES)]
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    bsd = (folder / "BSD-2-Clause").read_text()
+    rows += [
+        (100, "import os\n// SPDX-License-Identifier: LGPL-2.1-or-later\n# " + gpl + "\n"), (101, "BSD 2-Clause License\n\nCopyright (c) 2024, A\nAll rights reserved.\n\n" + bsd),
+        (102, (folder / "GPL-3").read_text().partition("END OF TERMS")[0]), (103, bsd + "\nnot quite"), (104, license_texts.HEADERS[0][1].replace(", ", ",\n")),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in scan_licenses(df, known_digests(spark)).collect()}
+    assert [got[i][0] for i in range(len(license_texts.FILES))] == [name for _, name in license_texts.FILES]
+    assert got[100] == (None, 2, "GPL-3.0,LGPL-2.1")
+    assert [got[i][0] for i in (101, 102, 103, 104)] == ["BSD-2-Clause", "GPL-3.0", None, "Apache-2.0"]
+
+
 # --- benchmark ---
 
 ITEMS = [prose(500 + i, 30 + i) for i in range(6)] + ["tiny", "", None]
