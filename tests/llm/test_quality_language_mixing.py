@@ -2,6 +2,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import zstandard
 
@@ -58,6 +59,15 @@ def test_bands_reject_repeats_and_noise_but_not_prose(spark):
     assert not rows[4]["kept"] and rows[4]["bad_share"] > bands.BAD_SHARE
 
 
+def test_bands_keep_long_formal_prose_but_not_its_copies(spark):
+    texts = {f.name: f.read_text() for f in sorted((Path(bands.__file__).parent / "licenses").iterdir()) if f.name in ("Apache-2.0", "GFDL-1.3", "GPL-3", "LGPL-2.1", "MPL-1.1")}
+    rows = [(i, text) for i, text in enumerate(texts.values())] + [(10 + i, text[:1500] * 6) for i, text in enumerate(texts.values())]
+    rows.append((20, " | ".join(prose(7, 900).split())))
+    got = {r["doc_id"]: r for r in judge_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(texts) == 5 and all(got[i]["kept"] for i in range(5))
+    assert not any(bands.usual(text.encode(), got[i]["ratio"]) or got[i]["kept"] for i, text in rows[5:])
+
+
 def test_language_by_plain_compression(docs, table_rows):
     found = identify(docs).collect()
     assert len(found) == len(table_rows)
