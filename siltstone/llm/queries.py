@@ -12,6 +12,8 @@ from .compression_bands import judge_quality
 from .decontamination import contamination
 from .language_id import identify
 from .license_scan import known_digests, oracle, scan_licenses
+from .line_dedup import dedup_lines
+from .line_dedup import oracle as line_oracle
 from .mixing import mixed
 from .ngram_join import jaccard_components
 from .page_text import extract_text
@@ -60,6 +62,10 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_token_files,
         op10_personal_data,
+        op12_line_dedup,
     )
 }
-ORACLES: dict[str, str] = {"op3_license_scan": oracle()}
+ORACLES: dict[str, str] = {"op3_license_scan": oracle(), "op12_line_dedup": line_oracle()}
