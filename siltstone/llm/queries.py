@@ -14,6 +14,8 @@ from .language_id import identify
 from .license_scan import known_digests, oracle, scan_licenses
 from .line_dedup import dedup_lines
 from .line_dedup import oracle as line_oracle
+from .merkle import manifest
+from .merkle import oracle as manifest_oracle
 from .mixing import mixed
 from .ngram_join import jaccard_components
 from .page_text import extract_text
@@ -66,6 +68,10 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest(table(spark, folder, "documents")).drop("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_files,
         op10_personal_data,
         op12_line_dedup,
+        op13_merkle_manifest,
     )
 }
-ORACLES: dict[str, str] = {"op3_license_scan": oracle(), "op12_line_dedup": line_oracle()}
+ORACLES: dict[str, str] = {"op3_license_scan": oracle(), "op12_line_dedup": line_oracle(), "op13_merkle_manifest": manifest_oracle()}
