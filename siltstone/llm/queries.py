@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .compression_bands import judge_quality
 from .decontamination import contamination
+from .hard_negatives import hard_negatives, whole_numbers
+from .hard_negatives import oracle as negatives_oracle
 from .language_id import identify
 from .license_scan import known_digests, oracle, scan_licenses
 from .line_dedup import dedup_lines
@@ -64,6 +67,17 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    rows = table(spark, folder, "embeddings").select(
+        vec_id.alias("id"),
+        F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        whole_numbers(F.col("embedding")).alias("vec"),
+        (vec_id % 50 == 0).alias("anchor"),
+    )
+    return hard_negatives(rows)
+
+
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents"))
 
@@ -85,8 +99,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_token_files,
         op10_personal_data,
+        op11_hard_negatives,
         op12_line_dedup,
         op13_merkle_manifest,
     )
 }
-ORACLES: dict[str, str] = {"op3_license_scan": oracle(), "op12_line_dedup": line_oracle(), "op13_merkle_manifest": manifest_oracle()}
+ORACLES: dict[str, str] = {
+    "op3_license_scan": oracle(),
+    "op11_hard_negatives": negatives_oracle(),
+    "op12_line_dedup": line_oracle(),
+    "op13_merkle_manifest": manifest_oracle(),
+}
