@@ -23,9 +23,10 @@ from siltstone.operators.metrics import derive
 from siltstone.plans import marts
 from siltstone.plans.layers import TRACKED, Lakehouse, run_layers
 from siltstone.plans.silver import conform, prepare, tagged_trips
-from siltstone.sources import landing, tables
+from siltstone.sources import histories, landing, tables
+from siltstone.sources.ledger import ingest_landed, recorded_schemas
 from siltstone.sources.workspace import fresh_folder, stage
-from siltstone.streaming.incremental import ingest_new_files, refreshed_fact
+from siltstone.streaming.incremental import ingest_new_files, refreshed_fact, run_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 CHANGE_DAY = {"shipments": "1998-06-01", "events": "2024-01-15"}
@@ -533,6 +534,23 @@ def scd2_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table).drop("customer_key", "row_hash")
 
 
+def third_customers(customers: DataFrame) -> DataFrame:
+    """Two loads later: some are back where they were, some go elsewhere."""
+    key = F.col("c_custkey")
+    return customers.withColumn("c_mktsegment", F.when(key % 6 == 0, F.lit("THIRD")).otherwise(F.col("c_mktsegment")))
+
+
+def scd2_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """The last load first, then the others, of which one comes twice: the history is that of the days."""
+    table = f"{scratch_database(spark)}.customers"
+    customers = read(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    first, second = ("2024-01-01", customers), ("2024-02-01", second_customers(customers))
+    third = ("2024-03-01", third_customers(customers))
+    for day, load in (third, first, second, first):
+        histories.load_versions(load, table, ["c_custkey"], ["c_nationkey", "c_mktsegment"], day, "customer_key")
+    return histories.read_versions(spark, table).drop("customer_key", "row_hash")
+
+
 def scd2_changed(spark: SparkSession, folder: str) -> DataFrame:
     """The versions a second load closes and opens, without writing a table."""
     customers = read(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -583,6 +601,25 @@ def clustered_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table)
 
 
+def clustered_skipping(spark: SparkSession, folder: str) -> DataFrame:
+    """For each column of a layout, whether its quarters are each found in under half of the files, by their bounds."""
+    table = f"{scratch_database(spark)}.lines"
+    columns = ["l_partkey", "l_suppkey"]
+    rows = read(spark, folder, "lineitem").select("l_orderkey", *columns).withColumn("load_month", F.lit("all"))
+    tables.replace_partitions(rows, table, ["all"])
+    tables.clustered_rewrite(spark, table, columns, ["all"], files=64)
+    bounds = spark.table(table).groupBy(F.input_file_name().alias("file")).agg(
+        *[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
+    )
+    quarters = rows.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75]).alias(c) for c in columns])
+    sought = quarters.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("points")) for c in columns])).alias("s"))
+    points = sought.select("s.name", F.explode("s.points").alias("point"))
+    files = bounds.select("file", F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("b")) for c in columns])).alias("f"))
+    hit = F.col("point").between(F.col("b.low"), F.col("b.high"))
+    read_files = files.select("file", "f.*").join(F.broadcast(points), "name").groupBy("name", "point").agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("files"))
+    return read_files.groupBy("name").agg((F.max(F.col("hits") / F.col("files")) < 0.5).alias("skips"), F.max("files").alias("files"))
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
@@ -755,6 +792,60 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def month_file(root: str, month: str) -> str:
+    return f"{root}/landing/events_tripdata_{month}.parquet"
+
+
+def incremental_reland(spark: SparkSession, folder: str) -> DataFrame:
+    """Two months land; then one lands again with other values, and a file with a new column joins the other."""
+    root = fresh_folder(spark, "reland")
+    events = read(spark, folder, "events").select("event_id", "ts", "event_type", "value")
+    first, second = events.where("event_id % 3 = 0"), events.where("event_id % 3 = 1")
+    for month, part in (("2024-01", first), ("2024-02", second)):
+        part.write.parquet(month_file(root, month))
+    ingest_landed(spark, f"{root}/landing", f"{root}/raw")
+    first.withColumn("value", F.col("value") * 2).write.mode("overwrite").parquet(month_file(root, "2024-01"))
+    added = events.where("event_id % 3 = 2").withColumn("fee", F.col("value") / 4)
+    added.write.mode("append").parquet(month_file(root, "2024-02"))
+    months = ingest_landed(spark, f"{root}/landing", f"{root}/raw")
+    ingest_landed(spark, f"{root}/landing", f"{root}/raw")
+    view = f"{scratch_database(spark)}.raw_events"
+    landing.publish_raw(spark, view, f"{root}/raw", recorded_schemas(spark, f"{root}/raw", months))
+    return spark.sql(f"SELECT event_id, ts, event_type, value, fee, load_month FROM {view}")
+
+
+def bronze_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw months of the run of all layers, as one relation for plain SQL."""
+    view = lakehouse(spark, folder).table("bronze", "raw_trips")
+    return spark.sql(
+        f"""SELECT load_month, store_and_fwd_flag AS flag, count(*) AS trips, CAST(sum(Fare) AS DECIMAL(20,2)) AS fares
+        FROM {view} GROUP BY load_month, store_and_fwd_flag"""
+    )
+
+
+def incremental_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Events land with flaws and are taken to the fact; they land again as they are, and only changes follow."""
+    root = fresh_folder(spark, "increments")
+    names = {layer: f"{layer}_{uuid.uuid4().hex[:8]}" for layer in ("bronze", "silver", "gold")}
+    for name in names.values():
+        spark.sql(f"CREATE SCHEMA {name} LOCATION '{root}/{name}'")
+    raw_places(spark, folder).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(f"{root}/zones")
+    events = stage(source_events(spark, folder), "events")
+    lake = Lakehouse(
+        domain=EVENTS, landing=f"{root}/landing", zones=f"{root}/zones", raw_root=f"{root}/raw", schemas=names, streamed=True
+    )
+    id_ = F.col("event_id")
+    doubled = F.when(id_ % 5 == 0, F.col("Total") * 2).otherwise(F.col("Total")).cast("decimal(14,4)")
+    flawed = events.where(id_ % 7 != 0).withColumn("Total", doubled)
+    for version in (flawed, events):
+        for month in months_of(events, "Started"):
+            version.where(F.date_format("Started", "yyyy-MM") == month).write.mode("overwrite").parquet(month_file(root, month))
+        run_increment(spark, lake, skip_quality=True)
+    return without_location_keys(spark.table(lake.fact))
+
+
 def incremental_fact(spark: SparkSession, folder: str) -> DataFrame:
     """A fact built from an older silver, brought up to date by the changed rows alone."""
     side = shipped(spark, folder)
@@ -856,6 +947,8 @@ QUERIES: dict[str, Query] = {
     "scd2_changed": scd2_changed,
     "snapshot_diff": snapshot_diff,
     "clustered_rewrite": clustered_rewrite,
+    "clustered_skipping": clustered_skipping,
+    "scd2_backfill": scd2_backfill,
     # quality
     "dq_expectations": dq_expectations,
     "dq_failures": dq_failures,
@@ -883,4 +976,7 @@ QUERIES: dict[str, Query] = {
     "run_layers": run_all_layers,
     "incremental_ingest": incremental_ingest,
     "incremental_fact": incremental_fact,
+    "incremental_reland": incremental_reland,
+    "incremental_run": incremental_run,
+    "bronze_table": bronze_table,
 }

@@ -558,6 +558,33 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey, c_mktsegment, c_acctbal, DATE '1900-01-01' AS effective_from,
                CASE WHEN differs THEN DATE '2024-01-31' ELSE DATE '9999-12-31' END AS effective_to, NOT differs AS is_current FROM both_loads
         UNION ALL SELECT c_custkey, segment, balance, DATE '2024-02-01', DATE '9999-12-31', true FROM both_loads WHERE differs""",
+    "scd2_backfill": using(
+        LATER_CUSTOMERS,
+        """SELECT c_custkey, c_nationkey, c_mktsegment,
+          CASE WHEN first THEN DATE '1900-01-01' ELSE day END AS effective_from,
+          coalesce(CAST(lead(day) OVER member - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS effective_to,
+          lead(day) OVER member IS NULL AS is_current
+        FROM (
+          SELECT *, lag(day) OVER loads IS NULL AS first,
+            lag(day) OVER loads IS NULL OR lag(c_nationkey) OVER loads IS DISTINCT FROM c_nationkey
+              OR lag(c_mktsegment) OVER loads IS DISTINCT FROM c_mktsegment AS differs
+          FROM (
+            SELECT DATE '2024-01-01' AS day, c_custkey, c_nationkey, c_mktsegment FROM customer
+            UNION ALL SELECT DATE '2024-02-01', c_custkey, c_nationkey, c_mktsegment FROM later
+            UNION ALL SELECT DATE '2024-03-01', c_custkey, c_nationkey, CASE WHEN c_custkey % 6 = 0 THEN 'THIRD' ELSE c_mktsegment END FROM customer)
+          WINDOW loads AS (PARTITION BY c_custkey ORDER BY day))
+        WHERE differs WINDOW member AS (PARTITION BY c_custkey ORDER BY day)""",
+    ),
+    "clustered_skipping": """SELECT unnest(['l_partkey', 'l_suppkey']) AS name, true AS skips, CAST(64 AS BIGINT) AS files""",
+    "incremental_reland": """SELECT event_id, ts, event_type, CASE WHEN event_id % 3 = 0 THEN value * 2 ELSE value END AS value,
+        CASE WHEN event_id % 3 = 2 THEN value / 4 END AS fee,
+        CASE WHEN event_id % 3 = 0 THEN '2024-01' ELSE '2024-02' END AS load_month FROM events""",
+    "incremental_run": using(EVENT_FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
+    "bronze_table": using(
+        EVENTS,
+        """SELECT load_month, store_and_fwd_flag AS flag, count(*) AS trips, CAST(sum(fare_amount) AS DECIMAL(20,2)) AS fares
+        FROM typed GROUP BY 1, 2""",
+    ),
     "clustered_rewrite": using(
         SHIPMENTS,
         """SELECT trip_id, order_key, line_number, trip_distance_mi, total_amount, pu_location_id, pickup_datetime,

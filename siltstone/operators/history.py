@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import content_hash, version_key
@@ -133,6 +133,81 @@ def scd2_merge(
     )
 
 
+def scd2_history(
+    loads: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    loaded_on: str,
+    surrogate: str = "location_key",
+    open_from: str | None = LOW_DATE,
+) -> DataFrame:
+    """The history that any number of loads make, whatever order they came in.
+
+    ``loads`` has a row for every member a load lists, with the day of the load in ``loaded_on``. A member
+    keeps the attributes of a load until the day before the next load that lists others: neighbours that
+    are equal are one version. The first is open from ``open_from`` (``None``: from its load), the last has no
+    end. Columns that are neither keys nor tracked come from the first load of a version. A member twice in one load fails the
+    job. One exchange by key; a key has as many rows as there are loads.
+    """
+    keys, tracked = list(keys), list(tracked)
+    rest = [name for name in loads.columns if name not in (*keys, *tracked, loaded_on)]
+    day = F.col(loaded_on).cast("date")
+    listed = unique_rows(loads.withColumn(loaded_on, day), [*keys, loaded_on], "history loads")
+    by_day = Window.partitionBy(*keys).orderBy(loaded_on)
+    hashed = listed.withColumn("row_hash", row_hash(tracked))
+    before = F.lag("row_hash").over(by_day)
+    versions = hashed.withColumn("_before", before).where("_before IS NULL OR _before <> row_hash")
+    following = F.lead(loaded_on).over(by_day)
+    begin = F.col(loaded_on) if open_from is None else F.when(F.col("_before").isNull(), F.lit(open_from).cast("date")).otherwise(F.col(loaded_on))
+    dated = versions.withColumns({"_following": following, "effective_from": begin})
+    return dated.select(
+        *keys,
+        *tracked,
+        *rest,
+        "effective_from",
+        F.coalesce(F.date_sub("_following", 1), F.lit(HIGH_DATE).cast("date")).alias("effective_to"),
+        F.col("_following").isNull().alias("is_current"),
+        "row_hash",
+        version_key([F.col(k) for k in keys], F.col("effective_from")).alias(surrogate),
+    )
+
+
+def scd2_changes(
+    current: DataFrame,
+    load: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    day: str,
+    surrogate: str = "location_key",
+    open_from: str | None = LOW_DATE,
+) -> DataFrame:
+    """What a load later than all others does to the open versions: rows with ``_gone``.
+
+    ``_gone`` marks versions as they were, which no longer hold; the others are new: the same ones with
+    their end, those that begin on ``day``, and first versions of members that were not known.
+    """
+    keys, tracked = list(keys), list(tracked)
+    own = ["effective_from", "effective_to", "is_current", "row_hash", surrogate]
+    rest = [name for name in load.columns if name not in (*keys, *tracked)]
+    columns = [*tracked, *rest, *own]
+    now = _widened(current, load, "history load", own).select(*keys, F.struct(*columns).alias("now"))
+    new = load.select(*keys, F.struct(*tracked, *rest, row_hash(tracked).alias("row_hash")).alias("new"))
+    paired = new.join(now, keys, "left").where("now IS NULL OR now.row_hash <> new.row_hash")
+    first, high = F.lit(day).cast("date"), F.lit(HIGH_DATE).cast("date")
+
+    def version(source: str, start: Column, end: Column, open_: bool) -> list[Column]:
+        kept = [F.col(f"{source}.{name}").alias(name) for name in (*tracked, *rest)]
+        key = version_key([F.col(k) for k in keys], start)
+        return [*kept, start.alias("effective_from"), end.alias("effective_to"), F.lit(open_).alias("is_current"), F.col(f"{source}.row_hash").alias("row_hash"), key.alias(surrogate)]
+
+    was = F.struct(*[F.col(f"now.{name}").alias(name) for name in columns], F.lit(True).alias("_gone"))
+    ended = F.struct(*version("now", F.col("now.effective_from"), F.date_sub(first, 1), False), F.lit(False).alias("_gone"))
+    opened = F.struct(*version("new", first, high, True), F.lit(False).alias("_gone"))
+    begun = F.struct(*version("new", first if open_from is None else F.lit(open_from).cast("date"), high, True), F.lit(False).alias("_gone"))
+    rows = F.when(F.col("now").isNull(), F.array(begun)).otherwise(F.array(was, ended, opened))
+    return paired.select(*keys, F.explode(rows).alias("v")).select(*keys, "v.*")
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that were ``added``, ``removed`` or ``changed`` between two snapshots.
 

@@ -13,7 +13,7 @@ from ..contracts import Domain, Expectation
 from ..operators import dimensions, expectations, rules, star
 from ..operators.identity import add_trip_id
 from ..operators.expectations import RESULT_COLUMNS
-from ..sources import landing, tables
+from ..sources import histories, landing, ledger, tables
 from ..sources.workspace import staged
 from .silver import conform, tagged_trips
 
@@ -26,8 +26,9 @@ class Lakehouse:
     """Where a domain's data comes from and what its tables are called.
 
     ``raw_root`` holds the raw months as one folder each, every folder with the schema its source
-    had, or what the stream of ``streaming.incremental`` wrote when ``streamed`` is set. With
-    ``source_table`` the months are cut from that table by ``source_moment`` instead of
+    had. When ``streamed`` is set, months are taken from ``landing`` by the ledger of files
+    (``sources.ledger``), which then knows their schemas. ``history_buckets`` divide the open versions of the
+    locations. With ``source_table`` the months are cut from that table by ``source_moment`` instead of
     being read from files in ``landing``.
     """
 
@@ -43,6 +44,7 @@ class Lakehouse:
     source_table: str | None = None
     source_moment: str = "tpep_pickup_datetime"
     streamed: bool = False
+    history_buckets: int = 1
     clustering: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def table(self, layer: str, name: str) -> str:
@@ -72,11 +74,22 @@ def months_given(months: str | Sequence[str]) -> list[str]:
     return [month for text in given for month in text.split()]
 
 
-def bronze_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
-    """Zones, then each month into its own folder; re-running a month replaces that folder."""
+def read_zone_lookup(spark: SparkSession, lake: Lakehouse) -> str:
+    """The zones as landed; returns the name of their table."""
     zones = lake.table("bronze", "raw_taxi_zones")
     tables.full_overwrite(landing.read_zones(spark, lake.zones), zones, "Location lookup as landed")
-    counts = {"zones": spark.table(zones).count()}
+    return zones
+
+
+def bronze_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
+    """Zones, then each month into its own folder; re-running a month replaces that folder.
+
+    All months of the area together are the view ``raw_trips`` in the schema of bronze.
+    """
+    counts = {"zones": spark.table(read_zone_lookup(spark, lake)).count()}
+    if lake.streamed:
+        take_landed(spark, lake, months)
+        return counts
     schemas = []
     for month in months:
         if lake.source_table:
@@ -92,16 +105,43 @@ def bronze_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) ->
         schemas.append((month, landing.schema_text(month_rows)))
     recorded = spark.createDataFrame(schemas, "load_month string, schema string")
     tables.upsert_scd1(recorded, lake.schemas_table, ["load_month"])
+    publish(spark, lake)
     return counts
 
 
+def publish(spark: SparkSession, lake: Lakehouse) -> None:
+    """Every raw month as one relation for SQL, whatever schema it came with."""
+    if lake.streamed:
+        entries = ledger.ledger(spark, lake.raw_root)
+    else:
+        entries = spark.table(lake.schemas_table)
+    # as many rows as there are months
+    schemas = {r["load_month"]: r["schema"] for r in entries.groupBy("load_month").agg(F.first("schema").alias("schema")).collect()}
+    landing.publish_raw(spark, lake.table("bronze", "raw_trips"), lake.raw_root, schemas)
+
+
+def unsettled_months(spark: SparkSession, lake: Lakehouse) -> list[str]:
+    """Months that have landed otherwise than the ledger has them."""
+    return ledger.changed_months(ledger.landed_files(spark, lake.landing), ledger.ledger(spark, lake.raw_root))
+
+
+def take_landed(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> list[str]:
+    """Bring the raw months that landed anew to the ledger; returns those that were taken."""
+    taken = ledger.ingest_landed(spark, lake.landing, lake.raw_root, months=months)
+    if taken:
+        publish(spark, lake)
+    return taken
+
+
 def raw_rows(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> list[DataFrame]:
     """The raw months, read with the schemas that bronze recorded."""
     schemas = {}
-    if not lake.streamed and spark.catalog.tableExists(lake.schemas_table):
+    if lake.streamed:
+        schemas = ledger.recorded_schemas(spark, lake.raw_root, months)
+    elif spark.catalog.tableExists(lake.schemas_table):
         # as many rows as there are months
         schemas = {r["load_month"]: r["schema"] for r in landing.only_months(spark.table(lake.schemas_table), months).collect()}
-    return landing.raw_months(spark, lake.raw_root, months, lake.streamed, schemas)
+    return landing.raw_months(spark, lake.raw_root, months, schemas)
 
 
 def silver_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
@@ -150,11 +190,30 @@ def _write(
 
 
 def gold_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> dict[str, int]:
-    """Dimensions, then the fact of the months.
+    """Dimensions, then the fact of the months."""
+    write_dimensions(spark, lake, months)
+    trips = landing.only_months(spark.table(lake.valid), months)
+    return {"fct_trips": write_fact(spark, lake, trips, read_lookup(spark, lake), months)}
+
+
+def write_fact(
+    spark: SparkSession, lake: Lakehouse, trips: DataFrame, lookup: DataFrame, months: Sequence[str]
+) -> int:
+    """The fact of the months; returns its rows.
 
     Silver arrives by month and the dimension is broadcast, so an unclustered fact is written
     without any exchange.
     """
+    fact = star.build_fact(trips, lookup, lake.domain)
+    return _write(fact, lake, "gold.fct_trips", months, comment="One row per accepted trip")
+
+
+def read_lookup(spark: SparkSession, lake: Lakehouse) -> DataFrame:
+    return star.location_lookup(spark.table(lake.table("gold", "dim_location")))
+
+
+def write_dimensions(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> None:
+    """The calendar grown to these months, the fixed dimensions, and a load of the locations."""
     domain = lake.domain
     trips = landing.only_months(spark.table(lake.valid), months)
     _extend_calendar(spark, lake, trips, months)
@@ -167,19 +226,15 @@ def gold_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> d
         ("dim_payment_type", domain.payment_types),
     ):
         tables.full_overwrite(dimensions.code_dimension(spark, codes), lake.table("gold", name))
-    dim_location = lake.table("gold", "dim_location")
     zones = spark.table(lake.table("silver", "dim_source_zones"))
-    tables.upsert_scd2(
+    histories.load_versions(
         dimensions.locations(zones, domain.airport_pattern),
-        dim_location,
+        lake.table("gold", "dim_location"),
         ["location_id"],
         TRACKED,
         f"{min(months)}-01",
+        buckets=lake.history_buckets,
     )
-    lookup = star.location_lookup(spark.table(dim_location))
-    fact = star.build_fact(trips, lookup, domain)
-    written = _write(fact, lake, "gold.fct_trips", months, comment="One row per accepted trip")
-    return {"fct_trips": written}
 
 
 def _extend_calendar(
@@ -210,7 +265,7 @@ def read_star(spark: SparkSession, lake: Lakehouse) -> star.Star:
         fact=gold("fct_trips"),
         dates=gold("dim_date"),
         clock=gold("dim_time"),
-        locations=gold("dim_location"),
+        locations=histories.read_versions(spark, lake.table("gold", "dim_location")),
         vendors=gold("dim_vendor"),
         rate_codes=gold("dim_rate_code"),
         payment_types=gold("dim_payment_type"),
@@ -266,6 +321,12 @@ def _record(
     return [row.asDict() for row in rows]
 
 
+def create_schemas(spark: SparkSession, lake: Lakehouse) -> None:
+    for schema in LAYERS:
+        prefix = f"{lake.catalog}." if lake.catalog else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{lake.schemas[schema]}")
+
+
 def run_layers(
     spark: SparkSession,
     lake: Lakehouse,
@@ -278,9 +339,7 @@ def run_layers(
         raise ValueError(f"layer must be one of {(*LAYERS, 'all')}, not {layer!r}")
     months = months_given(months)
     run_id = uuid.uuid4().hex[:8]
-    for schema in LAYERS:
-        prefix = f"{lake.catalog}." if lake.catalog else ""
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{lake.schemas[schema]}")
+    create_schemas(spark, lake)
     chosen = LAYERS if layer == "all" else (layer,)
     counts: dict[str, dict[str, int]] = {}
     for name in chosen:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
+from ..functions.types import common_type
+
+FILE_MONTH = r"_tripdata_([0-9]{4}-[0-9]{2})\.parquet"
+TABLES = "_tables"  #: a folder without files, where external tables of the raw area begin
 ZONES_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 
 
@@ -62,17 +67,14 @@ def schema_text(df: DataFrame) -> str:
 
 
 def raw_months(
-    spark: SparkSession, root: str, months: Sequence[str], streamed: bool = False, schemas: Mapping[str, str] | None = None
+    spark: SparkSession, root: str, months: Sequence[str], schemas: Mapping[str, str] | None = None
 ) -> list[DataFrame]:
     """The months of the raw area, one DataFrame for all months whose files have the same schema.
 
     Sources change types over the years, so months of different schemas meet only after each has been
     brought to the contract. ``schemas`` holds the schema of months as JSON, as it was recorded when
-    they were written; the footer of another month is asked for. A ``streamed`` area is entered by its
-    root, where Spark finds the list of files its stream committed.
+    they were written; the footer of another month is asked for.
     """
-    if streamed:
-        return [only_months(spark.read.parquet(root), months)]
     base = root.rstrip("/")
     alike: dict[str, list[str]] = {}
     for month in months:
@@ -87,6 +89,40 @@ def raw_months(
     ]
 
 
+def publish_raw(spark: SparkSession, view: str, root: str, schemas: Mapping[str, str]) -> None:
+    """Make the raw months one relation named ``view``, for plain SQL.
+
+    Months of one schema are the partitions of one external table, ``{view}_<digest of the schema>``; the
+    view brings their columns to common types (``common_type``) and puts them together. A column that
+    a month lacks is NULL there. ``schemas`` holds all months of the area with their schema as JSON. Only the catalog
+    changes, no file is written, and conditions on the month reach the folders.
+    """
+    base = root.rstrip("/")
+    alike: dict[str, list[str]] = {}
+    for month, schema in schemas.items():
+        alike.setdefault(schema, []).append(month)
+    kinds = {schema: StructType.fromJson(json.loads(schema)) for schema in alike}
+    types: dict[str, DataType] = {}
+    for schema in kinds.values():
+        for field in schema.fields:
+            types[field.name] = common_type(types.get(field.name, field.dataType), field.dataType)
+    parts = []
+    for schema, months in sorted(alike.items()):
+        table = f"{view}_{hashlib.sha256(schema.encode()).hexdigest()[:12]}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds[schema].fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, load_month STRING) USING parquet PARTITIONED BY (load_month) LOCATION '{base}/{TABLES}'")
+        known = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        for month in sorted(set(months) - known):
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION (load_month = '{month}') LOCATION '{base}/load_month={month}'")
+        spark.catalog.refreshTable(table)
+        have = set(kinds[schema].names)
+        chosen = ", ".join(f"CAST({f'`{n}`' if n in have else 'NULL'} AS {t.simpleString()}) AS `{n}`" for n, t in types.items())
+        named = ", ".join(f"'{month}'" for month in sorted(months))
+        # a month that was read again with another schema is a partition of two tables, and counts in one
+        parts.append(f"SELECT {chosen}, load_month FROM {table} WHERE load_month IN ({named})")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {' UNION ALL '.join(parts)}")
+
+
 def lineage_of(spark: SparkSession, root: str) -> DataFrame:
     """Only the lineage columns of the whole raw area, whatever else its files hold."""
     return spark.read.schema(

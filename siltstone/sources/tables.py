@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.guards import insist
 from ..operators.history import scd1_merge, scd2_merge
-from .workspace import discard
+from .workspace import children, discard
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
-@contextmanager
-def _overwriting_partitions(spark: SparkSession) -> Iterator[None]:
-    """Only the session setting makes ``insertInto`` keep the partitions it does not write."""
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
-
-
-def _create(df: DataFrame, table: str, partition_by: Sequence[str], comment: str | None) -> None:
+def create(df: DataFrame, table: str, partition_by: Sequence[str], comment: str | None) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     note = "COMMENT '" + comment.replace("'", "\\'") + "'" if comment else ""
@@ -38,11 +25,11 @@ def _columns(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
 
-def fitted(df: DataFrame, table: str) -> DataFrame:
-    """``df`` in the columns of ``table``, which is widened by columns it does not have yet.
+def fitted(df: DataFrame, table: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` in the columns of ``table``, and the columns that ``table`` does not have yet.
 
-    Older rows hold NULL in a new column. A column that is missing from ``df`` or has another type
-    raises: neither is filled or cast without a word.
+    These come last but for the partition columns. A column that is missing from ``df`` or has another type
+    raises: neither is filled or cast without a word. The table itself is not touched.
     """
     spark = df.sparkSession
     known, given = _columns(spark.table(table)), _columns(df)
@@ -50,10 +37,103 @@ def fitted(df: DataFrame, table: str) -> DataFrame:
     other = [f"{n} is {given[n]}, not {known[n]}" for n in known if n in given and given[n] != known[n]]
     if missing or other:
         raise ValueError(f"rows do not fit {table}: " + "; ".join([*(f"{n} is missing" for n in missing), *other]))
-    added = ", ".join(f"`{name}` {kind}" for name, kind in given.items() if name not in known)
+    added = {name: kind for name, kind in given.items() if name not in known}
+    return df.select(*known, *added), added
+
+
+def widen(spark: SparkSession, table: str, added: Mapping[str, str]) -> None:
+    """Older rows hold NULL in the new columns."""
     if added:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-    return df.select(*spark.table(table).columns)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{name}` {kind}' for name, kind in added.items())})")
+
+
+def _home(spark: SparkSession, table: str) -> str:
+    """The folder of the schema that ``table`` lies in."""
+    database = table.rpartition(".")[0]
+    return spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
+
+
+def _partition(**values: str) -> str:
+    quoted = {name: str(value).replace("\\", "\\\\").replace("'", "\\'") for name, value in values.items()}
+    return "PARTITION (" + ", ".join(f"`{name}` = '{value}'" for name, value in quoted.items()) + ")"
+
+
+def _folder(**values: str) -> str:
+    """What Spark calls the folder of a partition."""
+
+    def escaped(text: str) -> str:
+        return "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in '"#%\'*/:=?\\\x7f{[]^' else c for c in text)
+
+    return "/".join(f"{escaped(name)}={escaped(str(value))}" for name, value in values.items())
+
+
+def point_partitions(spark: SparkSession, table: str, place: str, written: Sequence[Mapping[str, str]], empty: Sequence[Mapping[str, str]] = ()) -> None:
+    """Let partitions of ``table`` be the folders below ``place``, and those in ``empty`` be no more.
+
+    One step of the catalog each. The folders they had stay until ``vacuum``, so a reader that has
+    begun goes on reading them.
+    """
+    present = partitions(spark, table)
+    for values in written:
+        named, location = _partition(**values), f"{place}/{_folder(**values)}"
+        if _key(values) in present:
+            spark.sql(f"ALTER TABLE {table} {named} SET LOCATION '{location}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {named} LOCATION '{location}'")
+    for values in empty:
+        if _key(values) in present:
+            # a partition is pointed away first, as dropping it deletes the folder it has
+            spark.sql(f"ALTER TABLE {table} {_partition(**values)} SET LOCATION '{place}/_none'")
+            spark.sql(f"ALTER TABLE {table} DROP {_partition(**values)}")
+    spark.catalog.refreshTable(table)
+
+
+def _key(values: Mapping[str, str]) -> tuple:
+    return tuple(sorted((name, str(value)) for name, value in values.items()))
+
+
+def partitions(spark: SparkSession, table: str) -> dict[tuple, dict[str, str]]:
+    """The partitions of ``table`` by their columns and values; the driver gathers one row for each."""
+    found = {}
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        values = dict(part.split("=", 1) for part in row[0].split("/"))
+        values = {_unescaped(name): _unescaped(value) for name, value in values.items()}
+        found[_key(values)] = values
+    return found
+
+
+def _unescaped(text: str) -> str:
+    return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), text)
+
+
+def partition_location(spark: SparkSession, table: str, **values: str) -> str | None:
+    """The folder that a partition is read from, or None where there is no such partition."""
+    if _key(values) not in partitions(spark, table):
+        return None
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_partition(**values)}").collect()
+    return next(r["data_type"] for r in told if r["col_name"] == "Location")
+
+
+def vacuum(spark: SparkSession, table: str, keep: Sequence[str] = ()) -> list[str]:
+    """Delete folders of earlier loads that no partition of ``table`` is read from; returns them.
+
+    Call it when no reader is left that began before the last load. ``keep`` are locations that
+    are needed still, as by a run that has not come to its end.
+    """
+    loads = f"{_home(spark, table)}/{table.rpartition('.')[2]}{LOADS}"
+    used = {partition_location(spark, table, **values) for values in partitions(spark, table).values()}
+    used = {_bare(place) for place in [*used, *keep] if place}
+    gone = [place for place in children(spark, loads) if not any(_bare(u).startswith(f"{_bare(place)}/") for u in used)]
+    for place in gone:
+        discard(spark, place)
+    return gone
+
+
+def _bare(place: str) -> str:
+    return re.sub("^file:/+", "/", place).rstrip("/")
+
+
+LOADS = "__loads"  #: ends the name of the folder next to a table that holds its loads
 
 
 def replace_partitions(
@@ -70,40 +150,51 @@ def replace_partitions(
     and a row outside the scope fails the job before anything is replaced. All of it is one job:
     the scope is checked and the partitions counted while the rows pass. ``rebalance`` shuffles
     rows to their partition first, with hot partitions split by size; leave it off when the input
-    already arrives one partition per task. The table may be an input of ``df``. Readers may meet
-    the moment in which old folders are exchanged for new ones. New columns widen the table, and a
-    missing column or another type raises (see ``fitted``).
+    already arrives one partition per task. The table may be an input of ``df``.
+
+    The rows are written to a folder of this load; then each partition is pointed to its part of it by
+    one step in the catalog. A reader sees a partition as it was or as it is, and a load that fails
+    while it computes or writes changes nothing, not even the columns. The folders a partition had before
+    stay until ``vacuum``. New columns widen the table, and a missing column or another type raises
+    (see ``fitted``).
     """
     spark = df.sparkSession
     scope = list(dict.fromkeys(scope))
-    _create(df, table, [by], comment)
-    rows = insist(
-        fitted(df, table),
-        F.col(by).isin(*scope),
-        f"row outside the replaced partitions of {table}",
-    )
+    create(df, table, [by], comment)
+    fit, added = fitted(df, table)
+    rows = insist(fit, F.col(by).isin(*scope), f"row outside the replaced partitions of {table}")
     if rebalance:
         rows = rows.hint("rebalance", by)
     seen = Observation(f"replace-{uuid.uuid4().hex}")
     counted = rows.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(by).alias("written")
     )
-    with _overwriting_partitions(spark):
-        counted.write.insertInto(table, overwrite=True)
+    place = write_load(counted, table, [by])
     written = set(seen.get["written"])
-    for value in scope:
-        if value not in written:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({by} = '{value}')")
+    widen(spark, table, added)
+    point_partitions(spark, table, place, [{by: v} for v in scope if v in written], [{by: v} for v in scope if v not in written])
     return seen.get["rows"]
 
 
+def write_load(df: DataFrame, table: str, by: Sequence[str]) -> str:
+    """Write ``df`` to a folder of its own beside ``table``; nothing is left of a failed write."""
+    place = f"{_home(df.sparkSession, table)}/{table.rpartition('.')[2]}{LOADS}/{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*by).parquet(place)
+    except Exception:
+        discard(df.sparkSession, place)
+        raise
+    return place
+
+
 def full_overwrite(df: DataFrame, table: str, comment: str | None = None) -> None:
     """Replace an unpartitioned table, also by one with other columns.
 
     The new content is written to a folder of its own while the table stays as it is, so it may be
     computed from that very table, and a failure at any point of the computation or of the writing
-    leaves the old content readable. Then one step in the catalog points the table to the new folder;
-    with other columns a table of that folder takes over the name. The old folder goes last.
+    leaves the old content readable. Then one step in the catalog points the table to the new folder, and
+    new columns widen it. When columns go or change their type, a table of that folder takes over the name in
+    two steps, between which the name does not exist. The old folder goes last.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
@@ -117,16 +208,18 @@ def full_overwrite(df: DataFrame, table: str, comment: str | None = None) -> Non
 def _switch(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     database, _, name = table.rpartition(".")
-    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    place = f"{home.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = f"{_home(spark, table)}/{name}-{uuid.uuid4().hex}"
+    known, given = _columns(spark.table(table)), _columns(df)
     details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     try:
         df.write.parquet(place)
     except Exception:
         discard(spark, place)
         raise
-    if _columns(df) == _columns(spark.table(table)):
+    if all(given.get(column) == kind for column, kind in known.items()):
+        # files are read by the names of their columns, so the table may be widened afterwards
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+        widen(spark, table, {column: kind for column, kind in given.items() if column not in known})
     else:
         prefix = f"{database}." if database else ""
         following, former = (f"{prefix}{name}_{mark}_{uuid.uuid4().hex}" for mark in ("next", "old"))
@@ -179,14 +272,73 @@ def upsert_scd2(
     full_overwrite(scd2_merge(known, df, keys, tracked, effective_date, surrogate), table)
 
 
-def cluster_rows(df: DataFrame, columns: Sequence[str], by: str = "load_month") -> DataFrame:
+RANK_BITS = 6  #: of the rank of a column in the layout of several; 64 ranks of about as many rows
+
+
+def _ordinal(df: DataFrame, name: str) -> Column:
+    """A number that grows with the column, for quantiles: text by its first seven bytes."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(name).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int").cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    head = F.rpad(F.hex(F.substring(F.col(name).cast("string").cast("binary"), 1, 7)), 14, "0")
+    return F.conv(head, 16, 10).cast("double")
+
+
+def _rank(value: Column, bounds: Sequence[float]) -> Column:
+    """How many of the ascending ``bounds`` are not above ``value``, by halving; NULL comes first."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= bounds[middle], between(middle + 1, high)).otherwise(between(low, middle))
+
+    return between(0, len(bounds))
+
+
+def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Where a row lies on the curve through the ranks of its columns: their bits by turns.
+
+    The ranks are those of 64 quantiles, found by one aggregate over ``df``, so columns count alike whatever
+    their values are, and rows near on the curve are near in every column.
+    """
+    cuts = [i / 2**RANK_BITS for i in range(1, 2**RANK_BITS)]
+    found = df.agg(*[F.percentile_approx(_ordinal(df, name), cuts, 10000).alias(f"q{i}") for i, name in enumerate(columns)]).first()
+    curve = F.lit(0).cast("long")
+    for i, name in enumerate(columns):
+        rank = _rank(_ordinal(df, name), sorted(set(found[i] or []))).cast("long")
+        for bit in range(RANK_BITS):
+            shifted = F.shiftleft(F.shiftright(rank, bit).bitwiseAND(1), bit * len(columns) + len(columns) - 1 - i)
+            curve = curve.bitwiseOR(shifted)
+    return curve
+
+
+def cluster_rows(df: DataFrame, columns: Sequence[str], by: str = "load_month", files: int | None = None) -> DataFrame:
     """Rows ranged by partition and ``columns`` and sorted alike, so file statistics can skip.
 
-    Ranges are cut over all the columns and then over a hash of the row, so any frequent value, or
-    combination of values, can be divided. Their number is left to adaptive execution.
+    Of several columns each shall skip, so rows follow a curve through them (``interleaved``) and not
+    the first of them. Ranges are cut over a hash of the row at last, so any frequent value, or combination of
+    values, can be divided. Their number is left to adaptive execution, or is ``files``.
     """
-    order = [by, *[name for name in columns if name != by]]
-    return df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
+    named = [name for name in columns if name != by]
+    if 1 < len(named) <= 63 // RANK_BITS:
+        df = df.withColumn(CURVE, interleaved(df, named))
+        named = [CURVE, *named]
+    order = [by, *named]
+    ends = [*order, F.xxhash64(*[c for c in df.columns if c != CURVE])]
+    ranged = df.repartitionByRange(files, *ends) if files else df.repartitionByRange(*ends)
+    return ranged.sortWithinPartitions(*order).drop(CURVE)
+
+
+CURVE = "_curve"
 
 
 def clustered_rewrite(
@@ -195,7 +347,8 @@ def clustered_rewrite(
     columns: Sequence[str],
     scope: Sequence[str],
     by: str = "load_month",
+    files: int | None = None,
 ) -> int:
     """Rewrite the partitions in ``scope`` into fewer, clustered files with the same rows."""
     part = spark.table(table).where(F.col(by).isin(*scope))
-    return replace_partitions(cluster_rows(part, columns, by), table, scope, by, rebalance=False)
+    return replace_partitions(cluster_rows(part, columns, by, files), table, scope, by, rebalance=False)

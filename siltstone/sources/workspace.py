@@ -42,6 +42,13 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder, wherever that is; nothing where it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(found.getPath()) for found in system.listStatus(place)] if system.exists(place) else []
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that a run made, wherever it lies."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

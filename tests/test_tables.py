@@ -179,3 +179,62 @@ def test_upserts_keep_columns_they_do_not_know(spark, database):
     changed = spark.createDataFrame([(2, "B2", "m")], "k int, v string, note string")
     tables.upsert_scd2(changed, two, ["k"], ["v"], "2024-02-01", "sk")
     assert {tuple(r) for r in spark.table(two).select("k", "v", "note").collect()} == {(1, "A", "n"), (2, "B", "n"), (2, "B2", "m")}
+
+
+def test_a_reader_that_has_begun_goes_on_and_vacuum_takes_what_is_left(spark, table):
+    begun = spark.read.parquet(tables.partition_location(spark, table, load_month="2024-01"))
+    old = begun.inputFiles()
+    tables.replace_partitions(rows(spark, (5, "2024-01")), table, ["2024-01"])
+    assert sorted(r["id"] for r in begun.collect()) == [1, 2]
+    assert content(spark, table) == [(3, "2024-02"), (5, "2024-01")]
+    assert tables.vacuum(spark, table) == []  # February is still read from the first load
+    tables.replace_partitions(rows(spark, (6, "2024-02")), table, ["2024-02"])
+    kept = tables.vacuum(spark, table, keep=[old[0].rpartition("/")[0]])
+    assert kept == [] and len(tables.vacuum(spark, table)) == 1
+    assert content(spark, table) == [(5, "2024-01"), (6, "2024-02")]
+    assert tables.vacuum(spark, table) == []
+
+
+def test_a_refused_load_leaves_no_column_behind(spark, table):
+    stray = spark.createDataFrame([(9, "2024-07", 2.5)], "id int, load_month string, fee double")
+    with pytest.raises(Exception, match="row outside"):
+        tables.replace_partitions(stray, table, ["2024-01"])
+    assert spark.table(table).columns == ["id", "load_month"]
+    assert content(spark, table) == [(1, "2024-01"), (2, "2024-01"), (3, "2024-02")]
+
+
+def test_odd_partition_values(spark, table):
+    odd = ["a b", "x=y/z", "it's", "50%", "1:2", "[q]"]
+    tables.replace_partitions(rows(spark, *[(i, v) for i, v in enumerate(odd)]), table, odd)
+    tables.replace_partitions(rows(spark, (7, "it's")), table, ["it's", "x=y/z"])
+    assert {(7, "it's"), (3, "50%"), (0, "a b")} < set(content(spark, table))
+    assert len(content(spark, table)) == 3 + 5
+
+
+def test_every_column_of_a_layout_skips(spark, database):
+    name = f"{database}.z"
+    df = spark.range(8000).selectExpr(
+        "int(id * 7919 % 1000) AS a", "concat('n', lpad(string(id * 104729 % 997), 4, '0')) AS b",
+        "date_add(date'2024-01-01', int(id * 31 % 365)) AS c", "IF(id % 10 = 0, NULL, id % 3 = 0) AS d", "'2024-01' AS load_month",
+    )
+    tables.replace_partitions(df, name, ["2024-01"])
+    tables.clustered_rewrite(spark, name, ["a", "b"], ["2024-01"], files=16)
+    bounds = spark.table(name).groupBy(F.input_file_name()).agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in ("a", "b")]).collect()
+    assert len(bounds) == 16
+    for column, value in (("a", 100), ("a", 871), ("b", "n0100"), ("b", "n0900")):
+        assert sum(r[column][0] <= value <= r[column][1] for r in bounds) <= 16 // 3
+    tables.clustered_rewrite(spark, name, ["b", "c", "d"], ["2024-01"], files=4)
+    assert {tuple(r) for r in spark.table(name).select(*df.columns).collect()} == {tuple(r) for r in df.collect()}
+
+
+def test_ranks_and_hot_values(spark):
+    from siltstone.sources.tables import _rank
+
+    values = [None, -5.0, 0.0, 1.0, 2.0, 9.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(_rank(F.col("v"), [0.0, 1.0, 2.0])).collect()] == [0, 0, 1, 2, 3, 3]
+    hot = spark.range(6000).selectExpr("id", "IF(id % 3 = 0, id, 7) AS a", "IF(id % 2 = 0, id, 1) AS b", "'m' AS load_month")
+    parts = tables.cluster_rows(hot, ["a", "b"], files=8).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 2 * 6000 / 8
+    nothing = spark.createDataFrame([], "a int, b string, load_month string")
+    assert tables.cluster_rows(nothing, ["a", "b"]).count() == 0
