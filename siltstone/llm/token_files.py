@@ -8,8 +8,8 @@ block is decoded by table, side by side, one array operation per step.
 
 from __future__ import annotations
 
+import json
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,67 +27,119 @@ MOST_BITS = 20  #: of a code
 STEP = 512  #: ids between two bit offsets
 BLOCK = 1 << 18  #: ids after which a block ends; a document is never divided
 PORTION = 1 << 22
-KNOWN = 400_000  #: words whose ids a worker remembers; some 200 bytes each
+KNOWN = 200_000  #: words met lately whose ids a worker remembers, and as many before; some 200 bytes each
 _ENDING = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,])"
+#: Fixed value: how the tokenizer that divides words cuts them.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: How byte-level models write a byte as a character: visible ones as they are, others from 256 on.
 _AS_CHARACTER = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}
 
 
-class WordEncoder:
-    """Ids of texts by a tokenizer that lower-cases, divides at white space and ends words.
-
-    No token reaches over ASCII white space or from a letter to a full stop or comma, so every
-    distinct word is encoded once and remembered. Words of plain small letters go to the model of
-    the tokenizer, all others through the whole tokenizer, and so do texts with a special token.
+def divides_words(path: str) -> bool:
+    """Whether the tokenizer of a file lower-cases, drops white space and ends words, as ``Encoder`` relies on."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    norms = (told.get("normalizer") or {}).get("normalizers", [])
+    pieces = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        [n["type"] for n in norms] == ["NFC", "Replace", "Lowercase"]
+        and norms[1]["pattern"] == {"Regex": r"\s+"} and norms[1]["content"] == " "
+        and [p["type"] for p in pieces] == ["Split", "ByteLevel"]
+        and pieces[0]["behavior"] == "Removed" and pieces[0]["invert"]
+        and pieces[0]["pattern"] == {"Regex": _PIECES}
+        and not pieces[1]["add_prefix_space"] and not pieces[1]["use_regex"]
+        and bool(told["model"].get("end_of_word_suffix"))
+        and all(t["content"].startswith("<|") for t in told.get("added_tokens", []))
+    )
+
+
+class Encoder:
+    """Ids of texts, equal to those of the tokenizer in the file at ``path``.
+
+    Where that lower-cases, divides at white space and ends words (``divides_words``), no token reaches over
+    ASCII white space or from a letter to a full stop or comma: every distinct word is encoded once and
+    remembered. Words of plain small letters then go to the model of the tokenizer, all others through the whole
+    tokenizer, and so do texts with a special token. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        # kept on the module, so that it outlives a task as long as its worker does
-        self.known: dict[str, bytes] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, {})
+        self.by_word = divides_words(path)
+        self.kind = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # whether a token ends a word
+        suffix = self.tokenizer.model.end_of_word_suffix
+        if self.by_word:
+            self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        # kept on the module, so that they outlive a task as long as its worker does: words met lately, and before
+        self.known: list[dict[str, bytes]] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, [{}, {}])
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         if _LETTERS.fullmatch(word):
-            return [t.id for t in self.tokenizer.model.tokenize("".join(map(_AS_CHARACTER.__getitem__, word.encode())))]
-        return self.whole(word)
+            ids = [t.id for t in self.tokenizer.model.tokenize("".join(map(_AS_CHARACTER.__getitem__, word.encode())))]
+        else:
+            ids = self.whole(word)
+        return np.array(ids, self.kind).tobytes()
+
+    def plain_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of the letters a to z, by one call: the last token of each word says that it ends there."""
+        if not words:
+            return []
+        ids = np.array(self.whole(" ".join(words)), self.kind)
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, four bytes each."""
-        out = []
-        for word in words:
-            ids = self.known.get(word)
-            if ids is None:
-                ids = array("I", self.word(word)).tobytes()
-                if len(self.known) >= KNOWN:
-                    self.known.clear()
-                self.known[word] = ids
-            out.append(ids)
+        """The ids of each word, in bytes. Of the words remembered, those not met for longest are forgotten."""
+        out = list(map(self.known[0].get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        new = []
+        for i in missing:
+            out[i] = self.known[1].get(words[i])
+            if out[i] is None:
+                new.append(i)
+        plain = [i for i in new if words[i].isascii() and words[i].isalpha()]
+        for i, ids in zip(plain, self.plain_words([words[i] for i in plain]), strict=True):
+            out[i] = ids
+        for i in new:
+            if out[i] is None:
+                out[i] = self.word(words[i])
+        for a in range(0, len(missing), KNOWN):
+            if len(self.known[0]) + len(missing[a : a + KNOWN]) > KNOWN:
+                self.known[:] = [{}, self.known[0]]
+            self.known[0].update((words[i], out[i]) for i in missing[a : a + KNOWN])
         return out
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text, without an end."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each with ``END``, and how many each has."""
+        if not self.by_word:
+            ids = [np.array([*e.ids, END], self.kind) for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, self.kind), *ids]), np.array([len(i) for i in ids], np.int64)
         special = pc.match_substring(texts, "<|")
         lowered = pc.replace_substring_regex(pc.ascii_lower(pc.if_else(special, "", texts)), _ENDING, r"\1 \2")
         split = pc.ascii_split_whitespace(lowered)
         found = split.flatten().dictionary_encode()
         ids = self.words(found.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool = np.frombuffer(b"".join(ids), np.uint32)
-        first = np.cumsum(size) - size
-        at = found.indices.to_numpy()
-        counts = size[at] if len(at) else np.zeros(0, np.int64)
-        ends = np.append(0, np.cumsum(counts))
-        flat = pool[np.repeat(first[at] - ends[:-1], counts) + np.arange(ends[-1])] if len(at) else pool[:0]
-        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        out = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)):
-            out[i] = np.array(self.whole(texts[i].as_py()), np.uint32)
-        return out
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(self.kind).itemsize
+        pool = pa.array(np.frombuffer(b"".join(ids), self.kind))
+        known = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(size))), pool)
+        taken = known.take(found.indices)
+        flat = taken.flatten().to_numpy()
+        word_ends = taken.offsets.to_numpy() - taken.offsets[0].as_py()
+        bounds = word_ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        at = np.flatnonzero(special.to_numpy(zero_copy_only=False))
+        if len(at):  # texts with a special token were left out, and come in whole
+            own = [np.array(self.whole(texts[int(i)].as_py()), self.kind) for i in at]
+            flat = np.insert(flat, np.repeat(bounds[at], [len(o) for o in own]), np.concatenate(own))
+            more = np.zeros(len(bounds), np.int64)
+            more[at + 1] = [len(o) for o in own]
+            bounds = bounds + np.cumsum(more)
+        return np.insert(flat, bounds[1:], END), np.diff(bounds) + 1
 
 
 def code_lengths(counts: np.ndarray, most: int = MOST_BITS) -> np.ndarray:
@@ -158,25 +210,35 @@ class Codes:
         return out
 
 
+def _packed(flat: np.ndarray, n: np.ndarray) -> pa.Array:
+    """``flat`` in rows of ``n`` numbers each, as bytes."""
+    ends = np.append(0, np.cumsum(n)) * flat.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
+def _flat(column: pa.Array, n: int) -> np.ndarray:
+    """All numbers of the rows of ``column``, of which there are ``n``."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]] if len(column) and n else np.zeros(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), np.uint16 if len(raw) == 2 * n else np.uint32)
+
+
 def _tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``part, before, doc_id, n, ids``: the parts are in ascending order, and the rows in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
-        wide = encoder.tokenizer.get_vocab_size() > 1 << 16
+        encoder = Encoder(vocabulary)
         before = 0
         for batch in batches:
             texts = pc.fill_null(batch.column("text").cast(pa.string()), "")
             sizes = pc.binary_length(texts).to_pylist()
             for a, b in portions(sizes, PORTION):
-                ids = encoder.encode(pa.concat_arrays([texts.slice(a, b - a)]))
-                n = np.array([len(i) + 1 for i in ids], np.int64)
-                kind = np.uint32 if wide else np.uint16
-                packed = [np.append(i, END).astype(kind).tobytes() for i in ids]
+                flat, n = encoder.encode(pa.concat_arrays([texts.slice(a, b - a)]))
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("part").slice(a, b - a), pa.array(starts), batch.column("doc_id").slice(a, b - a), pa.array(n), pa.array(packed, pa.binary())],
+                    [batch.column("part").slice(a, b - a), pa.array(starts), batch.column("doc_id").slice(a, b - a), pa.array(n), _packed(flat, n)],
                     ["part", "before", "doc_id", "n", "ids"],
                 )
         pa.default_memory_pool().release_unused()
@@ -196,11 +258,10 @@ def _counts(staged: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                found = np.bincount(_ids(raw, n))
-                if len(found) > len(total):
-                    total = np.append(total, np.zeros(len(found) - len(total), np.int64))
-                total[: len(found)] += found
+            found = np.bincount(_flat(batch.column("ids"), pc.sum(batch.column("n")).as_py() or 0))
+            if len(found) > len(total):
+                total = np.append(total, np.zeros(len(found) - len(total), np.int64))
+            total[: len(found)] += found
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 

@@ -1,6 +1,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -278,8 +279,27 @@ def test_lengths_are_limited_and_complete():
 def test_words_make_the_ids_of_whole_texts():
     texts = ["Hello <|endoftext|> THERE'S don't I'LL 12345 naïve Ünïcode é.,,,!!'s ǅ İstanbul ſtraße ẞ Á. à́b 'S'T 日本語.テスト, \x1c\x1d A.B.C,d \x85", "", "  lead", "Ÿ.,Æ., É., ß."]
     whole = Tokenizer.from_file(VOCABULARY)
-    for text, ids in zip(texts, token_files.WordEncoder(VOCABULARY).encode(pa.array(texts)), strict=True):
-        assert list(ids) == whole.encode(text, add_special_tokens=False).ids
+    flat, n = token_files.Encoder(VOCABULARY).encode(pa.array(texts))
+    for text, ids in zip(texts, np.split(flat, np.cumsum(n)[:-1]), strict=True):
+        assert list(ids) == [*whole.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_other_tokenizers_get_whole_texts(docs, table_rows):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_files.divides_words(VOCABULARY) and not token_files.divides_words(path)
+    whole = Tokenizer.from_file(path)
+    got = Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in token_files.token_files(docs, path).collect())
+    ids = [(r[0], [*whole.encode(r[1] or "", add_special_tokens=False).ids, 1]) for r in table_rows]
+    assert got == Counter((i, len(found), zlib.crc32(np.array(found, "<u4").tobytes())) for i, found in ids)
+
+
+def test_words_are_forgotten_and_met_again(monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN", 5)
+    encoder, whole = token_files.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    encoder.known = [{}, {}]
+    for words in (["a", "bb", "c1"], [f"w{i}" for i in range(12)], ["a", "w11", "bb", "été", "a"]):
+        assert [list(np.frombuffer(ids, np.uint16)) for ids in encoder.words(words)] == [whole.encode(w, add_special_tokens=False).ids for w in words]
+        assert all(len(known) <= 5 for known in encoder.known)
 
 
 def test_token_files(docs, none, table_rows, monkeypatch):
