@@ -100,6 +100,16 @@ def parse(text: str, any_case: bool = False):
     return _Parser(text, any_case).union()
 
 
+def reverse(node):
+    """The tree of the same texts read from their end."""
+    kind = node[0]
+    if kind == "set":
+        return node
+    if kind == "rep":
+        return ("rep", reverse(node[1]), *node[2:])
+    return (kind, [reverse(part) for part in (node[1][::-1] if kind == "cat" else node[1])])
+
+
 def _build(net: _Net, node, start: int) -> int:
     kind = node[0]
     if kind == "set":
@@ -142,15 +152,19 @@ class Automaton:
     classes: int
     accepting: int
     dead: int  #: the state nothing leads out of, or -1
+    rules: tuple[tuple[int, ...], ...]  #: of each accepting state, the numbers of the rules it ends
+    steps: list[int] = field(repr=False)  #: the table once more, for single steps
 
     def longest(self, data: bytes, start: int) -> int:
         """Where the longest match from ``start`` ends, or -1."""
+        steps, classes, dead, accepting = self.steps, self.classes, self.dead, self.accepting
+        of_byte = self.byte_class.tobytes()
         state, end = 0, -1
         for at in range(start, len(data)):
-            state = int(self.table[state * self.classes + int(self.byte_class[data[at]])])
-            if state == self.dead:
+            state = steps[state * classes + of_byte[data[at]]]
+            if state == dead:
                 break
-            if state >= self.accepting:
+            if state >= accepting:
                 end = at + 1
         return end
 
@@ -161,14 +175,17 @@ class Automaton:
 
 
 def compile_rules(trees: list, anywhere: bool) -> Automaton:
-    """One minimal automaton for all ``trees``; ``anywhere`` lets a match start at every byte."""
+    """One minimal automaton for all ``trees``; ``anywhere`` lets a match start at every byte.
+
+    Accepting states that end different rules stay apart.
+    """
     net = _Net()
     first = net.state()
-    ends = set()
-    for tree in trees:
+    ends: dict[int, int] = {}
+    for rule, tree in enumerate(trees):
         begin = net.state()
         net.free[first].append(begin)
-        ends.add(_build(net, tree, begin))
+        ends[_build(net, tree, begin)] = rule
     sets = list({s for steps in net.steps for s, _ in steps})
     of_byte = np.array([[b in s for s in sets] for b in range(256)])
     kinds, byte_class = np.unique(of_byte, axis=0, return_inverse=True)
@@ -204,11 +221,14 @@ def compile_rules(trees: list, anywhere: bool) -> Automaton:
             rows.append(row)
         todo = grown
     table = np.array(rows)
-    accepts = np.array([bool(subset & ends) for subset in number])
-    part = accepts.astype(int)
+    told = [tuple(sorted(ends[s] for s in subset & ends.keys())) for subset in number]
+    accepts = np.array([bool(rules) for rules in told])
+    labels = {rules: i for i, rules in enumerate(sorted(set(told) | {()}))}
+    part = np.array([labels[rules] for rules in told])
     while True:
         finer = np.unique(np.column_stack([part, part[table]]), axis=0, return_inverse=True)[1].ravel()
-        if finer.max() == part.max():
+        if len(np.unique(finer)) == len(np.unique(part)):
+            part = finer
             break
         part = finer
     head = np.unique(part, return_index=True)[1]  # one state of every part
@@ -218,4 +238,5 @@ def compile_rules(trees: list, anywhere: bool) -> Automaton:
     small = place[part[table[head[order]]]].astype(np.int32)
     accepting = int((~accepts[head]).sum())
     stuck = np.flatnonzero((small == np.arange(len(small))[:, None]).all(1) & (np.arange(len(small)) < accepting))
-    return Automaton(small.ravel(), byte_class, len(kinds), accepting, int(stuck[0]) if len(stuck) else -1)
+    rules = tuple(told[head[at]] for at in order[accepting:])
+    return Automaton(small.ravel(), byte_class, len(kinds), accepting, int(stuck[0]) if len(stuck) else -1, rules, small.ravel().tolist())

@@ -9,7 +9,9 @@ the container a page climbs to those around it as long as these hold text of the
 
 from __future__ import annotations
 
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
@@ -45,10 +47,15 @@ _WORDS = set(
     "share sharing social related recommended recommendations widget pagination pager login signup contentinfo complementary search".split()
 )
 _HEADER = {"header", "banner"}
+#: Words that say where something is or what it is made of, and not what it is.
+_PLACES = set("left right top bottom box area section list item items bar block inner outer wrap wrapper container group row col column panel content main site page global primary secondary".split())
+_COMMENT = {"comment", "comments", "disqus", "respond"}
+_MODIFIERS = re.compile(r"(?:has|no|with|without|hide|show|is|not)[-_]")
 _SPLIT = re.compile(r"[^a-z]+")
 DECAY = 0.7  #: of the text in a container that counts for the container around it
 NAMED = 1.3  #: weight of the score of an element whose tag says that it holds the article
 VOTES = 1000  #: that a page gives a container holding all of its text
+WHOLE = 10  #: times the text beside it that an element holds which is not taken for what a word in its names says
 FAIR = 0.25  #: share of a page's text below which its host's path may not be what it is laid out by
 
 
@@ -58,6 +65,7 @@ class _Node:
     container: int  #: the container the element is or is in
     apart: bool
     article: bool
+    doubtful: int = -1  #: the nearest element around it that is left out on a word alone
 
 
 @dataclass
@@ -149,8 +157,25 @@ class Page:
         return " ".join("".join(p[1] for p in self.pieces if inside[p[0]]).split())
 
 
-def _apart(tag: str, attributes: str, article: bool) -> tuple[bool, str]:
-    """Whether an element is apart from the article, and its classes without numbers."""
+def _named_apart(names: str, words: set[str]) -> bool | None:
+    """Whether names that hold one of ``words`` say that an element is apart; None if they may mean something else.
+
+    ``sidebar`` and ``cookie-notice`` say so, and so does any with a word for comments. ``has-sidebar`` is about
+    another element. ``social-science`` has a word besides that is not one of place.
+    """
+    doubt: bool | None = False
+    for name in names.split():
+        parts = {w for w in _SPLIT.split(name) if w}
+        if not parts & words or _MODIFIERS.match(name):
+            continue
+        if parts & _COMMENT or parts <= words | _PLACES:
+            return True
+        doubt = None
+    return doubt
+
+
+def _apart(tag: str, attributes: str, article: bool) -> tuple[bool | None, str]:
+    """Whether an element is apart from the article, None if only its names may say so, and its classes without numbers."""
     if tag in _APART:
         return True, ""
     if tag == "header" and not article:
@@ -159,18 +184,62 @@ def _apart(tag: str, attributes: str, article: bool) -> tuple[bool, str]:
         return False, ""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     classes = unescape(found.get("class", "")).lower()
-    words = set(_SPLIT.split(" ".join([classes, found.get("id", "").lower(), found.get("role", "").lower()])))
+    names = " ".join([classes, found.get("id", "").lower(), found.get("role", "").lower()])
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    away = hidden or bool(words & _WORDS) or (not article and bool(words & _HEADER))
-    if tag in ("html", "body", "article", "main"):
-        away = hidden
+    away: bool | None = hidden
+    if not hidden and tag not in ("html", "body", "article", "main"):
+        away = _named_apart(names, _WORDS if article else _WORDS | _HEADER)
     return away, ".".join(sorted({w for w in _SPLIT.split(classes) if w}))
 
 
+class _Doubts:
+    """Elements that are left out on a word alone, by number: what they hold, without links."""
+
+    def __init__(self) -> None:
+        self.around: list[int] = []
+        self.own: list[int] = []
+        self.article: list[int] = []
+        self.beside = 0  # text in none of them
+
+    def settled(self) -> frozenset[int]:
+        """Those that are not left out: they hold nearly all text of the page, or its article. The largest is asked first."""
+        whole, articles = list(self.own), list(self.article)
+        inner: list[list[int]] = [[] for _ in whole]
+        asked: list[tuple[int, int]] = []
+        for n in range(len(whole) - 1, -1, -1):
+            if self.around[n] >= 0:
+                whole[self.around[n]] += max(0, whole[n])
+                articles[self.around[n]] += max(0, articles[n])
+                inner[self.around[n]].append(n)
+        asked = [(-whole[n], n) for n, around in enumerate(self.around) if around < 0]
+        heapq.heapify(asked)
+        beside, kept = self.beside, set()
+        while asked:
+            size, n = heapq.heappop(asked)
+            if size < 0 and (-size > WHOLE * beside or articles[n] > beside):
+                kept.add(n)
+                beside += self.own[n]
+                for x in inner[n]:
+                    heapq.heappush(asked, (-whole[x], x))
+        return frozenset(kept)
+
+
 def read_page(html: str) -> Page:
+    """The containers and texts of a page.
+
+    Elements are left out by their tag, or by a word in their class, id or role. Where such a word may mean something else
+    (``_named_apart``) and the element turns out to hold the page (``_Doubts``), the page is read once more with it.
+    """
+    page, doubts = _read(html, frozenset())
+    kept = doubts.settled()
+    return _read(html, kept)[0] if kept else page
+
+
+def _read(html: str, kept: frozenset[int]) -> tuple[Page, _Doubts]:
     """One pass over the tags; elements left open are closed where HTML closes them."""
-    page = Page()
+    page, doubts = Page(), _Doubts()
     stack = [_Node("", 0, False, False)]
+    count: Counter[str] = Counter()  # of open elements by tag
     link = 0
     at = 0
 
@@ -178,13 +247,24 @@ def read_page(html: str) -> Page:
         nonlocal link
         while len(stack) > down_to:
             node = stack.pop()
+            count[node.tag] -= 1
             link -= node.tag == "a"
             if node.tag not in _INLINE and not node.apart:
                 page.pieces.append((node.container, " ", False))
 
     def add(text: str) -> None:
-        if text and not stack[-1].apart:
-            page.pieces.append((stack[-1].container, unescape(text), link > 0))
+        if not text:
+            return
+        node = stack[-1]
+        if not node.apart:
+            text = unescape(text)
+            page.pieces.append((node.container, text, link > 0))
+            if not link:
+                doubts.beside += len(text.strip())
+        elif node.doubtful >= 0:
+            size = -len(text.strip()) if link else len(text.strip())
+            doubts.own[node.doubtful] += size
+            doubts.article[node.doubtful] += size * node.article
 
     while True:
         found = _TOKEN.search(html, at)
@@ -196,6 +276,8 @@ def read_page(html: str) -> Page:
             continue
         tag = found[2].lower()
         if found[1]:
+            if not count[tag]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     close(depth)
@@ -203,7 +285,7 @@ def read_page(html: str) -> Page:
                 if tag in _INLINE and stack[depth].tag in _CONTAINER:
                     break
             continue
-        if tag in _CLOSES_P or tag in _ITEMS:
+        if (tag in _CLOSES_P and count["p"]) or (tag in _ITEMS and (count["p"] or any(count[t] for t in (tag, "dt", "dd")))):
             stops = _ITEMS.get(tag, set())
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = stack[depth].tag
@@ -218,7 +300,18 @@ def read_page(html: str) -> Page:
         if tag in _VOID:
             continue
         away, classes = _apart(tag, found[3], around.article)
-        container = around.container
+        container, doubtful = around.container, around.doubtful
+        if around.apart and doubtful < 0:
+            away = True
+        elif away is None:
+            number = len(doubts.own)
+            doubts.around.append(doubtful)
+            doubts.own.append(0)
+            doubts.article.append(0)
+            away = number not in kept
+            doubtful = number if away else doubtful
+        elif away:
+            doubtful = -1
         if tag in _CONTAINER and not (away or around.apart):
             name = f"{page.paths[container]}>{tag}.{classes}"
             page.paths.append(blake2b(name.encode(), digest_size=8).hexdigest())
@@ -231,10 +324,11 @@ def read_page(html: str) -> Page:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(html, at)
             at = end.end() if end else len(html)
             continue
-        stack.append(_Node(tag, container, away or around.apart, around.article or tag in ("article", "main")))
+        stack.append(_Node(tag, container, away or around.apart, around.article or tag in ("article", "main"), doubtful))
+        count[tag] += 1
         link += tag == "a"
     close(1)
-    return page
+    return page, doubts
 
 
 def best_path(page: Page) -> str | None:

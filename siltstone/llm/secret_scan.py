@@ -1,9 +1,10 @@
 """Secret scans: all rules in one pass over the bytes of a text.
 
-The rules are compiled to one minimal automaton that may begin a match at every byte. Bytes that lead
-back to its start from every state cut a batch of texts into pieces that can be run side by side, one
-array operation per step; no match reaches over such a byte, so nothing is lost at a cut. Pieces in
-which a rule fired are gone through with the automata of the single rules, which give the spans.
+The rules, read from their end, are compiled to one minimal automaton that goes over the bytes from the last to the
+first. Its state at a byte tells which rules have a match that begins right there. Bytes that lead back
+to its start from every state cut a batch of texts into pieces that can be run side by side, one array
+operation per step; no match reaches over such a byte, so nothing is lost at a cut. From the first of these places each
+rule takes its longest match and goes on behind it, so no byte is tried in vain and the work grows with the text.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .automaton import Automaton, compile_rules, parse
+from .automaton import Automaton, compile_rules, parse, reverse
 from .common import portions, utf8
 
 
@@ -47,78 +48,106 @@ MORE = (
     Rule("bearer", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.", "[A-Za-z0-9_-]", 16),
     Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY", "-", 5),
 )
-COUNTED = 2  #: body bytes after a lead that make the common automaton fire; more only multiply its states
 PIECE = 512
+FEW = 12  #: pieces left below which single steps are faster than array operations
 PORTION = 1 << 22
 
 
 @dataclass(frozen=True)
 class Scanner:
     rules: tuple[Rule, ...]
-    common: Automaton
+    common: Automaton  #: of all rules, read backwards
     whole: tuple[Automaton, ...]  #: lead and body of each rule
     leads: tuple[Automaton | None, ...]
 
-    def flagged(self, data: np.ndarray) -> list[tuple[int, int]]:
-        """The pieces of ``data`` in which a rule fires."""
+    def starts(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a match of some rule begins, in ascending order, and the state of the common automaton there."""
         cuts = np.flatnonzero(self.common.resetting()[data])
         if len(cuts):
             cuts = cuts[np.append(True, cuts[1:] // PIECE != cuts[:-1] // PIECE)] + 1
         bounds = np.unique(np.concatenate([[0], cuts, [len(data)]]))
-        start, length = bounds[:-1], np.diff(bounds)
+        last, length = bounds[1:] - 1, np.diff(bounds)
         by = np.argsort(-length, kind="stable")
-        start, length = start[by], length[by]
+        last, length = last[by], length[by]
         running = np.searchsorted(-length, -np.arange(length[0] if len(length) else 0))  # pieces longer than each step
         classes = self.common.byte_class[data]
         table, width, accepting = self.common.table, self.common.classes, self.common.accepting
-        state = np.zeros(len(start), np.int32)
-        fired = np.zeros(len(start), bool)
+        state = np.zeros(len(last), np.int32)
+        found, states = [], []
+        done = 0
         for step, n in enumerate(running):
-            now = table[state[:n] * width + classes[start[:n] + step]]
+            if n <= FEW:
+                break
+            at = last[:n] - step
+            now = table[state[:n] * width + classes[at]]
             state[:n] = now
-            fired[:n] |= now >= accepting
-        return [(int(s), int(s + n)) for s, n in zip(start[fired], length[fired], strict=True)]
-
-    def spans(self, piece: bytes) -> list[tuple[int, int, int]]:
+            fires = np.flatnonzero(now >= accepting)
+            if len(fires):
+                found.append(at[fires])
+                states.append(now[fires])
+            done = step + 1
+        steps, singly = self.common.steps, classes.tobytes()
+        for piece in range(int(running[done]) if done < len(running) else 0):
+            now, hits, at = int(state[piece]), [], int(last[piece]) - done
+            for at in range(at, int(last[piece]) - int(length[piece]), -1):
+                now = steps[now * width + singly[at]]
+                if now >= accepting:
+                    hits.append((at, now))
+            if hits:
+                found.append(np.array([h[0] for h in hits]))
+                states.append(np.array([h[1] for h in hits]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        places, ends = np.concatenate(found), np.concatenate(states)
+        order = np.argsort(places, kind="stable")
+        return places[order], ends[order]
+
+    def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """``start, rule, end`` of the leftmost longest matches of each rule, in bytes."""
+        places, states = self.starts(np.frombuffer(data, np.uint8))
         found = []
         for number, (rule, whole, lead) in enumerate(zip(self.rules, self.whole, self.leads, strict=True)):
+            firing = np.array([number in rules for rules in self.common.rules])
+            mine = places[firing[states - self.common.accepting]] if len(states) else places
+            if not len(mine):
+                continue
             at = 0
-            while at < len(piece):
-                end = whole.longest(piece, at)
-                if end < 0:
-                    at += 1
-                    continue
-                body = end - (lead.longest(piece, at) if lead else at)
-                if body >= rule.least:
-                    found.append((at, number, end))
-                at = end
+            while (i := int(np.searchsorted(mine, at))) < len(mine):
+                start = int(mine[i])
+                at = whole.longest(data, start)
+                if at - (lead.longest(data, start) if lead else start) >= rule.least:
+                    found.append((start, number, at))
         return found
 
 
 def scanner(rules: tuple[Rule, ...] = BASE + MORE) -> Scanner:
-    fires = [parse(r.lead + r.body + "{%d}" % (min(r.least, COUNTED) if r.lead else r.least), r.any_case) for r in rules]
+    # a match shorter than its rule wants fails, but with a lead it still covers what a later one might begin in
+    fires = [reverse(parse(r.lead + r.body + ("" if r.lead else "{%d}" % r.least), r.any_case)) for r in rules]
     whole = [compile_rules([parse(r.lead + r.body + "+", r.any_case)], anywhere=False) for r in rules]
     leads = [compile_rules([parse(r.lead, r.any_case)], anywhere=False) if r.lead else None for r in rules]
     return Scanner(rules, compile_rules(fires, anywhere=True), tuple(whole), tuple(leads))
 
 
+def _code_points(text: bytes) -> np.ndarray | None:
+    """Code points before each byte, or None where these are as many as bytes."""
+    if text.isascii():
+        return None
+    return np.append(0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80))
+
+
 def find_secrets(texts: list[bytes], scan: Scanner) -> list[list[tuple[int, int, int]]]:
     """``start, rule, end`` in code points for every text, sorted."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for first, last in portions([len(t) for t in texts], PORTION):
         edges = np.cumsum([0, *(len(t) + 1 for t in texts[first:last])])
-        data = np.frombuffer(b"\n".join(texts[first:last]) + b"\n", np.uint8)
-        for start, end in scan.flagged(data):
+        points: dict[int, np.ndarray | None] = {}
+        for start, rule, end in scan.spans(b"\n".join(texts[first:last]) + b"\n"):
             i = int(np.searchsorted(edges, start, "right")) - 1
-            while i < last - first and edges[i] < end:
-                low, high = max(start, int(edges[i])), min(end, int(edges[i + 1]) - 1)
-                text = texts[first + i]
-                for s, rule, e in scan.spans(data[low:high].tobytes()):
-                    s, e = s + low - int(edges[i]), e + low - int(edges[i])
-                    s, e = (len(text[:x].decode()) for x in (s, e))
-                    out[first + i].append((s, rule, e))
-                i += 1
+            if i not in points:
+                points[i] = _code_points(texts[first + i])
+            before = points[i]
+            start, end = start - int(edges[i]), end - int(edges[i])
+            out[first + i].append((start, rule, end) if before is None else (int(before[start]), rule, int(before[end])))
     return [sorted(found) for found in out]
 
 

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -386,3 +387,66 @@ def test_accepted_tokens_give_further_words(spark):
     assert all(got[100 + i] == "context:21:29" and got[200 + i] == "context:11:19" for i in range(8))
     assert all(got[300 + i] == "context:11:19" for i in range(2))
     assert all(got[400 + i] == "" for i in range(60)) and got[600] == ""
+
+
+def test_secrets_in_texts_made_to_be_slow():
+    scan = secret_scan.scanner()
+    text = b"eyJ" * 350_000 + b"a.eyJb." + b"c" * 20 + b" end"
+    begin = time.time()
+    assert secret_scan.find_secrets([text], scan) == [[(0, 7, len(text) - 4)]]
+    for odd in (b"password" * 50_000, b"a1" * 300_000, b"token: " * 50_000, b"-----BEGIN " * 50_000, "é token=abcdefg ".encode() * 20_000):
+        found = secret_scan.find_secrets([odd], scan)[0]
+        assert len(found) == {b"a1": 1, b"\xc3\xa9": 20_000}.get(odd[:2], 0)
+    assert time.time() - begin < 60
+
+
+def test_names_that_only_look_apart():
+    story = "".join(f"<p>Paragraph number {i} of the story tells what happened next in the valley.</p>" for i in range(30))
+    remarks = '<div class="comments-area">' + "<p>I like it a lot.</p>" * 300 + "</div>"
+    for names in ("content has-sidebar", "no-sidebar", "with-comments", "search-result-page", "social-science", "widget-area-none article"):
+        html = f'<body><div class="{names}"><h1>Title</h1>{story}<div class="sidebar">Popular now</div>{remarks}</div><div class="cookie-notice">Cookies</div></body>'
+        page = page_text.read_page(html)
+        text = page.text(page_text.best_path(page))
+        assert text.startswith("Title Paragraph number 0") and text.endswith("29 of the story tells what happened next in the valley.")
+    beside = f'<body><div class="intro">{"word " * 60}</div><div class="social-science"><article>{story}</article></div></body>'
+    page = page_text.read_page(beside)
+    assert "Paragraph number 29" in page.text(page_text.best_path(page))
+    for names in ("sidebar-left", "cookie-notice", "comments-area", "social-share"):
+        page = page_text.read_page(f'<body><div class="{names}">{story}</div></body>')
+        assert page.text(page_text.best_path(page)) == ""
+
+
+def test_many_open_and_closing_tags():
+    begin, n = time.time(), 100_000
+    for html in ("<div>" * n + "</ul>" * n, "<span>" * n + "<h1>x</h1>" * n, "<p>" + "<span>" * n + "<h1>x</h1>" * n):
+        page_text.read_page(html)
+    assert time.time() - begin < 60
+
+
+def test_votes_of_a_host_like_a_plain_count(spark):
+    """Every host's path and boxes, counted page by page."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(120):
+        story = " ".join(rng.choice(["river", "stone", "morning"]) for _ in range(rng.randrange(0, 60)))
+        name = rng.choice(["story", "story2", "lead"])
+        rows.append((i, f"http://host{i % 5}.org/{i}", f"<body><div class='{name}'><p>{story}</p></div><div class='box{rng.randrange(3)}'><p>short text</p></div></body>"))
+    rows += [rows[0], (900, None, rows[1][2]), (901, "no url", rows[2][2]), (902, "http://host1.org/x", None)]
+    totals, wins, pages = Counter(), Counter(), Counter()
+    for _, url, html in rows:
+        host = url.split("/")[2] if url and url.startswith("http") else None
+        page = page_text.read_page(html or "")
+        if host:
+            for path in set(page.paths[1:]):
+                totals[host, path] += page.votes().get(path, 0)
+                wins[host, path] += path == page_text.best_path(page)
+                pages[host, path] += 1
+    want = Counter()
+    for i, url, html in rows:
+        host = url.split("/")[2] if url and url.startswith("http") else None
+        voted = sorted((-n, path) for (h, path), n in totals.items() if h == host and n > 0)
+        boxes = [path for (h, path) in wins if h == host and 0 < 2 * wins[h, path] < pages[h, path]]
+        page = page_text.read_page(html or "")
+        want[i, url, page.text(page_text.path_of(page, voted[0][1] if voted else None, boxes))] += 1
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert Counter((r["page_id"], r["url"], r["text"]) for r in page_text.extract_text(df).collect()) == want
