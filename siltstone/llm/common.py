@@ -16,6 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8."""
     if pa.types.is_null(column.type):

@@ -16,14 +16,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import portions, utf8
+from ..sources.workspace import stage
+from .common import portions, unused, utf8
 from .hashing import Rolling
 
 GRAM = 10  #: bytes of a q-gram
@@ -36,6 +38,8 @@ LEAST = 48  #: bytes of an item that short tiles have to find; shorter items are
 COVERED = 0.5  #: share of an item that has to be found
 SLICE = 8 << 20  #: characters of items that are looked for in one pass over the texts
 PORTION = 1 << 19
+WINDOW = 1 << 17  #: bytes looked at together for tiles that lie together
+ENTRIES = 1 << 20  #: q-grams in common with items that are held at once
 _SIGNS = re.compile(r"[\W_]+")
 
 
@@ -184,51 +188,104 @@ def _together(index: Index, whole: np.ndarray, text: np.ndarray, tile: np.ndarra
     return np.array(kept, np.int64).reshape(-1, 2).T
 
 
-def find_items(texts: list[bytes], index: Index) -> list[list[int]]:
-    """The numbers of the items that are in each (plain) text."""
+def _counted(index: Index, data: np.ndarray, edges: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``text, tile, band`` of the bands with q-grams in common, and how many; not of pairs of text and item in ``done``.
+
+    Places are gone through in runs of about ``ENTRIES`` q-grams in common, so a text and an item that repeat themselves
+    cost time and not memory.
+    """
     rolling = Rolling()
+    start = np.arange(len(data) - index.gram + 1)
+    hashes = rolling.spans(data, start, start + index.gram)
+    at = np.flatnonzero(index.seen[(hashes & np.uint64(len(index.seen) - 1)).astype(np.int64)])
+    left = np.searchsorted(index.grams, hashes[at], "left")
+    n = np.searchsorted(index.grams, hashes[at], "right") - left
+    at, left, n = at[n > 0], left[n > 0], n[n > 0]
+    items = int(index.item.max(initial=0)) + 1
+    keys, counts = np.zeros((3, 0), np.int64), np.zeros(0, np.int64)
+    runs = np.unique(np.searchsorted(np.cumsum(n), np.arange(ENTRIES, int(n.sum()) + ENTRIES, ENTRIES)))
+    for a, b in zip(np.append(0, runs[:-1] + 1), np.minimum(runs + 1, len(at)), strict=True) if len(runs) else ():
+        m = n[a:b]
+        entry = np.repeat(left[a:b], m) + np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        where, tile = np.repeat(at[a:b], m), index.tile[entry]
+        text = np.searchsorted(edges, where, "right") - 1
+        diagonal = where - index.place[entry]
+        if len(done):
+            new = ~np.isin(text * items + index.item[tile], done)
+            tile, text, diagonal = tile[new], text[new], diagonal[new]
+        band = diagonal // index.band
+        # in the overlap with the band before; a band of one diagonal is aligned on both sides
+        also = (diagonal - band * index.band < index.edits[tile]) & (index.band > 1)
+        more = np.stack([np.append(text, text[also]), np.append(tile, tile[also]), np.append(band, band[also] - 1)])
+        keys, counts = _summed(np.append(keys, more, axis=1), np.append(counts, np.ones(more.shape[1], np.int64)))
+    return keys, counts
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each column of ``keys`` once, with the sum of its ``counts``."""
+    if not keys.shape[1]:
+        return keys, counts
+    by = np.lexsort(keys)
+    keys, counts = keys[:, by], counts[by]
+    new = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))
+    return keys[:, new], np.add.reduceat(counts, new)
+
+
+def _windows(index: Index, whole: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Where to look at ``size`` bytes at a time: in overlapping windows, if what lies together is looked for."""
+    if index.offset is None:
+        return [(0, size)]
+    # a stretch of tiles has shifts no further apart than the item is long, and lies in twice its length
+    reach = 2 * int(whole.max(initial=0)) + 4 * PIECE
+    step = max(WINDOW, reach)
+    return [(a, min(size, a + step + reach)) for a in range(0, max(1, size - reach), step)]
+
+
+def _without(index: Index, items: set[int]) -> Index:
+    """The index of the other items; numbers stay what they are."""
+    if not items:
+        return index
+    other = ~np.isin(index.item[index.tile], sorted(items))
+    return replace(index, grams=index.grams[other], tile=index.tile[other], place=index.place[other])
+
+
+def find_items(texts: list[bytes], index: Index, known: list[set[int]] | None = None) -> list[list[int]]:
+    """The numbers of the items that are in each (plain) text; those that are ``known`` to be are not looked for."""
+    known = known or [set() for _ in texts]
     out: list[list[int]] = [[] for _ in texts]
     sizes = np.array([len(t) for t in index.tiles], np.int64)
     whole = np.bincount(index.item, sizes) if len(index.item) else np.zeros(0)
-    for a, b in portions([len(t) for t in texts], PORTION):
+    items = int(index.item.max(initial=0)) + 1
+    # a text with known items is a portion of its own
+    for a, b in portions([len(t) + PORTION * bool(k) for t, k in zip(texts, known, strict=True)], PORTION):
         data = np.frombuffer(b"\n".join(texts[a:b]) + b"\n", np.uint8)
         edges = np.cumsum([0, *(len(t) + 1 for t in texts[a:b])])
-        if len(index.grams) and len(data) >= index.gram:
-            start = np.arange(len(data) - index.gram + 1)
-            hashes = rolling.spans(data, start, start + index.gram)
-            at = np.flatnonzero(index.seen[(hashes & np.uint64(len(index.seen) - 1)).astype(np.int64)])
-            left = np.searchsorted(index.grams, hashes[at], "left")
-            n = np.searchsorted(index.grams, hashes[at], "right") - left
-            at, left, n = at[n > 0], left[n > 0], n[n > 0]
-            entry = np.repeat(left, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            where, tile = np.repeat(at, n), index.tile[entry]
-            text = np.searchsorted(edges, where, "right") - 1
-            diagonal = where - index.place[entry]
-            band = diagonal // index.band
-            # in the overlap with the band before; a band of one diagonal is aligned on both sides
-            also = (diagonal - band * index.band < index.edits[tile]) & (index.band > 1)
-            key = np.stack([np.append(text, text[also]), np.append(tile, tile[also]), np.append(band, band[also] - 1)])
-            by = np.lexsort(key)
-            key = key[:, by]
-            new = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0))) if key.shape[1] else np.zeros(0, np.int64)
-            shared = np.diff(np.append(new, key.shape[1]))
-            text, tile, band = key[:, new]
-            enough = shared >= index.bound[tile] if len(tile) else np.zeros(0, bool)
-            text, tile, band = text[enough], tile[enough], band[enough]
+        there: set[int] = set()  # text and item
+        own = _without(index, known[a]) if b == a + 1 else index
+        for low, high in _windows(index, whole, len(data)) if len(index.grams) else ():
+            if high - low < index.gram:
+                continue
+            part, ends = data[low:high], np.clip(edges - low, 0, high - low)
+            left = own
+            if there and (at := int(np.searchsorted(edges, low, "right"))) == int(np.searchsorted(edges, high - 1, "right")):
+                left = _without(own, {pair % items for pair in there if pair // items == at - 1})  # all of it in one text
+            if not len(left.grams):
+                continue
+            keys, shared = _counted(left, part, ends, np.array(sorted(there), np.int64))
+            text, tile, band = keys[:, shared >= index.bound[keys[1]]]
             likely = _likely(index, sizes, whole, text, tile)
             text, tile, band = text[likely], tile[likely], band[likely]
             found = np.zeros(len(tile), bool)
             for k in range(0, len(tile), 2048):
-                part = slice(k, k + 2048)
-                found[part] = _aligned(index, data, tile[part], band[part] * index.band, edges[text[part]], edges[text[part] + 1] - 1)
-            pairs = _together(index, whole, text[found], tile[found], band[found])
+                some = slice(k, k + 2048)
+                found[some] = _aligned(index, part, tile[some], band[some] * index.band, ends[text[some]], ends[text[some] + 1] - (ends[text[some] + 1] < high - low) - (edges[text[some] + 1] == high))
             covered: dict[tuple[int, int], int] = {}
-            for row, t in pairs.T:
+            for row, t in _together(index, whole, text[found], tile[found], band[found]).T:
                 name = (int(row), int(index.item[t]))
                 covered[name] = covered.get(name, 0) + len(index.tiles[t])
-            for (row, number), size in sorted(covered.items()):
-                if size >= COVERED * whole[number]:
-                    out[a + row].append(number)
+            there |= {row * items + number for (row, number), size in covered.items() if size >= COVERED * whole[number]}
+        for row, number in sorted(divmod(pair, items) for pair in there):
+            out[a + row].append(number)
         for number, short in index.short:
             for row in range(a, b):
                 if short in b" " + texts[row] + b" ":
@@ -237,28 +294,31 @@ def find_items(texts: list[bytes], index: Index) -> list[list[int]]:
 
 
 def find_all(texts: list[bytes], indexes: tuple[Index, ...]) -> list[list[int]]:
-    """The numbers of the items that any of the indexes finds in each (plain) text."""
-    return [sorted(set().union(*found)) for found in zip(*(find_items(texts, index) for index in indexes), strict=True)]
+    """The numbers of the items that any of the indexes finds in each (plain) text; the last, of short tiles, goes first."""
+    found: list[set[int]] = [set() for _ in texts]
+    for index in reversed(indexes):
+        found = [old | set(new) for old, new in zip(found, find_items(texts, index, found), strict=True)]
+    return [sorted(numbers) for numbers in found]
 
 
-def tagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with ``found_items``: the ``item_id`` of every benchmark item that its text holds.
+def tagged(docs: DataFrame, benchmark: DataFrame, into: str = "found_items") -> DataFrame:
+    """``docs`` with ``into``: the ``item_id`` of every benchmark item that its text holds.
 
     ``docs`` needs ``text`` and ``benchmark`` ``item_id, text``; all columns of ``docs`` are kept, and
-    one called ``found_items`` is replaced. Items are gathered in slices of at most ``SLICE``
-    characters by a hash of their id, and the texts are gone through once per slice, so a large
-    benchmark costs passes and not memory. A NULL or empty text holds nothing, a NULL or empty item is
+    one called ``into`` is replaced. Items are gathered in slices of at most ``SLICE`` characters
+    by a hash of their id, and the texts are gone through once per slice, each time from a
+    staged table, so a large benchmark costs passes and not memory. A NULL or empty text holds nothing, a NULL or empty item is
     nowhere; an item without id is listed as NULL, and copies of an item are listed once each.
     """
-    docs = docs.drop("found_items")
+    docs = docs.drop(into)
     kinds = docs.schema
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = total // SLICE + 1
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
     names = kinds.fieldNames()
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds.fields), "found_items array<bigint>"])
-    out = docs.withColumn("found_items", F.array().cast("array<bigint>"))
+    schema = StructType([*kinds.fields, StructField(into, ArrayType(LongType()))])
+    out = docs.withColumn(into, F.array().cast("array<bigint>"))
     for k in range(slices):
         rows = sorted(items.where(number == k).collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         ids = [r["item_id"] for r in rows]
@@ -270,17 +330,20 @@ def tagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 texts = [plain((t or b"").decode()) for t in utf8(batch.column("text"))]
                 found = [[ids[i] for i in numbers] for numbers in find_all(texts, known)]
-                earlier = batch.column("found_items").to_pylist()
+                earlier = batch.column(into).to_pylist()
                 both = pa.array([e + f for e, f in zip(earlier, found, strict=True)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), both], [*names, "found_items"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), both], [*names, into])
 
         out = out.mapInArrow(run, schema)
+        if k < slices - 1:
+            out = stage(out, "tagged")
     return out
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds no item."""
-    return tagged(docs, benchmark).where(F.size("found_items") == 0).drop("found_items")
+    """The rows of ``docs`` whose text holds no item, with all their columns."""
+    into = unused(docs, "found_items")
+    return tagged(docs, benchmark, into).where(F.size(into) == 0).drop(into)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

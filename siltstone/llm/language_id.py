@@ -8,11 +8,11 @@ the second smallest sum is the score; a narrow one rejects the text.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,13 +22,13 @@ from .common import utf8
 SAMPLE = 256  #: labelled texts a language learns from at most; the choice is seeded
 CONTENT = 96 << 10  #: bytes of a dictionary at most
 SHARE = 2048  #: bytes that one text adds to a dictionary at most
-LANGUAGES = 1024  #: languages at most; together with CONTENT it bounds what the driver gathers
+LANGUAGES = 256  #: languages at most, those with most rows; with SAMPLE and SHARE it bounds what the driver gathers, by 128 MiB
 PIECE = 1024
 LEVEL = 3
 MARGIN = 0.002  #: relative distance of the two smallest sums below which a text is rejected
 NONE = "und"
 SEED = 20240229
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = regex.compile(r"\P{L}+")
 
 
 def letters(text: str) -> str:
@@ -48,15 +48,22 @@ def held_out() -> Column:
 def learn(labelled: DataFrame, sample: int = SAMPLE, content: int = CONTENT) -> dict[str, bytes]:
     """One dictionary per language from ``sample`` of its rows, chosen by a seeded hash.
 
-    Only ids are ranked, and each task keeps its first ``sample`` before the exchange.
+    Only ids are ranked, and each task keeps its first ``sample`` before the exchange. The ``LANGUAGES`` with
+    most rows are learnt, of equal ones the first by name.
     """
+    counted = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
+    names = [r["lang"] for r in counted.collect()]  # LANGUAGES at most
+    if not names:
+        return {}
+    labelled = labelled.where(F.col("lang").isin(names))
     first = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
     chosen = labelled.select("lang", "doc_id").withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample)
     chosen = chosen.select("lang", "doc_id").distinct()
     piece = F.substring("text", 1, SHARE).alias("text")
+    # LANGUAGES * sample ids at most
     rows = labelled.join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "doc_id", piece).dropDuplicates(["lang", "doc_id"])
     found: dict[str, list[tuple[int, str]]] = {}
-    for row in rows.limit(LANGUAGES * sample).collect():
+    for row in rows.collect():
         found.setdefault(row["lang"], []).append((row["doc_id"], row["text"]))
     return {lang: " ".join(letters(t) for _, t in sorted(texts)).encode()[:content] for lang, texts in sorted(found.items())}
 

@@ -135,12 +135,12 @@ def mixture(docs: DataFrame, seed: int = SEED) -> DataFrame:
     half of their words are taken. Texts without a word are not taken. All columns are kept.
     """
     plan = mixed(docs, seed).where("size > 0").groupBy("doc_id", "mark")
-    plan = plan.agg((F.sum("taken") / F.sum("size")).alias("times")).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    plan = plan.withColumn("_times", F.floor(F.col("times") + 0.5).cast("int")).where("_times > 0").drop("times")
-    marked = docs.withColumns({"_row_id": F.col("doc_id").cast("long"), "_row_mark": row_mark(seed)})
-    both = marked.join(plan, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_mark") == F.col("_mark")))
-    again = both.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return again.drop("_id", "_mark", "_times", "_row_id", "_row_mark", "_again")
+    times = F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int")
+    plan = plan.agg(times.alias("times")).where("times > 0").select(F.struct("doc_id", "mark").alias("key"), "times")
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), row_mark(seed).alias("mark"))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"))  # whole rows, so that no names meet
+    again = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("again")
+    return rows.join(plan, "key").select("row", again).select("row.*")
 
 
 def row_mark(seed: int = SEED) -> Column:

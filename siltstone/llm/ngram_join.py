@@ -364,7 +364,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     linked = jaccard_components(docs)
     known = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     first = linked.where("root IS NOT NULL").groupBy("root").agg(F.min(known).alias("kept")).select("kept.doc_id", "kept.mark")
-    first = first.unionByName(linked.where("root IS NULL").select("doc_id", "mark")).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    marked = docs.withColumns({"_kept_id": F.col("doc_id").cast("long"), "_kept_mark": F.xxhash64(F.col("text").cast("string"))})
-    same = F.col("_kept_id").eqNullSafe(F.col("_id")) & (F.col("_kept_mark") == F.col("_mark"))
-    return marked.join(first, same, "left_semi").dropDuplicates(["_kept_id", "_kept_mark"]).drop("_kept_id", "_kept_mark")
+    first = first.unionByName(linked.where("root IS NULL").select("doc_id", "mark")).select(F.struct("doc_id", "mark").alias("key"))
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("mark"))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"))  # whole rows, so that no names meet
+    return rows.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

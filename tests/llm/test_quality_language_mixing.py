@@ -7,6 +7,7 @@ from pathlib import Path
 import zstandard
 
 from siltstone.llm import compression_bands as bands
+from siltstone.llm import language_id
 from siltstone.llm.compression_bands import judge_quality
 from siltstone.llm.language_id import classify, identify, learn, learning_rows, letters, recognised
 from siltstone.llm.mixing import apportion, mixed, mixture, targets
@@ -151,3 +152,16 @@ def test_mix(docs, none, table_rows):
     again = mixture(docs)
     assert again.columns == docs.columns and again.count() > 0
     assert mixed(none).count() == 0 and mixture(none).count() == 0
+
+
+def test_signs_that_are_no_letters_have_no_language(spark, docs):
+    dictionaries = learn(learning_rows(docs))
+    rows = [(1, "½ ² ① 12 ٣ _"), (2, "日本語"), (3, "the morning ½ water")]
+    got = {r["doc_id"]: r["lang_pred"] for r in classify(spark.createDataFrame(rows, "doc_id long, text string"), dictionaries).collect()}
+    assert got[1] == "und" and got[2] in dictionaries and got[3] in dictionaries
+
+
+def test_the_most_frequent_languages_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    rows = [(i, "words of a text", f"l{i % 7}") for i in range(70)] + [(100 + i, "more words", "l5") for i in range(3)]
+    assert sorted(learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))) == ["l0", "l1", "l5"]
