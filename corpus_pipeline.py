@@ -1,7 +1,15 @@
 """Documents to training files, stage by stage.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it kept. All but the
-last return the columns of ``docs``.
+last return the columns of ``docs``, whatever they are called; NULLs in them are carried along.
+
+* ``language`` drops NULL and empty texts and those without a letter, as they have no language; repeated rows are judged one by one.
+* ``near_copies`` keeps the row with the smallest ``doc_id`` of a group, NULL last; of repeated rows one stays.
+* ``benchmark`` drops the rows whose text holds an item, and keeps NULL and empty ones.
+* ``mix`` drops texts without a word and repeats others whole; a NULL source is a source of its own.
+* ``tokens`` has one row per row, a NULL or empty text only its end; a NULL ``doc_id`` stands before all others.
+
+Without documents every stage is empty.
 """
 
 from __future__ import annotations
