@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +28,19 @@ END = 1  #: the id that ends a document
 MOST_BITS = 20  #: of a code
 STEP = 512  #: ids between two bit offsets
 BLOCK = 1 << 18  #: ids after which a block ends; a document is never divided
-PORTION = 1 << 22
-KNOWN = 200_000  #: words met lately whose ids a worker remembers, and as many before; some 200 bytes each
+PORTION = 1 << 23
+KNOWN = 400_000  #: words whose ids a worker remembers; some 200 bytes each
 _ENDING = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,])"
 #: Fixed value: how the tokenizer that divides words cuts them.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
+_LETTERS = "[a-z\xdf-\xf6\xf8-\xff]+"
+_SIGNS = r"[!-&(-/:-@\[-`{-~]+"  #: of ASCII but the apostrophe, which may begin an ending
+_PLAIN = re.compile(f"(?:{_LETTERS[:-1]}|[0-9]|{_SIGNS[:-1]})+")
+_RUNS = re.compile(f"{_LETTERS}|[0-9]|{_SIGNS}")
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: How byte-level models write a byte as a character: visible ones as they are, others from 256 on.
 _AS_CHARACTER = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}
+_AS_CHARACTERS = {c: "".join(_AS_CHARACTER[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 
 
 def divides_words(path: str) -> bool:
@@ -60,59 +66,46 @@ class Encoder:
 
     Where that lower-cases, divides at white space and ends words (``divides_words``), no token reaches over
     ASCII white space or from a letter to a full stop or comma: every distinct word is encoded once and
-    remembered. Words of plain small letters then go to the model of the tokenizer, all others through the whole
-    tokenizer, and so do texts with a special token. Any other tokenizer gets whole texts.
+    remembered. Words of plain small letters, digits and signs then go to the model of the tokenizer, all others through
+    the whole tokenizer, and so do texts with a special token. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.by_word = divides_words(path)
         self.kind = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
-        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # whether a token ends a word
-        suffix = self.tokenizer.model.end_of_word_suffix
-        if self.by_word:
-            self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
-        # kept on the module, so that they outlive a task as long as its worker does: words met lately, and before
-        self.known: list[dict[str, bytes]] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, [{}, {}])
+        self.tokenize = self.tokenizer.model.tokenize
+        self.code = np.dtype(self.kind).char
+        # kept on the module, so that it outlives a task as long as its worker does
+        self.known: dict[str, bytes] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, {})
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _piece(self, piece: str) -> bytes:
+        return array(self.code, [t.id for t in self.tokenize(piece)]).tobytes()
+
     def word(self, word: str) -> bytes:
-        if _LETTERS.fullmatch(word):
-            ids = [t.id for t in self.tokenizer.model.tokenize("".join(map(_AS_CHARACTER.__getitem__, word.encode())))]
-        else:
-            ids = self.whole(word)
-        return np.array(ids, self.kind).tobytes()
-
-    def plain_words(self, words: list[str]) -> list[bytes]:
-        """The ids of words of the letters a to z, by one call: the last token of each word says that it ends there."""
-        if not words:
-            return []
-        ids = np.array(self.whole(" ".join(words)), self.kind)
-        ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        if word.isascii() and word.isalpha():
+            return self._piece(word)
+        if not _PLAIN.fullmatch(word):
+            return array(self.code, self.whole(word)).tobytes()
+        if word.isalpha():
+            return self._piece(word.translate(_AS_CHARACTERS))
+        # the tokenizer cuts such words into these runs, each of which goes to its model
+        return b"".join([self.known.get(run) or self._piece(run.translate(_AS_CHARACTERS)) for run in _RUNS.findall(word)])
 
     def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, in bytes. Of the words remembered, those not met for longest are forgotten."""
-        out = list(map(self.known[0].get, words))
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        new = []
-        for i in missing:
-            out[i] = self.known[1].get(words[i])
-            if out[i] is None:
-                new.append(i)
-        plain = [i for i in new if words[i].isascii() and words[i].isalpha()]
-        for i, ids in zip(plain, self.plain_words([words[i] for i in plain]), strict=True):
-            out[i] = ids
+        """The ids of each word, in bytes. Once ``KNOWN`` words are remembered, the older half is forgotten."""
+        out = list(map(self.known.get, words))
+        new = [i for i, ids in enumerate(out) if ids is None]
         for i in new:
-            if out[i] is None:
-                out[i] = self.word(words[i])
-        for a in range(0, len(missing), KNOWN):
-            if len(self.known[0]) + len(missing[a : a + KNOWN]) > KNOWN:
-                self.known[:] = [{}, self.known[0]]
-            self.known[0].update((words[i], out[i]) for i in missing[a : a + KNOWN])
+            out[i] = self.word(words[i])
+        for a in range(0, len(new), KNOWN // 2):
+            if len(self.known) + KNOWN // 2 > KNOWN:
+                for word in list(islice(self.known, KNOWN // 2)):
+                    del self.known[word]
+            self.known.update((words[i], out[i]) for i in new[a : a + KNOWN // 2])
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

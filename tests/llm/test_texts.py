@@ -295,12 +295,22 @@ def test_other_tokenizers_get_whole_texts(docs, table_rows):
 
 
 def test_words_are_forgotten_and_met_again(monkeypatch):
-    monkeypatch.setattr(token_files, "KNOWN", 5)
+    monkeypatch.setattr(token_files, "KNOWN", 6)
     encoder, whole = token_files.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
-    encoder.known = [{}, {}]
+    encoder.known = {}
     for words in (["a", "bb", "c1"], [f"w{i}" for i in range(12)], ["a", "w11", "bb", "été", "a"]):
         assert [list(np.frombuffer(ids, np.uint16)) for ids in encoder.words(words)] == [whole.encode(w, add_special_tokens=False).ids for w in words]
-        assert all(len(known) <= 5 for known in encoder.known)
+        assert len(encoder.known) <= 6
+
+
+def test_odd_words_make_the_ids_of_the_tokenizer():
+    encoder, whole, rng = token_files.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY), random.Random(21)
+    signs = "abcxyz0189éßÿö÷×.,;:!?&%$#@()[]{}<>|~^`_-+=*/\\\"'ªºµ½\u0301\u00ad\x1c\x7f\x85\xa0日"
+    words = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(6000)] + ["it's", "'s", "a's1", "x'll,y", "a" * 3000 + "&" * 3000 + "é"]
+    texts = [" ".join(words[i : i + 3]) for i in range(0, len(words), 3)]
+    flat, n = encoder.encode(pa.array(texts))
+    for text, ids in zip(texts, np.split(flat, np.cumsum(n)[:-1]), strict=True):
+        assert list(ids) == [*whole.encode(text, add_special_tokens=False).ids, 1]
 
 
 def test_token_files(docs, none, table_rows, monkeypatch):
