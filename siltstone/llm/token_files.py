@@ -241,10 +241,6 @@ def _tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
     return ordered.mapInArrow(run, "part int, before long, doc_id long, n long, ids binary")
 
 
-def _ids(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32)
-
-
 def _counts(staged: DataFrame) -> np.ndarray:
     """How often each id occurs: one row per id and task, summed by Spark."""
 
@@ -273,7 +269,7 @@ def _blocks(staged: DataFrame, lengths: np.ndarray) -> DataFrame:
         codes = Codes(lengths)
         for batch in batches:
             sizes = batch.column("n").to_pylist()
-            raws = batch.column("ids").to_pylist()
+            flat, ends = _flat(batch.column("ids"), sum(sizes)), np.append(0, np.cumsum(sizes))
             part, before = batch.column("part").to_pylist(), batch.column("before").to_pylist()
             first = 0
             while first < len(sizes):
@@ -282,7 +278,7 @@ def _blocks(staged: DataFrame, lengths: np.ndarray) -> DataFrame:
                 while last < len(sizes) and total < BLOCK and part[last] == part[first] and before[last] == before[first] + total:
                     total += sizes[last]
                     last += 1
-                bits, offsets = codes.pack(np.concatenate([_ids(raws[i], sizes[i]) for i in range(first, last)]))
+                bits, offsets = codes.pack(flat[ends[first] : ends[last]])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part[first]], pa.int32()), pa.array([before[first]], pa.int64()),
@@ -336,7 +332,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                         pa.array(np.full(len(sizes), batch.column("part")[row].as_py(), np.int32)),
                         pa.array(batch.column("before")[row].as_py() + ends - sizes),
                         batch.column("doc_ids")[row].values,
-                        pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(ends - sizes, ends, strict=True)], pa.binary()),
+                        _packed(ids.astype("<u4"), sizes),
                     ],
                     ["part", "before", "doc_id", "ids"],
                 )
