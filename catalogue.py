@@ -379,6 +379,12 @@ def fact_pit_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fact_pit_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact when the locations are too many to be broadcast: they meet by place and month."""
+    side = shipped(spark, folder)
+    return without_location_keys(star.located_fact(side.valid, side.locations, SHIPMENTS, limit=0))
+
+
 def without_location_keys(fact: DataFrame) -> DataFrame:
     """Hashed keys as whether they are known, which plain SQL can tell as well."""
     unknown = star.unknown_location_key()
@@ -931,6 +937,7 @@ QUERIES: dict[str, Query] = {
     "calendar_bounds": calendar_bounds,
     # star
     "fact_pit_join": fact_pit_join,
+    "fact_pit_by_month": fact_pit_by_month,
     "gold_fact": gold_fact,
     "fk_resolve_static": fk_resolve_static,
     "fk_resolve_scd": fk_resolve_scd,

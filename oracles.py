@@ -480,6 +480,7 @@ ORACLES: dict[str, str] = {
         SHIPMENT_FACT,
         """SELECT trip_id, load_month, pickup_zone, pickup_version, dropoff_zone, dropoff_version FROM fact""",
     ),
+    "fact_pit_by_month": using(SHIPMENT_FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
     "gold_fact": using(SHIPMENT_FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
     "fk_resolve_static": using(
         SHIPMENT_FACT,

@@ -72,12 +72,25 @@ def unknown_location_key() -> Column:
     return version_key([F.lit(UNKNOWN_KEY)], F.lit(LOW_DATE).cast("date"))
 
 
-def location_lookup(dim_location: DataFrame, check_size: bool = True) -> DataFrame:
+def narrow_locations(dim_location: DataFrame) -> DataFrame:
     """What a point-in-time join needs of the dimension: four fixed-width columns."""
-    narrow = dim_location.select("location_id", "location_key", "effective_from", "effective_to")
+    return dim_location.select("location_id", "location_key", "effective_from", "effective_to")
+
+
+def location_lookup(dim_location: DataFrame, check_size: bool = True) -> DataFrame:
+    """The narrow dimension, to be broadcast when its measured size allows it."""
+    narrow = narrow_locations(dim_location)
     return lookup_side(narrow) if check_size else narrow
 
 
+def located_fact(trips: DataFrame, dim_location: DataFrame, domain: Domain, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``build_fact`` the way that the measured size of the dimension asks for."""
+    narrow = narrow_locations(dim_location)
+    if measured_bytes(narrow) <= limit:
+        return build_fact(trips, F.broadcast(narrow), domain)
+    return build_fact(trips, narrow, domain, by_month=True)
+
+
 def point_in_time(
     facts: DataFrame, lookup: DataFrame, location: str, on_date: str, role: str
 ) -> DataFrame:
@@ -100,10 +113,67 @@ def point_in_time(
     )
 
 
-def build_fact(trips: DataFrame, lookup: DataFrame, domain: Domain) -> DataFrame:
-    """One row per accepted trip. Both locations are taken as of the pickup date."""
-    located = point_in_time(trips, lookup, "pu_location_id", "pickup_date", "pickup")
-    located = point_in_time(located, lookup, "do_location_id", "pickup_date", "dropoff")
+HOT_SHARE = 64  #: a place with more than this part of the rows is dealt out
+SALTS = 16  #: among which a hot place is dealt out
+
+
+def hot_places(facts: DataFrame, location: str, total: int) -> list:
+    """The places with more than a ``HOT_SHARE``-th of the rows, of which there are fewer than that."""
+    counted = facts.where(F.col(location).isNotNull()).groupBy(location).agg(F.count(F.lit(1)).alias("n"))
+    return [r[location] for r in counted.where(F.col("n") * HOT_SHARE > total).collect()]
+
+
+def point_in_time_by_month(
+    facts: DataFrame, lookup: DataFrame, location: str, on_date: str, role: str, row: str = "trip_id", measured: DataFrame | None = None
+) -> DataFrame:
+    """``point_in_time`` for a lookup too large to be sent to the facts.
+
+    Every version is unfolded to the months of the facts in which it held, so both sides meet by place and month and not
+    by place alone, and a place with many versions or long ones does not grow into one task. The rows of ``hot_places`` are
+    dealt out by a hash of ``row`` as well, and their versions are repeated for each part. ``measured`` are the facts as they
+    are read, if ``facts`` are more than that: months and hot places are counted there.
+    """
+    base = facts if measured is None else measured
+    span = base.agg(F.min(on_date).alias("low"), F.max(on_date).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    hot = hot_places(base, location, span["n"])
+    low, high = (F.trunc(F.lit(span[name]).cast("date"), "month") for name in ("low", "high"))
+    begin = F.greatest(F.trunc("effective_from", "month"), low)
+    end = F.least(F.trunc("effective_to", "month"), high)
+    unfolded = lookup.where(begin <= end).select(
+        F.col("location_id").alias("_id"),
+        F.col("location_key").alias("_key"),
+        F.col("effective_from").alias("_from"),
+        F.col("effective_to").alias("_to"),
+        F.explode(F.sequence(begin, end, F.expr("INTERVAL 1 MONTH"))).alias("_month"),
+    )
+    parts = F.when(F.col("_id").isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    unfolded = unfolded.withColumn("_part", F.explode(parts))
+    part = F.when(F.col(location).isin(hot), F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    keyed = facts.withColumns({"_of_month": F.trunc(on_date, "month"), "_of_part": part})
+    held = (
+        (F.col(location) == F.col("_id"))
+        & (F.col("_of_month") == F.col("_month"))
+        & (F.col("_of_part") == F.col("_part"))
+        & F.col(on_date).between(F.col("_from"), F.col("_to"))
+    )
+    return (
+        keyed.join(unfolded, held, "left")
+        .withColumn(f"{role}_location_key", F.coalesce("_key", unknown_location_key()))
+        .drop("_id", "_key", "_from", "_to", "_month", "_part", "_of_month", "_of_part")
+    )
+
+
+def build_fact(trips: DataFrame, lookup: DataFrame, domain: Domain, by_month: bool = False) -> DataFrame:
+    """One row per accepted trip. Both locations are taken as of the pickup date.
+
+    ``by_month`` looks them up by ``point_in_time_by_month``, for lookups that are not to be broadcast.
+    """
+    located = trips
+    for location, role in (("pu_location_id", "pickup"), ("do_location_id", "dropoff")):
+        if by_month:
+            located = point_in_time_by_month(located, lookup, location, "pickup_date", role, measured=trips)
+        else:
+            located = point_in_time(located, lookup, location, "pickup_date", role)
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     return located.select(
         "trip_id",

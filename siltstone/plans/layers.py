@@ -209,18 +209,16 @@ def gold_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) -> d
     """Dimensions, then the fact of the months."""
     write_dimensions(spark, lake, months)
     trips = landing.only_months(spark.table(lake.valid), months)
-    return {"fct_trips": write_fact(spark, lake, trips, read_lookup(spark, lake), months)}
+    return {"fct_trips": write_fact(spark, lake, trips, months)}
 
 
-def write_fact(
-    spark: SparkSession, lake: Lakehouse, trips: DataFrame, lookup: DataFrame, months: Sequence[str]
-) -> int:
+def write_fact(spark: SparkSession, lake: Lakehouse, trips: DataFrame, months: Sequence[str]) -> int:
     """The fact of the months; returns its rows.
 
-    Silver arrives by month and the dimension is broadcast, so an unclustered fact is written
-    without any exchange.
+    Silver arrives by month and the dimension is broadcast while its size allows it, so an unclustered
+    fact is then written without any exchange.
     """
-    fact = star.build_fact(trips, lookup, lake.domain)
+    fact = star.located_fact(trips, spark.table(lake.table("gold", "dim_location")), lake.domain)
     return _write(fact, lake, "gold.fct_trips", months, comment="One row per accepted trip")
 
 

@@ -171,12 +171,11 @@ def run_increment(spark: SparkSession, lake: layers.Lakehouse, skip_quality: boo
         done["silver"] = months
         _note(spark, lake, rows, "silver")
     layers.write_dimensions(spark, lake, months)
-    lookup = layers.read_lookup(spark, lake)
     after = only_months(spark.table(lake.valid), months)
     if spark.catalog.tableExists(lake.fact) and _versions(spark, lake) == rows[0]["zones"]:
-        done["gold"] = list(refresh_fact(lake.fact, _silver_before(spark, lake, rows), after, lookup, lake.domain))
+        done["gold"] = list(refresh_fact(lake.fact, _silver_before(spark, lake, rows), after, layers.read_lookup(spark, lake), lake.domain))
     else:
-        layers.write_fact(spark, lake, after, lookup, months)
+        layers.write_fact(spark, lake, after, months)
         done["gold"] = months
     if not skip_quality:
         layers.check_layer(spark, lake, "gold.fct_trips", months, rows[0]["increment"][:8])

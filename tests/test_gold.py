@@ -13,6 +13,8 @@ from siltstone.operators.star import (
     lookup_side,
     measured_bytes,
     orphans,
+    point_in_time,
+    point_in_time_by_month,
     repeated_ids,
     rowcount_gap,
 )
@@ -156,3 +158,25 @@ def test_repeated_ids_and_rowcount_gap(raw_trips, dim_location):
     assert repeated_ids(fact.unionByName(fact)).first()[0] == 6
     row = rowcount_gap(fact.limit(1), valid).first()
     assert (row["fact_rows"], row["silver_rows"], row["observed"]) == (1, 6, 5)
+
+
+def test_looking_up_by_month_gives_the_same(spark):
+    versions = spark.createDataFrame(
+        [
+            (1, 10, date(1900, 1, 1), date(2024, 1, 14)), (1, 11, date(2024, 1, 15), date(2024, 1, 20)), (1, 12, date(2024, 1, 21), date(9999, 12, 31)),
+            (2, 20, date(2024, 2, 10), date(9999, 12, 31)), (3, 30, date(1900, 1, 1), date(2023, 12, 31)),
+        ],
+        "location_id int, location_key long, effective_from date, effective_to date",
+    )
+    # half of the rows are of one place, some of none
+    facts = spark.range(3000).selectExpr(
+        "concat('t', id) AS trip_id", "IF(id % 2 = 0, 1, IF(id % 11 = 0, NULL, int(id % 5))) AS place",
+        "IF(id % 97 = 0, NULL, date_add(date'2023-12-20', int(id % 90))) AS day",
+    )
+    plain = point_in_time(facts, versions, "place", "day", "at")
+    by_month = point_in_time_by_month(facts, versions, "place", "day", "at")
+    assert by_month.columns == plain.columns
+    assert sorted(map(str, by_month.collect())) == sorted(map(str, plain.collect()))
+    assert point_in_time_by_month(facts.limit(0), versions, "place", "day", "at").count() == 0
+    # the hot place is dealt out
+    assert by_month._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") >= 1
