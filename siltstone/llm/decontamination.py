@@ -188,13 +188,12 @@ def _together(index: Index, whole: np.ndarray, text: np.ndarray, tile: np.ndarra
     return np.array(kept, np.int64).reshape(-1, 2).T
 
 
-def _counted(index: Index, data: np.ndarray, edges: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted(index: Index, rolling: Rolling, data: np.ndarray, edges: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``text, tile, band`` of the bands with q-grams in common, and how many; not of pairs of text and item in ``done``.
 
     Places are gone through in runs of about ``ENTRIES`` q-grams in common, so a text and an item that repeat themselves
     cost time and not memory.
     """
-    rolling = Rolling()
     start = np.arange(len(data) - index.gram + 1)
     hashes = rolling.spans(data, start, start + index.gram)
     at = np.flatnonzero(index.seen[(hashes & np.uint64(len(index.seen) - 1)).astype(np.int64)])
@@ -249,9 +248,9 @@ def _without(index: Index, items: set[int]) -> Index:
     return replace(index, grams=index.grams[other], tile=index.tile[other], place=index.place[other])
 
 
-def find_items(texts: list[bytes], index: Index, known: list[set[int]] | None = None) -> list[list[int]]:
+def find_items(texts: list[bytes], index: Index, known: list[set[int]] | None = None, rolling: Rolling | None = None) -> list[list[int]]:
     """The numbers of the items that are in each (plain) text; those that are ``known`` to be are not looked for."""
-    known = known or [set() for _ in texts]
+    known, rolling = known or [set() for _ in texts], rolling or Rolling()
     out: list[list[int]] = [[] for _ in texts]
     sizes = np.array([len(t) for t in index.tiles], np.int64)
     whole = np.bincount(index.item, sizes) if len(index.item) else np.zeros(0)
@@ -271,7 +270,7 @@ def find_items(texts: list[bytes], index: Index, known: list[set[int]] | None =
                 left = _without(own, {pair % items for pair in there if pair // items == at - 1})  # all of it in one text
             if not len(left.grams):
                 continue
-            keys, shared = _counted(left, part, ends, np.array(sorted(there), np.int64))
+            keys, shared = _counted(left, rolling, part, ends, np.array(sorted(there), np.int64))
             text, tile, band = keys[:, shared >= index.bound[keys[1]]]
             likely = _likely(index, sizes, whole, text, tile)
             text, tile, band = text[likely], tile[likely], band[likely]
@@ -296,8 +295,9 @@ def find_items(texts: list[bytes], index: Index, known: list[set[int]] | None =
 def find_all(texts: list[bytes], indexes: tuple[Index, ...]) -> list[list[int]]:
     """The numbers of the items that any of the indexes finds in each (plain) text; the last, of short tiles, goes first."""
     found: list[set[int]] = [set() for _ in texts]
+    rolling = Rolling()
     for index in reversed(indexes):
-        found = [old | set(new) for old, new in zip(found, find_items(texts, index, found), strict=True)]
+        found = [old | set(new) for old, new in zip(found, find_items(texts, index, found, rolling), strict=True)]
     return [sorted(numbers) for numbers in found]
 
 
