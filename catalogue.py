@@ -23,7 +23,7 @@ from siltstone.operators.metrics import derive
 from siltstone.plans import marts
 from siltstone.plans.layers import TRACKED, Lakehouse, run_layers
 from siltstone.plans.silver import conform, prepare, tagged_trips
-from siltstone.sources import histories, landing, tables
+from siltstone.sources import histories, landing, measured, tables
 from siltstone.sources.ledger import ingest_landed, recorded_schemas
 from siltstone.sources.workspace import fresh_folder, stage
 from siltstone.streaming.incremental import ingest_new_files, refreshed_fact, run_increment
@@ -672,6 +672,20 @@ def dq_gate(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table).drop("run_at", "run_id").withColumn("run_passed", F.lit(passed))
 
 
+def dq_on_write(spark: SparkSession, folder: str) -> DataFrame:
+    """Expectations of the fact that the job that wrote it has counted; the table is not read for them."""
+    table = f"{scratch_database(spark)}.fct_trips"
+    fact = shipped(spark, folder).star.fact
+    months = [r["load_month"] for r in fact.select("load_month").distinct().collect()]  # as many rows as there are months
+    wanted = [e for e in SHIPMENTS.expectations["gold.fct_trips"] if e.predicate]
+    predicates = {e.name: e.predicate for e in wanted}
+    load = tables.load_partitions(fact, table, months, counting=predicates)
+    measured.keep(spark, f"{table}_measured", "gold.fct_trips", load, predicates)
+    held = measured.counts(spark, f"{table}_measured", "gold.fct_trips", table, months, list(predicates.values()))
+    counted = {name: held[predicate] for name, predicate in predicates.items()}
+    return expectations.evaluate(spark, wanted, "gold.fct_trips", "run", {}, counted).drop("run_at", "run_id")
+
+
 def bronze_file(spark: SparkSession, folder: str) -> DataFrame:
     """All events as month files, read by service and month from the names of the files."""
     root = fresh_folder(spark, "landing")
@@ -959,6 +973,7 @@ QUERIES: dict[str, Query] = {
     # quality
     "dq_expectations": dq_expectations,
     "dq_failures": dq_failures,
+    "dq_on_write": dq_on_write,
     "a7_dq_history": a7_dq_history,
     # marts
     "a1_revenue_month_payment": over_star(marts.revenue_by_month_and_payment, "shipments"),

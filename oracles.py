@@ -592,6 +592,9 @@ ORACLES: dict[str, str] = {
         load_month FROM valid""",
     ),
     "dq_expectations": using(DQ, f"SELECT {DQ_COLUMNS} FROM judged"),
+    "dq_on_write": using(
+        DQ, f"SELECT {DQ_COLUMNS} FROM judged WHERE expectation IN ('tip_ratio_within_bounds', 'few_generous_tips')"
+    ),
     "dq_failures": using(
         DQ, f"SELECT run_id, {DQ_COLUMNS} FROM judged CROSS JOIN {TWO_RUNS} AS runs WHERE NOT passed"
     ),

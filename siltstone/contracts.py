@@ -60,16 +60,26 @@ class Rule:
 
 @dataclass(frozen=True)
 class Expectation:
-    """A query for one number and the comparison that number has to meet."""
+    """A query for one number and the comparison that number has to meet.
+
+    Where the number is a count of the rows that meet ``predicate``, the job that writes the rows can count them.
+    """
 
     name: str
     query: str
     expect: str
     severity: str = "fail"
+    predicate: str | None = None
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "query", " ".join(self.query.split()))
 
+    @classmethod
+    def of_rows(cls, name: str, predicate: str, expect: str, severity: str = "fail") -> Expectation:
+        """Of the number of rows for which ``predicate`` is TRUE."""
+        plain = predicate.replace("{", "{{").replace("}", "}}")
+        return cls(name, f"SELECT count(*) FROM {{table}} WHERE {plain}", expect, severity, predicate)
+
 
 @dataclass(frozen=True)
 class Codes:

@@ -94,12 +94,7 @@ SHIPMENTS = Domain(
         **EXPECTATIONS,
         "gold.fct_trips": (
             *EXPECTATIONS["gold.fct_trips"],
-            Expectation(
-                "few_generous_tips",
-                "SELECT count(*) FROM {table} WHERE tip_pct > 0.1",
-                "<= 0",
-                severity="warn",
-            ),
+            Expectation.of_rows("few_generous_tips", "tip_pct > 0.1", "<= 0", severity="warn"),
         ),
     },
 )

@@ -119,11 +119,7 @@ EXPECTATIONS = {
                  SELECT trip_id FROM {table} GROUP BY trip_id HAVING count(*) > 1) repeated""",
             "== 0",
         ),
-        Expectation(
-            "surrogate_keys_not_null",
-            "SELECT count(*) FROM {table} WHERE trip_id IS NULL",
-            "== 0",
-        ),
+        Expectation.of_rows("surrogate_keys_not_null", "trip_id IS NULL", "== 0"),
     ),
     "gold.fct_trips": (
         Expectation(
@@ -137,12 +133,7 @@ EXPECTATIONS = {
             "SELECT coalesce(sum(observed), 0) FROM {orphans}",
             "== 0",
         ),
-        Expectation(
-            "tip_ratio_within_bounds",
-            "SELECT count(*) FROM {table} WHERE tip_pct > 1.0",
-            "== 0",
-            severity="warn",
-        ),
+        Expectation.of_rows("tip_ratio_within_bounds", "tip_pct > 1.0", "== 0", severity="warn"),
         Expectation(
             "fact_matches_silver_rowcount",
             "SELECT coalesce(sum(observed), 0) FROM {gaps}",

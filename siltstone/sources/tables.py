@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -114,6 +115,17 @@ def partition_location(spark: SparkSession, table: str, **values: str) -> str |
     return next(r["data_type"] for r in told if r["col_name"] == "Location")
 
 
+def locations(spark: SparkSession, table: str, by: str, scope: Sequence[str]) -> dict[str, str]:
+    """Where the partitions in ``scope`` that exist are read from."""
+    present = partitions(spark, table)
+    found = {}
+    for value in dict.fromkeys(scope):
+        if _key({by: value}) in present:
+            told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_partition(**{by: value})}").collect()
+            found[value] = next(r["data_type"] for r in told if r["col_name"] == "Location")
+    return found
+
+
 def vacuum(spark: SparkSession, table: str, keep: Sequence[str] = ()) -> list[str]:
     """Delete folders of earlier loads that no partition of ``table`` is read from; returns them.
 
@@ -136,6 +148,16 @@ def _bare(place: str) -> str:
 LOADS = "__loads"  #: ends the name of the folder next to a table that holds its loads
 
 
+@dataclass(frozen=True)
+class Load:
+    """What a write put into a table: its folder, its rows, the partitions that got any, and what it counted."""
+
+    place: str
+    rows: int
+    written: tuple[str, ...]
+    counted: Mapping[str, int]
+
+
 def replace_partitions(
     df: DataFrame,
     table: str,
@@ -144,11 +166,25 @@ def replace_partitions(
     rebalance: bool = True,
     comment: str | None = None,
 ) -> int:
-    """Replace exactly the partitions in ``scope`` by the rows of ``df``; returns their number.
+    """Replace exactly the partitions in ``scope`` by the rows of ``df``; returns their number (see ``load_partitions``)."""
+    return load_partitions(df, table, scope, by, rebalance, comment).rows
+
+
+def load_partitions(
+    df: DataFrame,
+    table: str,
+    scope: Sequence[str],
+    by: str = "load_month",
+    rebalance: bool = True,
+    comment: str | None = None,
+    counting: Mapping[str, str] | None = None,
+) -> Load:
+    """Replace exactly the partitions in ``scope`` by the rows of ``df``.
 
     Partitions outside the scope are not touched, a scope partition without rows becomes empty,
     and a row outside the scope fails the job before anything is replaced. All of it is one job:
-    the scope is checked and the partitions counted while the rows pass. ``rebalance`` shuffles
+    the scope is checked, and the partitions and the rows that meet the predicates in ``counting`` are counted,
+    while the rows pass. ``rebalance`` shuffles
     rows to their partition first, with hot partitions split by size; leave it off when the input
     already arrives one partition per task. The table may be an input of ``df``.
 
@@ -166,14 +202,15 @@ def replace_partitions(
     if rebalance:
         rows = rows.hint("rebalance", by)
     seen = Observation(f"replace-{uuid.uuid4().hex}")
-    counted = rows.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(by).alias("written")
-    )
-    place = write_load(counted, table, [by])
+    counting = dict(counting or {})
+    metrics = [F.count_if(F.expr(predicate)).alias(f"n{i}") for i, predicate in enumerate(counting.values())]
+    observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(by).alias("written"), *metrics)
+    place = write_load(observed, table, [by])
     written = set(seen.get["written"])
     widen(spark, table, added)
     point_partitions(spark, table, place, [{by: v} for v in scope if v in written], [{by: v} for v in scope if v not in written])
-    return seen.get["rows"]
+    found = {name: seen.get[f"n{i}"] for i, name in enumerate(counting)}
+    return Load(place, seen.get["rows"], tuple(v for v in scope if v in written), found)
 
 
 def write_load(df: DataFrame, table: str, by: Sequence[str]) -> str:
@@ -304,33 +341,54 @@ def _rank(value: Column, bounds: Sequence[float]) -> Column:
     return between(0, len(bounds))
 
 
-def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Where a row lies on the curve through the ranks of its columns: their bits by turns.
+def on_curve(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with the place of every row on the Hilbert curve through the ranks of its columns.
 
     The ranks are those of 64 quantiles, found by one aggregate over ``df``, so columns count alike whatever
-    their values are, and rows near on the curve are near in every column.
+    their values are. Places that follow each other differ by one rank of one column, so a run of rows is
+    narrow in every column wherever it is cut.
     """
     cuts = [i / 2**RANK_BITS for i in range(1, 2**RANK_BITS)]
     found = df.agg(*[F.percentile_approx(_ordinal(df, name), cuts, 10000).alias(f"q{i}") for i, name in enumerate(columns)]).first()
-    curve = F.lit(0).cast("long")
-    for i, name in enumerate(columns):
-        rank = _rank(_ordinal(df, name), sorted(set(found[i] or []))).cast("long")
+    ranks = [_rank(_ordinal(df, name), sorted(set(found[i] or []))) for i, name in enumerate(columns)]
+    axes = [f"{CURVE}_{i}" for i in range(len(columns))]
+    # one projection a step, as each asks for the one before more than once
+    bent = df.withColumns(dict(zip(axes, ranks, strict=True)))
+    first = F.col(axes[0])
+    for bit in reversed(range(1, RANK_BITS)):
+        below = F.lit((1 << bit) - 1)
+        for name in axes:
+            axis = F.col(name)
+            high = axis.bitwiseAND(F.lit(1 << bit)) != 0
+            swapped = first.bitwiseXOR(axis).bitwiseAND(below)
+            step = {axes[0]: F.when(high, first.bitwiseXOR(below)).otherwise(first.bitwiseXOR(swapped))}
+            if name != axes[0]:
+                step[name] = F.when(high, axis).otherwise(axis.bitwiseXOR(swapped))
+            bent = bent.withColumns(step)
+    for before, name in zip(axes, axes[1:]):
+        bent = bent.withColumn(name, F.col(name).bitwiseXOR(F.col(before)))
+    turn = F.lit(0)
+    for bit in range(1, RANK_BITS):
+        turn = turn.bitwiseXOR(F.when(F.col(axes[-1]).bitwiseAND(F.lit(1 << bit)) != 0, F.lit((1 << bit) - 1)).otherwise(F.lit(0)))
+    bent = bent.withColumns({name: F.col(name).bitwiseXOR(turn) for name in axes})
+    place = F.lit(0).cast("long")
+    for i, name in enumerate(axes):
         for bit in range(RANK_BITS):
-            shifted = F.shiftleft(F.shiftright(rank, bit).bitwiseAND(1), bit * len(columns) + len(columns) - 1 - i)
-            curve = curve.bitwiseOR(shifted)
-    return curve
+            one = F.shiftright(F.col(name).cast("long"), bit).bitwiseAND(F.lit(1).cast("long"))
+            place = place.bitwiseOR(F.shiftleft(one, bit * len(axes) + len(axes) - 1 - i))
+    return bent.withColumn(CURVE, place).drop(*axes)
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], by: str = "load_month", files: int | None = None) -> DataFrame:
     """Rows ranged by partition and ``columns`` and sorted alike, so file statistics can skip.
 
-    Of several columns each shall skip, so rows follow a curve through them (``interleaved``) and not
+    Of several columns each shall skip, so rows follow a curve through them (``on_curve``) and not
     the first of them. Ranges are cut over a hash of the row at last, so any frequent value, or combination of
     values, can be divided. Their number is left to adaptive execution, or is ``files``.
     """
     named = [name for name in columns if name != by]
     if 1 < len(named) <= 63 // RANK_BITS:
-        df = df.withColumn(CURVE, interleaved(df, named))
+        df = on_curve(df, named)
         named = [CURVE, *named]
     order = [by, *named]
     ends = [*order, F.xxhash64(*[c for c in df.columns if c != CURVE])]

@@ -10,9 +10,9 @@ from siltstone.domains.trips import TRIPS
 from siltstone.operators.expectations import ExpectationFailed
 from siltstone.operators.history import snapshot_diff
 from siltstone.operators.star import location_lookup
-from siltstone.plans import marts
+from siltstone.plans import layers, marts
 from siltstone.plans.layers import Lakehouse, months_given, read_star, run_layers
-from siltstone.sources import landing, tables
+from siltstone.sources import landing, measured, tables
 from siltstone.streaming.incremental import ROW_KEY, ingest_new_files, refresh_fact
 
 LINEAGE = ("load_month", "_ingested_at", "_source_file", "_batch_id")
@@ -227,3 +227,41 @@ def test_months_of_one_schema_are_one_scan(spark, lake):
     three = landing.raw_months(spark, lake.raw_root, ["2024-01", "2024-02", "2024-03"], schemas=recorded)
     assert sorted(df.count() for df in three) == [12, 24]
     assert {r[0] for df in three for r in df.select("load_month").distinct().collect()} == {"2024-01", "2024-02", "2024-03"}
+
+
+def test_row_counts_of_a_run_are_those_of_its_tables(spark, lake):
+    """Whether the writing job counted or the tables are asked, a run records the same."""
+    domain = replace(
+        TRIPS,
+        expectations={
+            "silver.fct_source_trips": (Expectation.of_rows("long_rides", "trip_duration_min > 30", "<= 100"),),
+            "gold.fct_trips": (Expectation.of_rows("tipped", "tip_pct > 0", "<= 100"),),
+        },
+    )
+    lake = replace(lake, domain=domain)
+
+    def recorded(run_id):
+        history = spark.table(lake.table("gold", "dq_results")).where(F.col("run_id") == run_id)
+        return {r["expectation"]: r["observed"] for r in history.collect()}
+
+    def check(months, run_id):
+        for target in domain.expectations:
+            layers.check_layer(spark, lake, target, months, run_id)
+        return recorded(run_id)
+
+    def asked(months):
+        by_month = F.col("load_month").isin(*months)
+        long_rides = spark.table(lake.valid).where(by_month & (F.col("trip_duration_min") > 30)).count()
+        return {"long_rides": long_rides, "tipped": spark.table(lake.fact).where(by_month & (F.col("tip_pct") > 0)).count()}
+
+    both = ["2024-01", "2024-02"]
+    run_layers(spark, lake, both)
+    predicates = ["trip_duration_min > 30"]
+    held = measured.counts(spark, lake.measured, "silver.fct_source_trips", lake.valid, both, predicates)
+    assert held == {predicates[0]: asked(both)["long_rides"]} and held[predicates[0]] > 0
+    assert check(both, "whole") == asked(both)
+    assert check(["2024-02"], "part") == asked(["2024-02"])
+    run_layers(spark, lake, "2024-01")
+    assert check(both, "mixed") == asked(both)
+    spark.table(lake.valid).limit(1).write.insertInto(lake.valid)
+    assert check(both, "added") == asked(both)
