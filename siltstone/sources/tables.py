@@ -346,15 +346,25 @@ def on_curve(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     The ranks are those of 64 quantiles, found by one aggregate over ``df``, so columns count alike whatever
     their values are. Places that follow each other differ by one rank of one column, so a run of rows is
-    narrow in every column wherever it is cut.
+    narrow in every column wherever it is cut. Columns whose quantiles are all one value have no part in it.
     """
     cuts = [i / 2**RANK_BITS for i in range(1, 2**RANK_BITS)]
     found = df.agg(*[F.percentile_approx(_ordinal(df, name), cuts, 10000).alias(f"q{i}") for i, name in enumerate(columns)]).first()
-    ranks = [_rank(_ordinal(df, name), sorted(set(found[i] or []))) for i, name in enumerate(columns)]
-    axes = [f"{CURVE}_{i}" for i in range(len(columns))]
+    bounds = {name: sorted(set(found[i] or [])) for i, name in enumerate(columns)}
+    ranks = [_rank(_ordinal(df, name), some) for name, some in bounds.items() if len(some) > 1]
+    if len(ranks) < 2:
+        return df.withColumn(CURVE, ranks[0].cast("long") if ranks else F.lit(0).cast("long"))
+    axes = [f"{CURVE}_{i}" for i in range(len(ranks))]
+    return hilbert(df.withColumns(dict(zip(axes, ranks, strict=True))), axes, CURVE).drop(*axes)
+
+
+def hilbert(df: DataFrame, axes: Sequence[str], place_name: str) -> DataFrame:
+    """``df`` with the place on the Hilbert curve of the cell that ``axes`` name, numbers of ``RANK_BITS`` bits.
+
+    The axes themselves are overwritten by steps of the reckoning.
+    """
     # one projection a step, as each asks for the one before more than once
-    bent = df.withColumns(dict(zip(axes, ranks, strict=True)))
-    first = F.col(axes[0])
+    bent, first = df, F.col(axes[0])
     for bit in reversed(range(1, RANK_BITS)):
         below = F.lit((1 << bit) - 1)
         for name in axes:
@@ -376,7 +386,7 @@ def on_curve(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for bit in range(RANK_BITS):
             one = F.shiftright(F.col(name).cast("long"), bit).bitwiseAND(F.lit(1).cast("long"))
             place = place.bitwiseOR(F.shiftleft(one, bit * len(axes) + len(axes) - 1 - i))
-    return bent.withColumn(CURVE, place).drop(*axes)
+    return bent.withColumn(place_name, place)
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], by: str = "load_month", files: int | None = None) -> DataFrame:

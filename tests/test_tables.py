@@ -238,16 +238,18 @@ def test_ranks_and_hot_values(spark):
     assert len(parts) == 8 and max(r["count"] for r in parts) < 2 * 6000 / 8
     nothing = spark.createDataFrame([], "a int, b string, load_month string")
     assert tables.cluster_rows(nothing, ["a", "b"]).count() == 0
+    same = spark.range(100).selectExpr("id % 50 AS a", "1 AS b", "'x' AS c", "id % 7 AS d", "'m' AS load_month")
+    assert tables.cluster_rows(same, ["a", "b"]).count() == tables.cluster_rows(same, ["b", "c"]).count() == 100
+    assert tables.cluster_rows(same, ["c", "d", "b", "a"]).distinct().count() == same.distinct().count()
 
 
 @pytest.mark.parametrize("count", [2, 3])
 def test_the_curve_goes_from_neighbour_to_neighbour(spark, count):
     """Every cell once, and one step of one column at a time."""
     side = 2**tables.RANK_BITS if count == 2 else 8
-    names = [f"c{i}" for i in range(count)]
+    names, axes = [f"c{i}" for i in range(count)], [f"x{i}" for i in range(count)]
     cells = spark.range(side**count).select(*[F.expr(f"int(floor(id / {side**i}) % {side})").alias(n) for i, n in enumerate(names)])
-    rows = tables.on_curve(cells, names).orderBy(tables.CURVE).collect()
-    assert len({r[tables.CURVE] for r in rows}) == side**count
-    if count == 2:
-        steps = [sum(abs(a[n] - b[n]) for n in names) for a, b in zip(rows, rows[1:])]
-        assert set(steps) == {1} and [r[tables.CURVE] for r in rows] == list(range(side**2))
+    placed = tables.hilbert(cells.withColumns({a: F.col(n) for a, n in zip(axes, names)}), axes, "place")
+    rows = placed.orderBy("place").collect()
+    assert [r["place"] for r in rows] == list(range(side**count))
+    assert {sum(abs(a[n] - b[n]) for n in names) for a, b in zip(rows, rows[1:])} == {1}
