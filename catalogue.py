@@ -75,10 +75,8 @@ class Layers:
     @cached_property
     def tagged(self) -> DataFrame:
         outcome = F.when(F.size("_violations") == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
-        rows = tagged_trips(self.raw, self.domain).withColumn("_outcome", outcome)
-        return stage(
-            rows.hint("rebalance", "_outcome", "load_month"), "silver", ("_outcome", "load_month")
-        )
+        rows = tagged_trips(self.raw, self.domain, gather=["load_month"]).withColumn("_outcome", outcome)
+        return stage(rows, "silver", ("_outcome", "load_month"))
 
     @property
     def valid(self) -> DataFrame:

@@ -18,6 +18,7 @@ from ..contracts import (
     text,
     whole,
 )
+from ..operators.identity import dealt
 from .trips import EXPECTATIONS
 
 FIELDS = (
@@ -105,7 +106,8 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
 
     Orders meet their customer before the four times larger lines do. Lines and orders both grow
     with the data, so neither is to be broadcast on the strength of an estimate; the other joins
-    are left to Spark's size statistics, and hot keys to its splitting of skewed partitions.
+    are left to Spark's size statistics. Lines and orders are dealt by order among as many tasks as the lines ask
+    for, which leaves copies of a line together: silver then seeks them without a further exchange.
     """
 
     def table(name: str) -> DataFrame:
@@ -115,9 +117,10 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
         table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey"
     )
     lines = table("lineitem").withColumn("_source_file", F.col("_metadata.file_name"))
-    joined = lines.join(
-        orders.select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority", "c_nationkey"
+    rows = table("lineitem").count()  # from the footers
+    joined = dealt(lines, rows, "l_orderkey").join(
+        dealt(
+            orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority", "c_nationkey"), rows, "l_orderkey"
         ).hint("merge"),
         "l_orderkey",
     ).join(table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")

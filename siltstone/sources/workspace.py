@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 STAGING = "siltstone_staging"
+PACKED = "zstd"  #: of files with ids: 64 hexadecimal digits are packed into half, which snappy leaves as they are
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,7 +36,7 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written once and read back, for as long as the shared folder keeps it."""
     folder = fresh_folder(df.sparkSession, label)
-    writer = df.write
+    writer = df.write.option("compression", PACKED)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(folder)
@@ -67,7 +68,7 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Itera
         f"CREATE SCHEMA IF NOT EXISTS {STAGING} LOCATION '{shared_folder(spark)}/{STAGING}'"
     )
     table = f"{STAGING}.{label}_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet")
+    writer = df.write.format("parquet").option("compression", PACKED)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:
