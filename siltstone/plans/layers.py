@@ -161,10 +161,9 @@ def silver_layer(spark: SparkSession, lake: Lakehouse, months: Sequence[str]) ->
     """
     raw = raw_rows(spark, lake, months)
     outcome = F.when(F.size("_violations") == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
-    tagged = tagged_trips(raw, lake.domain).withColumn("_outcome", outcome)
     clustered = "silver.fct_source_trips" in lake.clustering
-    if not clustered:
-        tagged = tagged.hint("rebalance", "_outcome", "load_month")
+    landed = sum(df.count() for df in raw)  # from the footers
+    tagged = tagged_trips(raw, lake.domain, landed, () if clustered else ["load_month"]).withColumn("_outcome", outcome)
     seen = Observation(f"settled-{uuid.uuid4().hex}")
     # counted by the tasks that write, each of which counts once
     tagged = tagged.observe(seen, *[F.count_if(F.col("load_month") == month).alias(month) for month in months])
