@@ -13,6 +13,26 @@ STAGING = "siltstone_staging"
 PACKED = "zstd"  #: of files with ids: 64 hexadecimal digits are packed into half, which snappy leaves as they are
 
 
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, files: int = 8) -> Iterator[None]:
+    """Tasks write up to ``files`` partitions side by side in the block, instead of sorting all their rows by partition first.
+
+    Rows that were gathered by month meet few months in a task. Of a task with more, only the rest is sorted. A number
+    that the session has set stays.
+    """
+    if spark.conf.get(WRITERS, None) is not None:
+        yield
+        return
+    spark.conf.set(WRITERS, files)
+    try:
+        yield
+    finally:
+        spark.conf.unset(WRITERS)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -39,7 +59,8 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     writer = df.write.option("compression", PACKED)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(folder)
+    with unsorted_writes(df.sparkSession):
+        writer.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -72,7 +93,8 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Itera
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:
-        writer.saveAsTable(table)
+        with unsorted_writes(spark):
+            writer.saveAsTable(table)
         yield spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -10,7 +10,7 @@ from siltstone.domains.shipments import SHIPMENTS, raw_shipments
 from siltstone.operators import identity
 from siltstone.plans.silver import prepare, tagged_trips
 from siltstone.sources import tables
-from siltstone.sources.workspace import shared_folder, stage
+from siltstone.sources.workspace import WRITERS, shared_folder, stage, unsorted_writes
 
 DAY = datetime(1996, 3, 5)
 
@@ -87,3 +87,18 @@ def test_ranges_are_cut_by_the_id_and_not_by_all_columns(spark):
     rows = spark.sql("SELECT string(id) AS trip_id, id AS place, id * 2 AS other, '2024-01' AS load_month FROM range(9)")
     (cut,) = [line for line in planned(tables.cluster_rows(rows, ["place"])).splitlines() if "rangepartitioning" in line]
     assert "xxhash64(trip_id" in cut and "other" not in cut
+
+
+def test_rows_are_not_sorted_to_be_written(spark, database, tmp_path):
+    rows = spark.sql("SELECT id, string(id % 3) AS part FROM range(30)")
+    before = spark.conf.get(WRITERS, None)
+    seen = []
+    with unsorted_writes(spark):
+        seen.append(spark.conf.get(WRITERS))
+    assert seen == ["8"] and spark.conf.get(WRITERS, None) == before
+    # more partitions than are written side by side
+    many = spark.sql("SELECT id, string(id % 40) AS part FROM range(400)").coalesce(1)
+    staged = stage(many, "many", ["part"])
+    assert staged.count() == 400 and staged.where("part = '7'").count() == 10
+    load = tables.load_partitions(rows.coalesce(1), f"{database}.few", ["0", "1", "2"], by="part", rebalance=False)
+    assert load.rows == 30 and len(glob.glob(f"{load.place.removeprefix('file:')}/part=*/*.parquet")) == 3
