@@ -235,8 +235,8 @@ def kept_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
                 ["doc_id", "n_lines", "n_dropped", "kept"],
             )
 
-    # bitmaps are staged, so Spark sends them to the texts only when their files are small
-    joined = _identified(docs).join(bitmaps, ["doc_id", "mark"], "left").select("doc_id", "text", "keep")
+    # texts meet the bitmaps in an exchange at every size: a copy of all bitmaps in each executor grows with the table
+    joined = _identified(docs).join(bitmaps.hint("merge"), ["doc_id", "mark"], "left").select("doc_id", "text", "keep")
     return joined.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept binary")
 
 

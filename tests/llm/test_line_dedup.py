@@ -104,3 +104,13 @@ def test_bitmaps(spark, none):
 def test_clashing_columns(spark, docs):
     extra = docs.selectExpr("*", "1 as mark", "2 as pos", "3 as keep", "4 as h1", "5 as kind", "6 as top")
     assert Counter(map(tuple, dedup_lines(extra).collect())) == Counter(map(tuple, dedup_lines(docs).collect()))
+
+
+def test_texts_and_bitmaps_are_joined_the_same_way_at_every_size(spark):
+    rows = [(i, f"a line that is held by all documents\nown line of document {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (3, 60):
+        result = dedup_lines(docs.where(f"doc_id < {n}"))
+        assert Counter(map(tuple, result.collect())) == plain(rows[:n])
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
