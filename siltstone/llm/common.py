@@ -54,7 +54,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     Stars are formed in turns around larger and smaller neighbours, which needs a number of rounds
     that grows with the logarithm of the longest chain. A node with very many neighbours is one row
-    per task in the aggregation and a key that adaptive execution may split in the join.
+    per task in the aggregation and a key that adaptive execution may split in the join. Joins are
+    merges, as packed edges are a small file long before they are few enough for the driver.
     """
     now = stage(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v").distinct(), label)
     before = None
@@ -62,10 +63,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         before = mark
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage(large.where("u <> v").distinct(), label)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(least.hint("merge"), "u")
         now = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = stage(now.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), label)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root"))

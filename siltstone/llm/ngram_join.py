@@ -11,6 +11,9 @@ A column with more than ``HEAVY`` rows is not multiplied out as pairs. Rows that
 connect form a cluster, and clusters are multiplied in dense square blocks of ``CHUNK`` rows, whose
 results leave as a spanning forest and not as pairs.
 
+All joins are merges, at every size: none sends a table that grows with the input through the driver
+because its packed files are small.
+
 Hashes have 64 bits. An overlap is wrong only where two different n-grams of the same pair collide.
 """
 
@@ -30,7 +33,8 @@ from .hashing import LOWER, Rolling, mix, word_bounds, word_shingles
 
 WORDS = 5  #: words of an n-gram
 ALIKE = (75, 100)  #: the similarity, as a fraction
-SKETCH_BITS = 18  #: the sketch has 2**18 counters whatever the input; more sharpen the order
+SKETCH_BITS = 22  #: the sketch has 2**22 counters whatever the input; more sharpen the order
+COUNTERS = 1 << 12  #: counters of the sketch that travel together
 HEAVY = 64  #: rows of a column up to which its pairs are counted one by one
 CHUNK = 512  #: rows on either side of a dense block
 ENTRIES = 1 << 20  #: entries of a block of columns
@@ -82,23 +86,58 @@ def _gathered(sets: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def _sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters byte by byte, all lowest bytes first: most are small, so the others take no room."""
+    return pa.compress(np.ascontiguousarray(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _counters(parts: dict[int, bytes], bits: int) -> np.ndarray:
+    """All counters of a sketch."""
+    width = min(COUNTERS, 1 << bits)
+    out = np.zeros(1 << bits, np.uint32)
+    for part, counts in parts.items():
+        out[part * width : (part + 1) * width] = np.minimum(_unpacked(counts, width), 2**32 - 1)
+    return out
+
+
+class _Sketch:
+    """Counters as the driver holds them, packed; whoever unpickles them gets the array."""
+
+    def __init__(self, parts: dict[int, bytes], bits: int) -> None:
+        self.parts, self.bits = parts, bits
+
+    def __reduce__(self) -> tuple:
+        return _counters, (self.parts, self.bits)
+
+
+def _sketch(docs: DataFrame, size: int, bits: int) -> _Sketch:
     """How often the n-grams of each counter occur in all documents together."""
+    width = min(COUNTERS, 1 << bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.uint32)  # of one task
         for batch in batches:
             for found in _gathered(_sets(utf8(batch.column("text")), size)):
-                total += np.bincount(_bucket(found, bits), minlength=1 << bits)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+                np.add.at(total, _bucket(found, bits), np.uint32(1))
+        parts = total.reshape(-1, width)
+        at = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([_packed(parts[i]) for i in at], pa.binary())], ["part", "counts"])
         pa.default_memory_pool().release_unused()
 
-    rows = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << bits, np.int64)
-    counted = rows.toArrow()  # at most 2**bits rows
-    out[counted.column("at").to_numpy()] = counted.column("n").to_numpy()
-    return out
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(width, np.uint64)
+        for counts in group.column("counts").to_pylist():
+            total += _unpacked(counts, width)
+        return pa.table({"part": group.column("part")[:1], "counts": pa.array([_packed(total)], pa.binary())})
+
+    kind = "part long, counts binary"
+    counted = docs.select("text").mapInArrow(count, kind).groupBy("part").applyInArrow(add, kind).toArrow()  # at most 2**bits counters
+    return _Sketch(dict(zip(counted.column("part").to_pylist(), counted.column("counts").to_pylist(), strict=True)), bits)
 
 
 def _rows(docs: DataFrame, size: int, bits: int, order) -> DataFrame:
@@ -200,24 +239,46 @@ def _multiply(group: pa.Table) -> pa.Table:
     )
 
 
+def _filter(at: DataFrame) -> np.ndarray:
+    """Bits that stand at the places ``at`` of all rows."""
+    width = FILTER_BITS // 8 // 512
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            filled[batch.column("at").to_numpy(zero_copy_only=False)] = True
+        parts = np.packbits(filled, bitorder="little").reshape(-1, width)
+        used = np.flatnonzero(parts.any(1))
+        packed = [pa.compress(parts[i], codec="zstd", asbytes=True) for i in used]
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed, pa.binary())], ["part", "bits"])
+
+    def unite(group: pa.Table) -> pa.Table:
+        bits = np.zeros(width, np.uint8)
+        for packed in group.column("bits").to_pylist():
+            bits |= np.frombuffer(pa.decompress(packed, width, codec="zstd", asbytes=True), np.uint8)
+        return pa.table({"part": group.column("part")[:1], "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    kind = "part long, bits binary"
+    united = at.mapInArrow(mark, kind).groupBy("part").applyInArrow(unite, kind).toArrow()  # the filter at most
+    out = np.zeros((512, width), np.uint8)
+    for part, bits in zip(united.column("part").to_pylist(), united.column("bits").to_pylist(), strict=True):
+        out[part] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``row, set`` of the ``wanted`` classes (``row, doc_id, digest``), from their texts.
 
-    A filter of fixed size, built by an aggregation, spares other texts; what passes it by chance
-    falls out in the join.
+    A filter of fixed size, built by the tasks that read them, spares other texts; what passes it by
+    chance falls out in the join.
     """
-    spark = docs.sparkSession
     at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    bits = wanted.select(at.alias("at")).selectExpr("at div 32 AS word", "shiftleft(1L, int(at % 32)) AS bit")
-    words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # as many rows at most as the filter has words
-    filled = np.zeros(FILTER_BITS // 32, np.int64)
-    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    known = spark.sparkContext.broadcast(filled)
+    known = docs.sparkSession.sparkContext.broadcast(_filter(wanted.select(at.alias("at"))))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             where = batch.column("at").to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((known.value[where >> 5] >> (where & 31)) & 1 == 1))
+            batch = batch.filter(pa.array((known.value[where >> 3] >> (where & 7)) & 1 == 1))
             sets = [s.tobytes() for s in _sets(utf8(batch.column("text")), size)]
             names = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -227,7 +288,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     read = docs.where("doc_id IS NOT NULL").select("doc_id", "text", at.alias("at")).where("at IS NOT NULL")
     found = read.mapInArrow(compute, "doc_id long, digest binary, grams binary")
     # the same document may stand in the table more than once
-    return found.join(wanted, ["doc_id", "digest"]).select("row", "grams").dropDuplicates(["row"])
+    return found.join(wanted.hint("merge"), ["doc_id", "digest"]).select("row", "grams").dropDuplicates(["row"])
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,11 +349,11 @@ def _dense(group: pa.Table) -> pa.Table:
 def _heavy_links(sets_of, members: DataFrame) -> DataFrame:
     """The links inside clusters of rows (``row, col``) that heavy columns connect."""
     centre = members.groupBy("col").agg(F.min("row").alias("centre"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    edges = members.join(centre, "col").select(F.col("row").alias("u"), F.col("centre").alias("v"))
+    edges = members.join(centre.hint("merge"), "col").select(F.col("row").alias("u"), F.col("centre").alias("v"))
     cluster = stage(components(edges, "clusters"), "clusters")
     # chunks are cut by hash: no ordering of a whole cluster in one task
     sized = cluster.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks"))
-    placed = cluster.join(sized, "root").select(
+    placed = cluster.join(sized.hint("merge"), "root").select(
         F.col("node").alias("row"), "root", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")
     )
     sided = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
@@ -300,7 +361,7 @@ def _heavy_links(sets_of, members: DataFrame) -> DataFrame:
         F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
         (F.col("chunk") > F.col("other")).cast("int").alias("side"),
     )
-    return sided.join(sets_of, "row").groupBy("root", "i", "j").applyInArrow(_dense, "u long, v long")
+    return sided.join(sets_of.hint("merge"), "row").groupBy("root", "i", "j").applyInArrow(_dense, "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -326,6 +387,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, sketch_bits: int = S
     blocks = max(1, total // 8 // ENTRIES + 1) * 4
     dealt = _deal(classes, blocks, sketch_bits, order)
     partial = stage(dealt.groupBy("block").applyInArrow(_multiply, _PARTIAL), "partial")
+    order.destroy()
 
     least_a, least_b = (F.ceil(F.lit(ALIKE[0]) * F.col(c) / F.lit(ALIKE[1])) for c in ("n_a", "n_b"))
     needed = F.ceil(F.lit(ALIKE[0]) * (F.col("n_a") + F.col("n_b")) / F.lit(sum(ALIKE)))
@@ -339,17 +401,17 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, sketch_bits: int = S
     members = partial.where("heavy").select(F.col("a").alias("row"), F.col("b").alias("col"))
     taking_part = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row")))
     taking_part = taking_part.unionByName(members.select("row")).distinct()
-    wanted = classes.where("doc_id IS NOT NULL").select("row", "doc_id", "digest").join(taking_part, "row")
+    wanted = classes.where("doc_id IS NOT NULL").select("row", "doc_id", "digest").join(taking_part.hint("merge"), "row")
     sets = stage(_whole_sets(docs, stage(wanted, "wanted"), words), "whole")
-    whole = pairs.join(sets.select(F.col("row").alias("u"), F.col("grams").alias("grams_u")), "u")
-    whole = whole.join(sets.select(F.col("row").alias("v"), F.col("grams").alias("grams_v")), "v")
+    whole = pairs.join(sets.select(F.col("row").alias("u"), F.col("grams").alias("grams_u")).hint("merge"), "u")
+    whole = whole.join(sets.select(F.col("row").alias("v"), F.col("grams").alias("grams_v")).hint("merge"), "v")
     links = whole.mapInArrow(_decide, "u long, v long").unionByName(_heavy_links(sets, members))
     reached = components(links)
-    named = classes.select("row", "digest", "doc_id").join(reached, classes["row"] == reached["node"], "left")
+    named = classes.select("row", "digest", "doc_id").join(reached.hint("merge"), classes["row"] == reached["node"], "left")
     named = named.select("digest", "doc_id", F.coalesce("root", "row").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = named.join(least, "root").select("digest", "component_id", "root")
-    return rows.drop("head").join(labels, "digest", "left").select(
+    labels = named.join(least.hint("merge"), "root").select("digest", "component_id", "root")
+    return rows.drop("head").join(labels.hint("merge"), "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root", "mark"
     )
 
@@ -367,4 +429,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = first.unionByName(linked.where("root IS NULL").select("doc_id", "mark")).select(F.struct("doc_id", "mark").alias("key"))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("mark"))
     rows = docs.select(F.struct("*").alias("row"), key.alias("key"))  # whole rows, so that no names meet
-    return rows.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    return rows.join(first.hint("merge"), "key", "left_semi").dropDuplicates(["key"]).select("row.*")

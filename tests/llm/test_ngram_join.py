@@ -1,9 +1,11 @@
+import pickle
 import random
 import re
 
+import numpy as np
 import pytest
 
-from siltstone.llm import ngram_join
+from siltstone.llm import common, ngram_join
 from siltstone.llm.ngram_join import jaccard_components, one_of_each
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -83,3 +85,45 @@ def test_one_of_each_keeps_the_smallest_and_all_columns(docs, table_rows):
 
 def test_empty_table(none):
     assert jaccard_components(none).count() == 0 and one_of_each(none).count() == 0
+
+
+def test_no_table_is_sent_through_the_driver(spark, monkeypatch):
+    """Small files hold many packed ids, so joins are merges whatever the threshold; with clusters of heavy columns too."""
+    monkeypatch.setattr(ngram_join, "HEAVY", 3)
+    plans = []
+
+    def noted(df, *args, staged=common.stage):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, *args)
+
+    for module in (common, ngram_join):
+        monkeypatch.setattr(module, "stage", noted)
+    docs = spark.createDataFrame(list(enumerate(variants(20, 5))), "doc_id long, text string").repartition(3)
+    noted(one_of_each(docs), "kept")
+    assert sum("SortMergeJoin" in p for p in plans) > 5
+    assert not [p for p in plans if "Broadcast" in p]
+
+
+@pytest.mark.parametrize("bits", [6, 14])
+def test_sketch_counts_all_ngrams(spark, bits):
+    texts = [None, "", "one", *variants(300, 4)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    hashes = np.concatenate(list(ngram_join._sets([t and t.encode() for t in texts], 5)))
+    counted = pickle.loads(pickle.dumps(ngram_join._sketch(docs, 5, bits)))  # as a task gets it
+    assert (counted == np.bincount(ngram_join._bucket(hashes, bits), minlength=1 << bits)).all()
+
+
+def test_few_ngrams_share_a_counter(spark):
+    """Else common n-grams hide among the others, and rows without likeness meet in them."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(1500)) for _ in range(40)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    counts = pickle.loads(pickle.dumps(ngram_join._sketch(docs, 5, ngram_join.SKETCH_BITS)))
+    assert counts[counts > 1].sum() < 0.05 * counts.sum()
+
+
+def test_counters_are_packed():
+    counts = np.random.default_rng(1).poisson(1, ngram_join.COUNTERS).astype(np.uint32)
+    counts[7] = 2**32 - 1
+    packed = ngram_join._packed(counts)
+    assert len(packed) < len(counts) / 2 and (ngram_join._unpacked(packed, len(counts)) == counts).all()
