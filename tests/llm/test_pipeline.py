@@ -120,3 +120,8 @@ def test_slices_of_a_benchmark_are_stages_of_their_own(spark, monkeypatch):
     found = decontamination.tagged(docs, spark.createDataFrame(items, "item_id long, text string"))
     assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert {r["doc_id"]: r["found_items"] for r in found.collect()} == {i: [i] for i in range(8)}
+
+
+def test_near_copies_sends_no_table_through_the_driver(spark, docs):
+    plan = corpus_pipeline.near_copies(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
