@@ -244,10 +244,11 @@ def _filter(at: DataFrame) -> np.ndarray:
     width = FILTER_BITS // 8 // 512
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = np.zeros(FILTER_BITS, bool)
+        filled = np.zeros(FILTER_BITS // 8, np.uint8)
         for batch in batches:
-            filled[batch.column("at").to_numpy(zero_copy_only=False)] = True
-        parts = np.packbits(filled, bitorder="little").reshape(-1, width)
+            at = batch.column("at").to_numpy(zero_copy_only=False)
+            np.bitwise_or.at(filled, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        parts = filled.reshape(-1, width)
         used = np.flatnonzero(parts.any(1))
         packed = [pa.compress(parts[i], codec="zstd", asbytes=True) for i in used]
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed, pa.binary())], ["part", "bits"])

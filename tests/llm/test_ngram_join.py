@@ -127,3 +127,9 @@ def test_counters_are_packed():
     counts[7] = 2**32 - 1
     packed = ngram_join._packed(counts)
     assert len(packed) < len(counts) / 2 and (ngram_join._unpacked(packed, len(counts)) == counts).all()
+
+
+def test_filter_holds_all_places_and_no_others(spark):
+    places = [0, 5, 7, 8, 8, 4097, ngram_join.FILTER_BITS - 1, *random.Random(3).sample(range(ngram_join.FILTER_BITS), 2000)]
+    held = ngram_join._filter(spark.createDataFrame([(p,) for p in places], "at long").repartition(3))
+    assert np.flatnonzero(np.unpackbits(held, bitorder="little")).tolist() == sorted(set(places))
